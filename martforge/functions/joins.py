@@ -1,0 +1,27 @@
+"""Join helpers.
+
+Broadcasting is only done behind a size check: :func:`broadcast_if_small`
+counts at most ``max_rows + 1`` rows of the candidate side and only then adds
+the hint; beyond the bound the join stays a shuffle join, which AQE may still
+turn into a broadcast at run time from measured stage sizes
+(``spark.sql.autoBroadcastJoinThreshold``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A broadcast side of this many narrow rows stays in the low megabytes.
+DEFAULT_BROADCAST_ROWS = 100_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has no more than ``max_rows`` rows. Reads at most
+    ``max_rows + 1`` rows past any aggregation in ``df``."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Return ``df`` with a broadcast hint when its size is proven small."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
