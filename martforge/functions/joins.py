@@ -16,10 +16,18 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 100_000
 
 
+# (session id, plan hash, bound) -> verdict. An identical plan over the same
+# inputs is checked once per session rather than once per query.
+_CHECKED: dict[tuple[int, int, int], bool] = {}
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has no more than ``max_rows`` rows. Reads at most
     ``max_rows + 1`` rows past any aggregation in ``df``."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -8,7 +8,7 @@ fixed, and :func:`conform` casts a frame onto them. Column comments travel as
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -297,13 +297,10 @@ def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     """
     if isinstance(schema, str):
         schema = schema_of(schema)
-    cols: list[Column] = []
-    for f in schema.fields:
-        c = F.col(f.name)
-        if df.schema[f.name].dataType != f.dataType:
-            c = c.cast(f.dataType)
-        cols.append(c.alias(f.name, metadata=f.metadata))
-    return df.select(*cols)
+    # A cast to the column's own type is dropped by the optimizer, so casting
+    # every column needs no look at the (analysed) input schema.
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata)
+                       for f in schema.fields])
 
 
 def empty_frame(spark, name: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 # Defaults applied only when the session does not already define them.
 LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

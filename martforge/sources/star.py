@@ -47,7 +47,21 @@ UNTRANSLATED_TYPE = "PROMO"
 ENGLISH_PREFIX = "en_"
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-STAR_TABLES = ("orders", "lineitem", "customer", "nation", "part", "supplier")
+# Declared input schemas of the star-schema tables (read without inference).
+STAR_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, "
+              "o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+                "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                "c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+            "p_retailprice DOUBLE",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+}
+STAR_TABLES = tuple(STAR_SCHEMAS)
 
 
 def _key(prefix: str, c: str) -> Column:
@@ -59,7 +73,8 @@ def _mod(c: str, m: int) -> Column:
 
 
 def read_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in STAR_TABLES}
+    return {t: spark.read.schema(STAR_SCHEMAS[t]).parquet(f"{sf_dir.rstrip('/')}/{t}.parquet")
+            for t in STAR_TABLES}
 
 
 def raw_orders(orders: DataFrame) -> DataFrame:
