@@ -4,21 +4,25 @@ Grain of ``trade_detail``: one row per order item that has an order with a
 customer. Payments are rolled up per order *before* the join, so a
 multi-payment order never multiplies its items.
 
-Join order, chosen for large inputs:
+Join order, chosen for large inputs and hot keys (any single order,
+customer, product or category may hold a large share of the rows):
 
 1. ``products x translation`` - the translation side is broadcast after a
    row-count check. It is joined to the product dimension, not to the items,
    so a hot category never funnels item rows into one shuffle partition.
-2. ``items x products`` on ``product_id`` - the narrow item rows shuffle once
-   on the product key (AQE turns this into a broadcast when the product side
-   is small, and splits a hot product's partition when it is not).
-3. ``orders x customers`` on ``customer_id`` - done on the order table,
-   which is several times smaller than the items.
-4. ``... x orders`` and ``... x payments`` on ``order_id`` - both sides are
-   hash-partitioned on ``order_id`` and the payment rollup is already
-   partitioned that way by its aggregation, so the two joins share one
-   exchange per side. The result comes out partitioned on ``order_id``,
-   which every order-level aggregation downstream can reuse.
+2. ``items x products`` on ``product_id`` - the narrow item rows shuffle on
+   the product key; AQE turns this into a broadcast when the product side is
+   small and splits a hot product's partition when it is not.
+3. ``orders x payment rollup`` on ``order_id`` - both sides carry at most one
+   row per order, so this join cannot be skewed; the rollup is already
+   partitioned on ``order_id`` by its own aggregation.
+4. ``... x customers`` on ``customer_id`` - still at order grain, several
+   times smaller than the items; a hot customer is split by AQE.
+5. ``items x order header`` on ``order_id`` - one join whose two inputs are
+   both plain shuffles, which is the shape AQE's skew handling can split when
+   one order is hot. The output is partitioned on ``order_id``, so the
+   order-level aggregations downstream need no further shuffle unless a
+   skew split was made (``spark.sql.adaptive.forceOptimizeSkewedJoin``).
 """
 
 from __future__ import annotations
@@ -70,9 +74,9 @@ def trade_detail(items: DataFrame, orders: DataFrame, payments: DataFrame,
     cu = customers.select("customer_id", "customer_city", "customer_state")
 
     items_p = it.join(product_dimension(products, translation), "product_id", "left")
-    orders_c = od.join(cu, "customer_id", "left")
-    joined = (items_p.join(orders_c, "order_id", "inner")
-                     .join(payment_rollup(payments), "order_id", "left"))
+    header = (od.join(payment_rollup(payments), "order_id", "left")
+                .join(cu, "customer_id", "left"))
+    joined = items_p.join(header, "order_id", "inner")
 
     price = zero_if_null("price", MONEY_ITEM)
     freight = zero_if_null("freight_value", MONEY_ITEM)

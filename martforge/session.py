@@ -13,32 +13,51 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Defaults applied only when the session does not already define them.
+# Session settings for a local run (tests, bench); a cluster session keeps
+# whatever spark-submit gave it.
 LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.shuffle.partitions": "8",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+# Runtime settings the jobs rely on, applied to any session unless set
+# explicitly: adaptive execution, including skew splitting of a join whose
+# output partitioning is reused downstream (a hot order, customer or product).
+JOB_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.shuffle.partitions": "8",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
 def get_session(master: str | None = None, app: str = "martforge",
                 extra: dict[str, str] | None = None) -> SparkSession:
+    """A session for the jobs. With ``master`` (local runs) the local
+    defaults and ``extra`` are applied; without it the session comes from the
+    environment (spark-submit) untouched except for unset job defaults."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in {**LOCAL_DEFAULTS, **(extra or {})}.items():
-        builder = builder.config(k, v)
+        for k, v in {**LOCAL_DEFAULTS, **(extra or {})}.items():
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    apply_job_defaults(spark, extra)
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
     return spark
 
 
+def apply_job_defaults(spark: SparkSession, extra: dict[str, str] | None = None) -> None:
+    explicit = spark.sparkContext.getConf()
+    for k, v in JOB_DEFAULTS.items():
+        if not explicit.contains(k) and k not in (extra or {}):
+            spark.conf.set(k, v)
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
