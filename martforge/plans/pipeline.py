@@ -23,10 +23,11 @@ import json
 import sys
 import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import RAW_TABLES
+from ..schemas import MART_TABLES, RAW_TABLES, SUMMARY_TABLES
 from ..session import get_session, scratch_path
 from ..sources.raw import read_sources, read_table
 from ..sources.star import star_raw
@@ -60,12 +61,15 @@ def materializer(spark: SparkSession, root: str, timings: dict | None = None,
 def run_pipeline(spark: SparkSession, root: str, *, raw: dict[str, DataFrame] | None = None,
                  raw_dir: str | None = None, star_dir: str | None = None,
                  out: str | None = None, tables: Sequence[str] | None = None,
-                 etl_date=None, csv_options: dict | None = None) -> dict:
+                 etl_date=None, csv_options: dict | None = None,
+                 parallel_jobs: int = 8) -> dict:
     """Build every layer into ``root``; optionally export marts to ``out``.
 
     Raw input is one of: ``raw`` (nine DataFrames), ``raw_dir`` (landed
     Parquet folders, or CSV when ``csv_options`` is given), ``star_dir``
-    (star-schema test tables). Returns timings and the export report."""
+    (star-schema test tables). ``parallel_jobs`` caps how many tables of
+    one layer are written at the same time. Returns timings and the export
+    report."""
     if raw is None:
         if star_dir:
             raw = star_raw(spark, star_dir)
@@ -78,8 +82,12 @@ def run_pipeline(spark: SparkSession, root: str, *, raw: dict[str, DataFrame] |
     timings: dict[str, float] = {}
     wh = Warehouse(raw, etl_date=etl_date, materialize=materializer(spark, root, timings))
     t0 = time.perf_counter()
-    wh.summaries()
-    wh.marts()
+    # Layer by layer: the tables of one layer only depend on the layers
+    # below, so their writes go to Spark as concurrent jobs.
+    layers = [["detail"], ["grain"], list(SUMMARY_TABLES), list(MART_TABLES)]
+    with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
+        for layer in layers:
+            list(pool.map(lambda n: getattr(wh, n), layer))
     timings["total"] = round(time.perf_counter() - t0, 3)
     result = {"root": root, "timings": timings,
               "tables": {n: table_path(root, n) for n in timings if n != "total"

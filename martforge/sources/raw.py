@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import RAW_SCHEMAS, schema_of
+from ..schemas import DERIVED_SCHEMAS, RAW_SCHEMAS, schema_of
 
 # Tables whose free text may contain quoted line breaks. multiLine makes a
 # file unsplittable (one task per file), so it is only used where needed.
@@ -64,10 +64,13 @@ def read_sources(spark: SparkSession, root: str, names=None, **options) -> dict[
 def read_table(spark: SparkSession, root: str | None, name: str) -> DataFrame:
     """Read a warehouse table: a catalog table when ``root`` is None (the
     name may carry a database prefix), else the Parquet folder
-    ``root/name``."""
+    ``root/name``, typed by its contract schema when it has one."""
     if root is None:
         return spark.table(name)
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    reader = spark.read
+    if name in RAW_SCHEMAS or name in DERIVED_SCHEMAS:
+        reader = reader.schema(schema_of(name))  # known contract: skip footer inference
+    return reader.parquet(f"{root.rstrip('/')}/{name}")
 
 
 def read_text_table(spark: SparkSession, path: str, name: str, sep: str = "\t") -> DataFrame:

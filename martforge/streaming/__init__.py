@@ -1,0 +1,9 @@
+"""Structured Streaming entry points.
+
+The warehouse itself is a batch build (full, idempotent overwrites); the one
+streaming piece is landing raw files incrementally as they arrive.
+"""
+
+from .landing import land_new_files
+
+__all__ = ["land_new_files"]

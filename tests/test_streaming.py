@@ -1,0 +1,24 @@
+"""Incremental landing lands each raw file once."""
+
+import os
+
+from martforge.streaming import land_new_files
+
+HEADER = "product_category_name,product_category_name_english\n"
+
+
+def _put(path, rows):
+    with open(path, "w") as f:
+        f.write(HEADER + "".join(f"{a},{b}\n" for a, b in rows))
+
+
+def test_land_new_files_once(spark, tmp_dir):
+    src, dst, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/wh", f"{tmp_dir}/ckpt"
+    os.makedirs(src)
+    _put(f"{src}/a.csv", [("x", "x_en"), ("y", "y_en")])
+    assert land_new_files(spark, src, dst, "category_translation", checkpoint=ckpt) == 2
+    _put(f"{src}/b.csv", [("z", "z_en")])
+    assert land_new_files(spark, src, dst, "category_translation", checkpoint=ckpt) == 1
+    assert land_new_files(spark, src, dst, "category_translation", checkpoint=ckpt) == 0
+    rows = spark.read.parquet(f"{dst}/category_translation").collect()
+    assert sorted(r.product_category_name for r in rows) == ["x", "y", "z"]
