@@ -20,9 +20,11 @@ customer, product or category may hold a large share of the rows):
    times smaller than the items; a hot customer is split by AQE.
 5. ``items x order header`` on ``order_id`` - one join whose two inputs are
    both plain shuffles, which is the shape AQE's skew handling can split when
-   one order is hot. The output is partitioned on ``order_id``, so the
-   order-level aggregations downstream need no further shuffle unless a
-   skew split was made (``spark.sql.adaptive.forceOptimizeSkewedJoin``).
+   one order is hot. Hot orders found by a bounded sample
+   (:func:`martforge.functions.skew.hot_keys`) are joined separately against
+   a broadcast of their header rows, the rest by the shuffle join; with no
+   hot order the output stays partitioned on ``order_id`` and the
+   order-level aggregations downstream need no further shuffle.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from pyspark.sql import functions as F
 from ..functions.joins import broadcast_if_small
 from ..functions.labels import day_of
 from ..functions.money import zero_if_null
+from ..functions.skew import hot_keys, split_hot_join
 from ..schemas import MONEY_ITEM, conform
 
 
@@ -65,7 +68,8 @@ def product_dimension(products: DataFrame, translation: DataFrame) -> DataFrame:
 
 def trade_detail(items: DataFrame, orders: DataFrame, payments: DataFrame,
                  customers: DataFrame, products: DataFrame, translation: DataFrame,
-                 etl_date: str | _dt.date | Column | None = None) -> DataFrame:
+                 etl_date: str | _dt.date | Column | None = None,
+                 split_hot_orders: bool = True) -> DataFrame:
     it = (items.filter(F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
           .select("order_id", "order_item_id", "product_id", "seller_id",
                   "price", "freight_value"))
@@ -76,7 +80,10 @@ def trade_detail(items: DataFrame, orders: DataFrame, payments: DataFrame,
     items_p = it.join(product_dimension(products, translation), "product_id", "left")
     header = (od.join(payment_rollup(payments), "order_id", "left")
                 .join(cu, "customer_id", "left"))
-    joined = items_p.join(header, "order_id", "inner")
+    # A hot order (a large share of all items) is joined by broadcast of its
+    # header row; the rest goes through the shuffle join.
+    hot = hot_keys(items.select("order_id"), "order_id") if split_hot_orders else []
+    joined = split_hot_join(items_p, header, "order_id", "inner", hot)
 
     price = zero_if_null("price", MONEY_ITEM)
     freight = zero_if_null("freight_value", MONEY_ITEM)
