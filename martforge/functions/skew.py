@@ -23,11 +23,22 @@ from .joins import row_count_at_most
 _FOUND: dict[tuple, list] = {}
 
 
-def hot_keys(df: DataFrame, key: str, *, target_sample: int = 1_000_000,
-             min_share: float = 1e-4, min_count: int = 20, max_keys: int = 10_000,
-             seed: int = 17) -> list:
+def hot_keys(df: DataFrame, key: str, *, min_share: float | None = None,
+             target_sample: int | None = None, min_count: int = 20,
+             max_keys: int = 10_000, seed: int = 17) -> list:
     """Keys holding at least ``min_share`` of the rows (and ``min_count``
-    sampled rows), most frequent first, at most ``max_keys`` of them."""
+    sampled rows), most frequent first, at most ``max_keys`` of them.
+
+    By default a key is hot when it alone would fill a quarter of an average
+    shuffle partition (``min_share = 1 / (4 * spark.sql.shuffle.partitions)``),
+    and the sample is sized so such a key is expected ``5 * min_count`` times.
+    Count the frame without filters (``df.select(key)`` of a scan) so the row
+    total comes from file metadata."""
+    if min_share is None:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        min_share = 1.0 / (4 * max(parts, 1))
+    if target_sample is None:
+        target_sample = int(5 * min_count / min_share)
     memo = (id(df.sparkSession), df.semanticHash(), key, target_sample, min_share,
             min_count, max_keys, seed)
     if memo in _FOUND:
