@@ -45,7 +45,6 @@ SECOND_PAYMENT_TYPE = "voucher"
 SECOND_PAYMENT_VALUE = "10.00"
 UNTRANSLATED_TYPE = "PROMO"
 ENGLISH_PREFIX = "en_"
-TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # Declared input schemas of the star-schema tables (read without inference).
 STAR_SCHEMAS = {
@@ -68,6 +67,13 @@ def _key(prefix: str, c: str) -> Column:
     return F.concat(F.lit(prefix), F.col(c).cast("string"))
 
 
+def _ts_text(c: str) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` text of a TIMESTAMP_NTZ column. A plain cast
+    involves no session time zone (a zone-aware format could shift a local
+    time that falls into a daylight-saving gap)."""
+    return F.col(c).cast("string")
+
+
 def _mod(c: str, m: int) -> Column:
     return F.col(c) % F.lit(m)
 
@@ -91,7 +97,7 @@ def raw_orders(orders: DataFrame) -> DataFrame:
                 .otherwise(_key("c", "o_custkey")).alias("customer_id"),
                status.alias("order_status"),
                F.when(_mod("o_orderkey", EMPTY_TIMESTAMP_MOD) == 0, F.lit(""))
-                .otherwise(F.date_format("o_orderdate", TS_FORMAT))
+                .otherwise(_ts_text("o_orderdate"))
                 .alias("order_purchase_timestamp"),
                null_s.alias("order_approved_at"),
                null_s.alias("order_delivered_carrier_date"),
@@ -108,7 +114,7 @@ def raw_order_items(lineitem: DataFrame) -> DataFrame:
         F.col("l_linenumber").alias("order_item_id"),
         _key("p", "l_partkey").alias("product_id"),
         _key("s", "l_suppkey").alias("seller_id"),
-        F.date_format("l_shipdate", TS_FORMAT).alias("shipping_limit_date"),
+        _ts_text("l_shipdate").alias("shipping_limit_date"),
         F.when(_mod("l_orderkey", NULL_PRICE_MOD) == 0, F.lit(None).cast("decimal(10,2)"))
          .otherwise(F.col("l_extendedprice").cast("decimal(10,2)")).alias("price"),
         F.when(_mod("l_orderkey", NEGATIVE_FREIGHT_MOD) == 0, -qty).otherwise(qty)

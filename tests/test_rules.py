@@ -200,3 +200,16 @@ def test_status_mart_reads_detail(spark, smoke_dir):
 def test_detail_built_from_raw_dict(spark, smoke_dir):
     w = Warehouse.from_star(spark, smoke_dir)
     assert trade_detail_from(w.raw, "2026-01-01").count() == 5940
+
+
+def test_adapter_text_dates_ignore_session_time_zone(spark, smoke_dir):
+    from martforge.sources.star import star_raw
+    before = sorted(r[0] for r in star_raw(spark, smoke_dir)["orders"]
+                    .select("order_purchase_timestamp").collect())
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        after = sorted(r[0] for r in star_raw(spark, smoke_dir)["orders"]
+                       .select("order_purchase_timestamp").collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert before == after and before[-1].endswith(" 00:00:00")
