@@ -120,13 +120,29 @@ REPORT_ROWS = [
 REPORT_VALUE_TYPE = "decimal(20,2)"
 
 
-def quality_report(items: DataFrame, orders: DataFrame, detail: DataFrame) -> DataFrame:
+PROFILE_SCHEMA = ("total_cnt long, order_id_null_cnt long, customer_id_null_cnt long, "
+                  "product_id_null_cnt long, price_negative_cnt long, "
+                  "freight_negative_cnt long, no_payment_cnt long")
+
+
+def profile_from_metrics(spark, metrics: dict) -> DataFrame:
+    """The one-row profile from metrics observed while writing the detail."""
+    names = [c.split()[0] for c in PROFILE_SCHEMA.split(", ")]
+    return spark.createDataFrame([tuple(metrics.get(n) for n in names)], PROFILE_SCHEMA)
+
+
+def quality_report(items: DataFrame, orders: DataFrame, detail: DataFrame,
+                   profile: DataFrame | None = None) -> DataFrame:
     """Q-8: Q-1 ... Q-6 as rows ``(check, metric, value, expected, passed)``.
 
-    One aggregation pass over the detail; the three other figures (usable
-    raw items, duplicate groups, orphan items) join it as scalar subqueries,
-    each evaluated once. ``passed`` is NULL for informational metrics."""
-    wide = detail_profile(detail).select(
+    One aggregation pass over the detail - or none, when ``profile`` carries
+    the metrics observed while the detail was written; the three other
+    figures (usable raw items, duplicate groups, orphan items) join it as
+    scalar subqueries, each evaluated once. ``passed`` is NULL for
+    informational metrics."""
+    if profile is None:
+        profile = detail_profile(detail)
+    wide = profile.select(
         "*",
         source_items(items).select(F.count(F.lit(1))).scalar().alias("source_rows"),
         duplicate_check(detail).scalar().alias("duplicate_count"),

@@ -25,8 +25,9 @@ import time
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
+from ..operators import quality as Q
 from ..schemas import MART_TABLES, RAW_TABLES, SUMMARY_TABLES
 from ..session import get_session, scratch_path
 from ..sources.raw import read_sources, read_table
@@ -36,13 +37,18 @@ from .warehouse import Warehouse
 
 
 def materializer(spark: SparkSession, root: str, timings: dict | None = None,
-                 partition_detail_by: Sequence[str] = ()):
+                 partition_detail_by: Sequence[str] = (),
+                 observations: dict[str, tuple[Observation, list]] | None = None):
     """``materialize`` hook: write the table and hand back a fresh read of it.
     Names starting with ``_`` are intermediates and go to the checkpoint
-    folder."""
+    folder. ``observations`` maps a table name to metrics collected during
+    its write (no extra pass)."""
 
     def mat(df: DataFrame, name: str) -> DataFrame:
         t0 = time.perf_counter()
+        if observations and name in observations:
+            obs, cols = observations[name]
+            df = df.observe(obs, *cols)
         if name.startswith("_"):
             path = scratch_path(spark, name.lstrip("_"))
             df.write.mode("overwrite").parquet(path)
@@ -62,14 +68,15 @@ def run_pipeline(spark: SparkSession, root: str, *, raw: dict[str, DataFrame] |
                  raw_dir: str | None = None, star_dir: str | None = None,
                  out: str | None = None, tables: Sequence[str] | None = None,
                  etl_date=None, csv_options: dict | None = None,
-                 parallel_jobs: int = 8) -> dict:
+                 parallel_jobs: int = 8, quality: bool = False) -> dict:
     """Build every layer into ``root``; optionally export marts to ``out``.
 
     Raw input is one of: ``raw`` (nine DataFrames), ``raw_dir`` (landed
     Parquet folders, or CSV when ``csv_options`` is given), ``star_dir``
     (star-schema test tables). ``parallel_jobs`` caps how many tables of
-    one layer are written at the same time. Returns timings and the export
-    report."""
+    one layer are written at the same time. ``quality`` also writes the
+    Q-8 report table, its detail metrics observed during the detail write.
+    Returns timings and the export report."""
     if raw is None:
         if star_dir:
             raw = star_raw(spark, star_dir)
@@ -80,7 +87,9 @@ def run_pipeline(spark: SparkSession, root: str, *, raw: dict[str, DataFrame] |
         else:
             raise ValueError("give raw, raw_dir or star_dir")
     timings: dict[str, float] = {}
-    wh = Warehouse(raw, etl_date=etl_date, materialize=materializer(spark, root, timings))
+    observed = {"trade_detail": (Observation("detail_profile"), Q.profile_columns())}
+    wh = Warehouse(raw, etl_date=etl_date,
+                   materialize=materializer(spark, root, timings, observations=observed))
     t0 = time.perf_counter()
     # Layer by layer: the tables of one layer only depend on the layers
     # below, so their writes go to Spark as concurrent jobs.
@@ -89,6 +98,12 @@ def run_pipeline(spark: SparkSession, root: str, *, raw: dict[str, DataFrame] |
         for layer in layers:
             list(pool.map(lambda n: getattr(wh, n), layer))
     timings["total"] = round(time.perf_counter() - t0, 3)
+    if quality:
+        t1 = time.perf_counter()
+        profile = Q.profile_from_metrics(spark, observed["trade_detail"][0].get)
+        report = Q.quality_report(raw["order_items"], raw["orders"], wh.detail, profile)
+        write_table(report, root, "quality_report")
+        timings["quality_report"] = round(time.perf_counter() - t1, 3)
     result = {"root": root, "timings": timings,
               "tables": {n: table_path(root, n) for n in timings if n != "total"
                          and not n.startswith("_")}}
@@ -108,6 +123,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     p.add_argument("--tables", default="", help="comma-separated marts to export")
     p.add_argument("--etl-date", default=None)
     p.add_argument("--master", default=None)
+    p.add_argument("--quality", action="store_true", help="also write the quality report")
     a = p.parse_args(argv)
     spark = get_session(a.master)
     res = run_pipeline(
@@ -115,7 +131,7 @@ def main(argv: Sequence[str] | None = None) -> int:
         raw_dir=a.raw_dir or a.raw_csv_dir, star_dir=a.star_dir,
         csv_options={} if a.raw_csv_dir else None,
         out=a.output_dir, tables=[t for t in a.tables.split(",") if t.strip()],
-        etl_date=a.etl_date)
+        etl_date=a.etl_date, quality=a.quality)
     print(json.dumps(res, default=str))
     exports = res.get("export") or []
     if exports and all(e["status"] != "ok" for e in exports):

@@ -103,3 +103,24 @@ def test_write_table_partitioned(spark, tmp_dir, smoke_dir):
     path = write_table(df, tmp_dir, "orders_by_status", partition_by=["order_status"])
     back = spark.read.parquet(path).filter(F.col("order_status") == "delivered")
     assert back.count() == df.filter(F.col("order_status") == "delivered").count()
+
+
+def test_pipeline_quality_report_from_observed_metrics(spark, tmp_dir, smoke_dir):
+    from martforge.plans.warehouse import Warehouse
+    res = run_pipeline(spark, f"{tmp_dir}/wh", star_dir=smoke_dir, etl_date="2026-01-01",
+                       quality=True)
+    assert "quality_report" in res["timings"]
+    got = read_table(spark, f"{tmp_dir}/wh", "quality_report")
+    exp = Warehouse.from_star(spark, smoke_dir, etl_date="2026-01-01").quality_report()
+    assert got.count() == 11
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_read_text_table_tab_delimited(spark, tmp_dir, smoke_dir):
+    from martforge.plans.warehouse import Warehouse
+    from martforge.sources.raw import read_text_table
+    gt = Warehouse.from_star(spark, smoke_dir, etl_date="2026-01-01").gmv_trend
+    gt.write.mode("overwrite").option("sep", "\t").option("header", "false").csv(f"{tmp_dir}/gt")
+    back = read_text_table(spark, f"{tmp_dir}/gt", "gmv_trend")
+    assert back.schema.simpleString() == gt.schema.simpleString()
+    assert back.exceptAll(gt).count() == 0 and gt.exceptAll(back).count() == 0
