@@ -4,11 +4,12 @@
   ``rank <= n``. Written as sort + limit first, so Spark plans a
   TakeOrderedAndProject (each task keeps its own n best rows); only the final
   ``n`` rows meet in one task to be numbered.
-* :func:`rank_all` - the same numbering with no cut-off. A plain
-  ``Window.orderBy`` would move every row into a single partition; instead the
-  rows are range-partitioned on the order, numbered inside each partition, and
-  shifted by the row counts of the partitions before them (one small row per
-  partition, broadcast).
+* :func:`rank_all` - the same numbering with no cut-off. The input is
+  checkpointed once; when it is proven to hold at most ``SINGLE_TASK_ROWS``
+  rows one window numbers it. Otherwise a plain ``Window.orderBy`` would move
+  every row into a single partition, so the rows are range-partitioned on the
+  order, numbered inside each partition, and shifted by the row counts of the
+  partitions before them (one small row per partition, broadcast).
 * :func:`top_k_per_group` - ``ROW_NUMBER() OVER (PARTITION BY g ORDER BY ...)
   <= k``; Spark adds a partial WindowGroupLimit before the shuffle, so a hot
   group ships at most ``k`` rows per map task.
@@ -25,6 +26,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
+from .joins import row_count_at_most
+
+# Up to this many rows a full ranking is numbered by one window task.
+SINGLE_TASK_ROWS = 100_000
+
 
 def order_spec(metric: str, keys: Sequence[str]) -> list[Column]:
     """``metric DESC NULLS LAST`` then each key ascending, NULLs first."""
@@ -39,14 +46,22 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int,
 
 
 def rank_all(df: DataFrame, order: Sequence[Column], rank_col: str = "rank_num",
-             num_partitions: int | None = None) -> DataFrame:
+             num_partitions: int | None = None,
+             single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     spark = df.sparkSession
+    # Both branches below read the input; a reliable checkpoint computes it
+    # once (and cuts its lineage) instead of running the upstream twice.
+    checkpoint_root(spark)
+    base = df.checkpoint(eager=True)
+    if row_count_at_most(base, single_task_rows):
+        # proven small: one window over at most single_task_rows rows
+        return base.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("int"))
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Range partitions are ordered: every row of partition i sorts before
     # every row of partition i + 1.
-    ranged = (df.repartitionByRange(num_partitions, *order)
-                .withColumn("_part", F.spark_partition_id()))
+    ranged = (base.repartitionByRange(num_partitions, *order)
+                  .withColumn("_part", F.spark_partition_id()))
     local = ranged.withColumn(
         "_pos", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     sizes = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))

@@ -19,7 +19,7 @@ def _reference(df, order):
 def test_rank_all_matches_window(spark):
     df = _frame(spark)
     order = order_spec("m", ["k"])
-    got = rank_all(df, order, num_partitions=7)
+    got = rank_all(df, order, num_partitions=7, single_task_rows=10)
     exp = _reference(df, order)
     assert got.count() == 5000
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
@@ -29,7 +29,7 @@ def test_rank_all_with_nulls_and_one_partition(spark):
     df = _frame(spark, 300).withColumn(
         "m", F.when(F.col("k").cast("int") % 10 == 0, None).otherwise(F.col("m")))
     order = order_spec("m", ["k"])
-    got = rank_all(df, order, num_partitions=1)
+    got = rank_all(df, order, num_partitions=1, single_task_rows=10)
     exp = _reference(df, order)
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
     last = got.orderBy(F.col("rank_num").desc()).first()
@@ -49,3 +49,11 @@ def test_top_k_per_group(spark):
     got = top_k_per_group(df, ["g"], order_spec("m", ["k"]), 3)
     assert got.count() == 9
     assert got.groupBy("g").agg(F.max("group_rank").alias("x")).filter("x != 3").count() == 0
+
+
+def test_rank_all_small_input_single_window(spark):
+    df = _frame(spark, 300)
+    order = order_spec("m", ["k"])
+    got = rank_all(df, order)
+    exp = _reference(df, order)
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
