@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import DERIVED_SCHEMAS, MART_TABLES, RAW_SCHEMAS, SORT_KEYS, SUMMARY_TABLES
+from ..schemas import MART_TABLES, RAW_SCHEMAS, SORT_KEYS, SUMMARY_TABLES
 from ..sources.raw import read_table
 
 log = logging.getLogger(__name__)
@@ -113,6 +113,3 @@ def preview(df: DataFrame, n: int = 10, name: str | None = None) -> DataFrame:
         df = presentation_order(df, name)
     return df.limit(n)
 
-
-def contract_tables() -> list[str]:
-    return list(DERIVED_SCHEMAS)

@@ -302,6 +302,3 @@ def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata)
                        for f in schema.fields])
 
-
-def empty_frame(spark, name: str) -> DataFrame:
-    return spark.createDataFrame([], schema_of(name))
