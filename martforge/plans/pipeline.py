@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from ..operators import quality as Q
 from ..schemas import MART_TABLES, RAW_TABLES, SUMMARY_TABLES
 from ..session import get_session, scratch_path
+from ..sources.landing import land_all
 from ..sources.raw import read_sources, read_table
 from ..sources.star import star_raw
 from .sinks import run_export, table_path, write_table
@@ -116,7 +117,8 @@ def main(argv: Sequence[str] | None = None) -> int:
     p = argparse.ArgumentParser(description="Build the warehouse and export the marts.")
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--raw-dir", help="folder of landed raw tables (Parquet)")
-    src.add_argument("--raw-csv-dir", help="folder of raw CSV tables, one per table name")
+    src.add_argument("--raw-csv-dir", help="folder of raw CSV tables, one file or folder per "
+                     "table name; landed as Parquet under <warehouse-dir>/raw first")
     src.add_argument("--star-dir", help="star-schema test tables")
     p.add_argument("--warehouse-dir", required=True)
     p.add_argument("--output-dir", help="CSV export folder (skip export when absent)")
@@ -126,12 +128,22 @@ def main(argv: Sequence[str] | None = None) -> int:
     p.add_argument("--quality", action="store_true", help="also write the quality report")
     a = p.parse_args(argv)
     spark = get_session(a.master)
+    raw_dir, landing = a.raw_dir, None
+    if a.raw_csv_dir:
+        # land the raw CSV once as typed Parquet (the raw layer), then build
+        # from it: later passes read columnar data, counts come from metadata
+        raw_dir = table_path(a.warehouse_dir, "raw")
+        landing = land_all(spark, a.raw_csv_dir, raw_dir, {n: n for n in RAW_TABLES})
+        missing = [r["tbl"] for r in landing if r["status"] != "ok"]
+        if missing:
+            print(json.dumps({"landing": landing}, default=str))
+            return 1
     res = run_pipeline(
-        spark, a.warehouse_dir,
-        raw_dir=a.raw_dir or a.raw_csv_dir, star_dir=a.star_dir,
-        csv_options={} if a.raw_csv_dir else None,
+        spark, a.warehouse_dir, raw_dir=raw_dir, star_dir=a.star_dir,
         out=a.output_dir, tables=[t for t in a.tables.split(",") if t.strip()],
         etl_date=a.etl_date, quality=a.quality)
+    if landing is not None:
+        res["landing"] = landing
     print(json.dumps(res, default=str))
     exports = res.get("export") or []
     if exports and all(e["status"] != "ok" for e in exports):

@@ -26,6 +26,9 @@ DEFAULT_FILE_MAP = {name: f"{name}.csv" for name in RAW_TABLES}
 
 def land_table(spark: SparkSession, src_path: str, dst: str, name: str, **options) -> dict:
     target = f"{dst.rstrip('/')}/{name}"
+    # An empty text field lands as '' (not NULL), as in the delimited text
+    # tables the raw layer replaces; numbers that are empty stay NULL.
+    options.setdefault("keep_empty_strings", True)
     try:
         df = read_source(spark, "", name, path=src_path, **options)
     except AnalysisException as e:  # missing file or folder: skip, keep going

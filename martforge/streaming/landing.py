@@ -11,6 +11,8 @@ make every file land exactly once even when a run is retried after a failure.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import RAW_SCHEMAS
 from ..session import scratch_path
@@ -19,7 +21,8 @@ from ..sources.raw import MULTILINE_TABLES
 
 def land_new_files(spark: SparkSession, src_dir: str, dst: str, name: str, *,
                    checkpoint: str | None = None, sep: str = ",",
-                   max_files_per_batch: int | None = None) -> int:
+                   max_files_per_batch: int | None = None,
+                   keep_empty_strings: bool = True) -> int:
     """Append the rows of CSV files new in ``src_dir`` to table ``dst/name``;
     returns the number of rows landed by this run."""
     reader = (spark.readStream.schema(RAW_SCHEMAS[name])
@@ -29,7 +32,13 @@ def land_new_files(spark: SparkSession, src_dir: str, dst: str, name: str, *,
               .option("multiLine", str(name in MULTILINE_TABLES).lower()))
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    query = (reader.csv(src_dir).writeStream
+    schema = RAW_SCHEMAS[name]
+    rows = reader.csv(src_dir)
+    if keep_empty_strings:  # same text rule as the batch landing
+        rows = rows.select(*[F.coalesce(F.col(f.name), F.lit("")).alias(f.name)
+                             if isinstance(f.dataType, T.StringType) else F.col(f.name)
+                             for f in schema.fields])
+    query = (rows.writeStream
              .format("parquet").outputMode("append")
              .option("path", f"{dst.rstrip('/')}/{name}")
              .option("checkpointLocation", checkpoint or scratch_path(spark, f"landing/{name}"))

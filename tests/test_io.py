@@ -124,3 +124,13 @@ def test_read_text_table_tab_delimited(spark, tmp_dir, smoke_dir):
     back = read_text_table(spark, f"{tmp_dir}/gt", "gmv_trend")
     assert back.schema.simpleString() == gt.schema.simpleString()
     assert back.exceptAll(gt).count() == 0 and gt.exceptAll(back).count() == 0
+
+
+def test_landing_keeps_empty_text(spark, tmp_dir):
+    _write(f"{tmp_dir}/src/category_translation.csv",
+           "product_category_name,product_category_name_english\na,\n")
+    rep = land_all(spark, f"{tmp_dir}/src", f"{tmp_dir}/wh",
+                   {"category_translation": "category_translation.csv"})
+    assert rep[0]["status"] == "ok"
+    row = read_table(spark, f"{tmp_dir}/wh", "category_translation").first()
+    assert row.product_category_name_english == ""
