@@ -69,15 +69,17 @@ def run_pipeline(spark: SparkSession, root: str, *, raw: dict[str, DataFrame] |
                  raw_dir: str | None = None, star_dir: str | None = None,
                  out: str | None = None, tables: Sequence[str] | None = None,
                  etl_date=None, csv_options: dict | None = None,
-                 parallel_jobs: int = 8, quality: bool = False) -> dict:
+                 parallel_jobs: int = 8, quality: bool = False,
+                 charts: bool = False) -> dict:
     """Build every layer into ``root``; optionally export marts to ``out``.
 
     Raw input is one of: ``raw`` (nine DataFrames), ``raw_dir`` (landed
     Parquet folders, or CSV when ``csv_options`` is given), ``star_dir``
     (star-schema test tables). ``parallel_jobs`` caps how many tables of
     one layer are written at the same time. ``quality`` also writes the
-    Q-8 report table, its detail metrics observed during the detail write.
-    Returns timings and the export report."""
+    Q-8 report table, its detail metrics observed during the detail write;
+    ``charts`` writes the ten chart datasets under ``root/charts``. Returns
+    timings and the export report."""
     if raw is None:
         if star_dir:
             raw = star_raw(spark, star_dir)
@@ -99,6 +101,13 @@ def run_pipeline(spark: SparkSession, root: str, *, raw: dict[str, DataFrame] |
         for layer in layers:
             list(pool.map(lambda n: getattr(wh, n), layer))
     timings["total"] = round(time.perf_counter() - t0, 3)
+    if charts:
+        t1 = time.perf_counter()
+        chart_root = table_path(root, "charts")
+        with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
+            list(pool.map(lambda kv: write_table(kv[1], chart_root, kv[0]),
+                          wh.charts().items()))
+        timings["charts"] = round(time.perf_counter() - t1, 3)
     if quality:
         t1 = time.perf_counter()
         profile = Q.profile_from_metrics(spark, observed["trade_detail"][0].get)
@@ -126,6 +135,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     p.add_argument("--etl-date", default=None)
     p.add_argument("--master", default=None)
     p.add_argument("--quality", action="store_true", help="also write the quality report")
+    p.add_argument("--charts", action="store_true", help="also write the chart datasets")
     a = p.parse_args(argv)
     spark = get_session(a.master)
     raw_dir, landing = a.raw_dir, None
@@ -141,7 +151,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     res = run_pipeline(
         spark, a.warehouse_dir, raw_dir=raw_dir, star_dir=a.star_dir,
         out=a.output_dir, tables=[t for t in a.tables.split(",") if t.strip()],
-        etl_date=a.etl_date, quality=a.quality)
+        etl_date=a.etl_date, quality=a.quality, charts=a.charts)
     if landing is not None:
         res["landing"] = landing
     print(json.dumps(res, default=str))

@@ -108,8 +108,9 @@ def test_write_table_partitioned(spark, tmp_dir, smoke_dir):
 def test_pipeline_quality_report_from_observed_metrics(spark, tmp_dir, smoke_dir):
     from martforge.plans.warehouse import Warehouse
     res = run_pipeline(spark, f"{tmp_dir}/wh", star_dir=smoke_dir, etl_date="2026-01-01",
-                       quality=True)
-    assert "quality_report" in res["timings"]
+                       quality=True, charts=True)
+    assert "quality_report" in res["timings"] and "charts" in res["timings"]
+    assert spark.read.parquet(f"{tmp_dir}/wh/charts/gmv_daily_peak").count() == 434
     got = read_table(spark, f"{tmp_dir}/wh", "quality_report")
     exp = Warehouse.from_star(spark, smoke_dir, etl_date="2026-01-01").quality_report()
     assert got.count() == 11
@@ -134,3 +135,31 @@ def test_landing_keeps_empty_text(spark, tmp_dir):
     assert rep[0]["status"] == "ok"
     row = read_table(spark, f"{tmp_dir}/wh", "category_translation").first()
     assert row.product_category_name_english == ""
+
+
+def test_cli_builds_from_raw_csv(spark, tmp_dir, smoke_dir):
+    import json
+    import subprocess
+    import sys
+    raw = star_raw(spark, smoke_dir)
+    for name, df in raw.items():
+        export_csv(df, f"{tmp_dir}/csv/{name}", single_file=False)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    r = subprocess.run([sys.executable, "-m", "martforge.plans.pipeline", "--master", "local[2]",
+                        "--raw-csv-dir", f"{tmp_dir}/csv", "--warehouse-dir", f"{tmp_dir}/wh",
+                        "--output-dir", f"{tmp_dir}/out", "--etl-date", "2026-01-01",
+                        "--quality"], capture_output=True, text=True, cwd=root, timeout=600)
+    assert r.returncode == 0, r.stderr[-2000:]
+    res = json.loads(r.stdout.strip().splitlines()[-1])
+    assert {x["tbl"]: x["rows"] for x in res["landing"]}["order_items"] == 6000
+    assert [e["status"] for e in res["export"]] == ["ok"] * len(MART_TABLES)
+    assert read_table(spark, f"{tmp_dir}/wh", "quality_report").count() == 11
+
+
+def test_chart_datasets_default_states(spark, smoke_dir):
+    from martforge.plans.warehouse import Warehouse
+    w = Warehouse.from_star(spark, smoke_dir, etl_date="2026-01-01")
+    charts = w.charts()
+    m = charts["region_month_matrix"]
+    assert m.columns[0] == "month_dt" and len(m.columns) == 16
+    assert all(df.count() >= 0 for df in charts.values())
