@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import MART_TABLES, RAW_SCHEMAS, SORT_KEYS, SUMMARY_TABLES
+from ..schemas import (DERIVED_SCHEMAS, MART_TABLES, RAW_SCHEMAS, SORT_KEYS,
+                       SUMMARY_TABLES, conform)
 from ..sources.raw import read_table
 
 log = logging.getLogger(__name__)
@@ -26,8 +27,11 @@ def table_path(root: str, name: str) -> str:
 
 def write_table(df: DataFrame, root: str, name: str, *, partition_by: Sequence[str] = (),
                 fmt: str = "parquet") -> str:
-    """Overwrite table ``name`` under ``root``; returns its path."""
+    """Overwrite table ``name`` under ``root``; returns its path. A contract
+    table is written with its column comments."""
     path = table_path(root, name)
+    if name in RAW_SCHEMAS or name in DERIVED_SCHEMAS:
+        df = conform(df, name, comments=True)
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)

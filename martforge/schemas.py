@@ -288,9 +288,10 @@ def schema_of(name: str) -> T.StructType:
     return DERIVED_SCHEMAS[name]
 
 
-def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
-    """Schema-on-write: select the contract columns in order, cast each to
-    its declared type and attach the column comment.
+def conform(df: DataFrame, schema: T.StructType | str, *, comments: bool = False) -> DataFrame:
+    """Schema-on-write: select the contract columns in order and cast each to
+    its declared type; with ``comments`` also attach the column comments
+    (done once, when a table is written).
 
     Casts run under the session's ANSI setting, so a money value that does
     not fit its declared decimal fails the job instead of turning NULL.
@@ -298,7 +299,10 @@ def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     if isinstance(schema, str):
         schema = schema_of(schema)
     # A cast to the column's own type is dropped by the optimizer, so casting
-    # every column needs no look at the (analysed) input schema.
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata)
-                       for f in schema.fields])
-
+    # every column needs no look at the (analysed) input schema. Written as
+    # one SQL projection it is parsed on the JVM side in a single call.
+    if comments:
+        return df.select(*[F.col(f"`{f.name}`").cast(f.dataType)
+                           .alias(f.name, metadata=f.metadata) for f in schema.fields])
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                           for f in schema.fields])
