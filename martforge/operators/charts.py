@@ -1,9 +1,9 @@
 """Chart datasets V-01 ... V-10: the data behind each dashboard chart.
 
 Drawing is not done here; every function returns a DataFrame ready for a
-plotting tool. Inputs are the marts (or summaries), which are small
-aggregates - days, months, states - so the windows below run over bounded
-row counts.
+plotting tool. Inputs are the marts (or summaries). The only windows are
+partitioned ones whose partitions are bounded by construction (the payment
+types of one month, the categories of the top-N mart).
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import ABNORMAL_STATUSES, month_of
 from ..functions.money import percent
-from ..functions.ranking import order_spec, top_k_per_group
+from ..functions.ranking import order_spec, rank_all, top_k_per_group
 
 CHART_TOP = 15
 TOP_PER_CATEGORY = 3
@@ -33,16 +33,18 @@ def gmv_daily_peak(gmv_trend: DataFrame) -> DataFrame:
 def gmv_month_over_month(gmv_month: DataFrame, start_month: str | None = None) -> DataFrame:
     """V-02: monthly GMV and its change over the previous month in percent.
 
-    ``lag`` runs over the month series (one row per calendar month, so the
-    window's single partition is bounded by the calendar, not the data). The
-    start filter applies after the lag, so the first shown month still has
-    its predecessor's change."""
-    w = Window.orderBy("month_dt")
-    out = (gmv_month.select("month_dt", "gmv", "order_cnt")
-           .withColumn("prev_gmv", F.lag("gmv").over(w))
+    ``lag`` over the month series, written without a global window: the
+    months are numbered with :func:`rank_all` and each month is joined to
+    the one numbered just before it. The start filter applies after that, so
+    the first shown month still has its predecessor's change."""
+    months = rank_all(gmv_month.select("month_dt", "gmv", "order_cnt"),
+                      [F.col("month_dt").asc_nulls_first()], rank_col="_i")
+    prev = months.select((F.col("_i") + 1).alias("_i"), F.col("gmv").alias("prev_gmv"))
+    out = (months.join(prev, "_i", "left")
            .withColumn("mom_pct",
                        F.round(F.try_divide((F.col("gmv") - F.col("prev_gmv")) * F.lit(100),
-                                            F.col("prev_gmv")), 2).cast(CHANGE_TYPE)))
+                                            F.col("prev_gmv")), 2).cast(CHANGE_TYPE))
+           .select("month_dt", "gmv", "order_cnt", "prev_gmv", "mom_pct"))
     if start_month is not None:
         out = out.filter(F.col("month_dt") >= start_month)
     return out
