@@ -13,7 +13,7 @@ independent engine can rebuild identical raw tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.joins import broadcast_if_small
@@ -63,20 +63,20 @@ STAR_SCHEMAS = {
 STAR_TABLES = tuple(STAR_SCHEMAS)
 
 
-def _key(prefix: str, c: str) -> Column:
-    return F.concat(F.lit(prefix), F.col(c).cast("string"))
+def _key(prefix: str, c: str) -> str:
+    return f"concat('{prefix}', CAST({c} AS STRING))"
 
 
-def _ts_text(c: str) -> Column:
+def _ts_text(c: str) -> str:
     """``yyyy-MM-dd HH:mm:ss`` text of a TIMESTAMP_NTZ column. A plain cast
     involves no session time zone (a zone-aware format could shift a local
     time that falls into a daylight-saving gap)."""
-    return F.col(c).cast("string")
+    return f"CAST({c} AS STRING)"
 
 
-def _mod(c: str, m: int) -> Column:
-    return F.col(c) % F.lit(m)
-
+# The projections below are SQL expressions: each table's projection is
+# parsed on the JVM side in one call instead of one bridge call per column
+# operation.
 
 def read_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.schema(STAR_SCHEMAS[t]).parquet(f"{sf_dir.rstrip('/')}/{t}.parquet")
@@ -84,119 +84,111 @@ def read_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def raw_orders(orders: DataFrame) -> DataFrame:
-    status = (F.when(F.col("o_orderstatus") == "F", F.lit(STATUS_BY_CODE["F"]))
-               .when(F.col("o_orderstatus") == "O", F.lit(STATUS_BY_CODE["O"]))
-               .when(F.col("o_orderstatus") == "P",
-                     F.when(_mod("o_orderkey", 2) == 0, F.lit(PENDING_EVEN))
-                      .otherwise(F.lit(PENDING_ODD))))
-    null_s = F.lit(None).cast("string")
-    out = (orders.filter(_mod("o_orderkey", DROP_ORDER_MOD) != 0)
-           .select(
-               _key("o", "o_orderkey").alias("order_id"),
-               F.when(_mod("o_orderkey", NULL_CUSTOMER_MOD) == 0, null_s)
-                .otherwise(_key("c", "o_custkey")).alias("customer_id"),
-               status.alias("order_status"),
-               F.when(_mod("o_orderkey", EMPTY_TIMESTAMP_MOD) == 0, F.lit(""))
-                .otherwise(_ts_text("o_orderdate"))
-                .alias("order_purchase_timestamp"),
-               null_s.alias("order_approved_at"),
-               null_s.alias("order_delivered_carrier_date"),
-               null_s.alias("order_delivered_customer_date"),
-               null_s.alias("order_estimated_delivery_date"),
-           ))
+    out = orders.filter(f"o_orderkey % {DROP_ORDER_MOD} <> 0").selectExpr(
+        f"{_key('o', 'o_orderkey')} AS order_id",
+        f"CASE WHEN o_orderkey % {NULL_CUSTOMER_MOD} = 0 THEN CAST(NULL AS STRING) "
+        f"ELSE {_key('c', 'o_custkey')} END AS customer_id",
+        f"CASE o_orderstatus WHEN 'F' THEN '{STATUS_BY_CODE['F']}' "
+        f"WHEN 'O' THEN '{STATUS_BY_CODE['O']}' "
+        f"WHEN 'P' THEN CASE WHEN o_orderkey % 2 = 0 THEN '{PENDING_EVEN}' "
+        f"ELSE '{PENDING_ODD}' END END AS order_status",
+        f"CASE WHEN o_orderkey % {EMPTY_TIMESTAMP_MOD} = 0 THEN '' "
+        f"ELSE {_ts_text('o_orderdate')} END AS order_purchase_timestamp",
+        "CAST(NULL AS STRING) AS order_approved_at",
+        "CAST(NULL AS STRING) AS order_delivered_carrier_date",
+        "CAST(NULL AS STRING) AS order_delivered_customer_date",
+        "CAST(NULL AS STRING) AS order_estimated_delivery_date",
+    )
     return conform(out, RAW_SCHEMAS["orders"])
 
 
 def raw_order_items(lineitem: DataFrame) -> DataFrame:
-    qty = F.col("l_quantity").cast("decimal(10,2)")
-    out = lineitem.select(
-        _key("o", "l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        _key("p", "l_partkey").alias("product_id"),
-        _key("s", "l_suppkey").alias("seller_id"),
-        _ts_text("l_shipdate").alias("shipping_limit_date"),
-        F.when(_mod("l_orderkey", NULL_PRICE_MOD) == 0, F.lit(None).cast("decimal(10,2)"))
-         .otherwise(F.col("l_extendedprice").cast("decimal(10,2)")).alias("price"),
-        F.when(_mod("l_orderkey", NEGATIVE_FREIGHT_MOD) == 0, -qty).otherwise(qty)
-         .alias("freight_value"),
+    qty = "CAST(l_quantity AS DECIMAL(10,2))"
+    out = lineitem.selectExpr(
+        f"{_key('o', 'l_orderkey')} AS order_id",
+        "l_linenumber AS order_item_id",
+        f"{_key('p', 'l_partkey')} AS product_id",
+        f"{_key('s', 'l_suppkey')} AS seller_id",
+        f"{_ts_text('l_shipdate')} AS shipping_limit_date",
+        f"CASE WHEN l_orderkey % {NULL_PRICE_MOD} = 0 THEN CAST(NULL AS DECIMAL(10,2)) "
+        f"ELSE CAST(l_extendedprice AS DECIMAL(10,2)) END AS price",
+        f"CASE WHEN l_orderkey % {NEGATIVE_FREIGHT_MOD} = 0 THEN -{qty} ELSE {qty} END "
+        f"AS freight_value",
     )
     return conform(out, RAW_SCHEMAS["order_items"])
 
 
 def raw_order_payments(orders: DataFrame) -> DataFrame:
-    paid = orders.filter(_mod("o_orderkey", UNPAID_MOD) != 0)
-    first_char = F.substring("o_orderpriority", 1, 1)
-    ptype = None
-    for code, name in PAYMENT_TYPE_BY_PRIORITY.items():
-        ptype = (F.when(first_char == code, F.lit(name)) if ptype is None
-                 else ptype.when(first_char == code, F.lit(name)))
-    first = paid.select(
-        _key("o", "o_orderkey").alias("order_id"),
-        F.lit(1).alias("payment_sequential"),
-        ptype.alias("payment_type"),
-        F.lit(1).alias("payment_installments"),
-        F.col("o_totalprice").cast("decimal(12,2)").alias("payment_value"),
+    paid = orders.filter(f"o_orderkey % {UNPAID_MOD} <> 0")
+    whens = " ".join(f"WHEN '{code}' THEN '{name}'"
+                     for code, name in PAYMENT_TYPE_BY_PRIORITY.items())
+    first = paid.selectExpr(
+        f"{_key('o', 'o_orderkey')} AS order_id",
+        "1 AS payment_sequential",
+        f"CASE substring(o_orderpriority, 1, 1) {whens} END AS payment_type",
+        "1 AS payment_installments",
+        "CAST(o_totalprice AS DECIMAL(12,2)) AS payment_value",
     )
-    second = paid.filter(_mod("o_orderkey", SECOND_PAYMENT_MOD) == 0).select(
-        _key("o", "o_orderkey").alias("order_id"),
-        F.lit(2).alias("payment_sequential"),
-        F.lit(SECOND_PAYMENT_TYPE).alias("payment_type"),
-        F.lit(1).alias("payment_installments"),
-        F.lit(SECOND_PAYMENT_VALUE).cast("decimal(12,2)").alias("payment_value"),
+    second = paid.filter(f"o_orderkey % {SECOND_PAYMENT_MOD} = 0").selectExpr(
+        f"{_key('o', 'o_orderkey')} AS order_id",
+        "2 AS payment_sequential",
+        f"'{SECOND_PAYMENT_TYPE}' AS payment_type",
+        "1 AS payment_installments",
+        f"CAST('{SECOND_PAYMENT_VALUE}' AS DECIMAL(12,2)) AS payment_value",
     )
     return conform(first.unionByName(second), RAW_SCHEMAS["order_payments"])
 
 
+def _nations(nation: DataFrame) -> DataFrame:
+    return broadcast_if_small(nation.select("n_nationkey", "n_name"))
+
+
 def raw_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    nat = broadcast_if_small(nation.select("n_nationkey", "n_name"))
-    out = (customer.filter(_mod("c_custkey", DROP_CUSTOMER_MOD) != 0)
-           .join(nat, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
-           .select(
-               _key("c", "c_custkey").alias("customer_id"),
-               F.col("c_name").alias("customer_unique_id"),
-               F.col("c_nationkey").alias("customer_zip_code_prefix"),
-               F.concat(F.col("c_mktsegment"), F.lit("-"), F.col("n_name")).alias("customer_city"),
-               F.when(_mod("c_custkey", NULL_STATE_MOD) == 0, F.lit(None).cast("string"))
-                .otherwise(F.col("n_name")).alias("customer_state"),
+    out = (customer.filter(f"c_custkey % {DROP_CUSTOMER_MOD} <> 0")
+           .join(_nations(nation), F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+           .selectExpr(
+               f"{_key('c', 'c_custkey')} AS customer_id",
+               "c_name AS customer_unique_id",
+               "c_nationkey AS customer_zip_code_prefix",
+               "concat(c_mktsegment, '-', n_name) AS customer_city",
+               f"CASE WHEN c_custkey % {NULL_STATE_MOD} = 0 THEN CAST(NULL AS STRING) "
+               f"ELSE n_name END AS customer_state",
            ))
     return conform(out, RAW_SCHEMAS["customers"])
 
 
 def raw_products(part: DataFrame) -> DataFrame:
-    null_d = F.lit(None).cast("double")
-    out = part.select(
-        _key("p", "p_partkey").alias("product_id"),
-        F.when(_mod("p_partkey", EMPTY_CATEGORY_MOD) == 0, F.lit(""))
-         .otherwise(F.lower("p_type")).alias("product_category_name"),
-        null_d.alias("product_name_lenght"),
-        null_d.alias("product_description_lenght"),
-        null_d.alias("product_photos_qty"),
-        F.col("p_size").cast("double").alias("product_weight_g"),
-        null_d.alias("product_length_cm"),
-        null_d.alias("product_height_cm"),
-        null_d.alias("product_width_cm"),
+    out = part.selectExpr(
+        f"{_key('p', 'p_partkey')} AS product_id",
+        f"CASE WHEN p_partkey % {EMPTY_CATEGORY_MOD} = 0 THEN '' ELSE lower(p_type) END "
+        f"AS product_category_name",
+        "CAST(NULL AS DOUBLE) AS product_name_lenght",
+        "CAST(NULL AS DOUBLE) AS product_description_lenght",
+        "CAST(NULL AS DOUBLE) AS product_photos_qty",
+        "CAST(p_size AS DOUBLE) AS product_weight_g",
+        "CAST(NULL AS DOUBLE) AS product_length_cm",
+        "CAST(NULL AS DOUBLE) AS product_height_cm",
+        "CAST(NULL AS DOUBLE) AS product_width_cm",
     )
     return conform(out, RAW_SCHEMAS["products"])
 
 
 def raw_category_translation(part: DataFrame) -> DataFrame:
-    cats = (part.filter(F.col("p_type") != UNTRANSLATED_TYPE)
-                .select(F.lower("p_type").alias("product_category_name")).distinct())
-    out = cats.select(
-        "product_category_name",
-        F.concat(F.lit(ENGLISH_PREFIX), F.col("product_category_name"))
-         .alias("product_category_name_english"))
+    out = (part.filter(f"p_type <> '{UNTRANSLATED_TYPE}'")
+           .selectExpr("lower(p_type) AS product_category_name").distinct()
+           .selectExpr("product_category_name",
+                       f"concat('{ENGLISH_PREFIX}', product_category_name) "
+                       f"AS product_category_name_english"))
     return conform(out, RAW_SCHEMAS["category_translation"])
 
 
 def raw_sellers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
-    nat = broadcast_if_small(nation.select("n_nationkey", "n_name"))
-    out = (supplier.join(nat, F.col("s_nationkey") == F.col("n_nationkey"), "inner")
-           .select(
-               _key("s", "s_suppkey").alias("seller_id"),
-               F.col("s_nationkey").alias("seller_zip_code_prefix"),
-               F.col("n_name").alias("seller_city"),
-               F.col("n_name").alias("seller_state"),
+    out = (supplier.join(_nations(nation), F.col("s_nationkey") == F.col("n_nationkey"), "inner")
+           .selectExpr(
+               f"{_key('s', 's_suppkey')} AS seller_id",
+               "s_nationkey AS seller_zip_code_prefix",
+               "n_name AS seller_city",
+               "n_name AS seller_state",
            ))
     return conform(out, RAW_SCHEMAS["sellers"])
 
