@@ -1,7 +1,7 @@
 """Join helpers.
 
 Broadcasting is only done behind a size check: :func:`broadcast_if_small`
-counts at most ``max_rows + 1`` rows of the candidate side and only then adds
+asks whether the candidate side has a row past ``max_rows`` and only then adds
 the hint; beyond the bound the join stays a shuffle join, which AQE may still
 turn into a broadcast at run time from measured stage sizes
 (``spark.sql.autoBroadcastJoinThreshold``).
@@ -22,11 +22,16 @@ _CHECKED: dict[tuple[int, int, int], bool] = {}
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows. Reads at most
-    ``max_rows + 1`` rows past any aggregation in ``df``."""
+    """True when ``df`` has no more than ``max_rows`` rows.
+
+    Planned as one collect-limit with an offset: partitions are scanned a few
+    at a time (more each round) until ``max_rows + 1`` empty rows are seen, so
+    a large input stops after its first partitions. It adds no shuffle of its
+    own (``limit(n).count()`` would let every map task send up to ``n`` rows
+    to one reducer)."""
     key = (id(df.sparkSession), df.semanticHash(), max_rows)
     if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+        _CHECKED[key] = df.offset(max_rows).isEmpty()
     return _CHECKED[key]
 
 

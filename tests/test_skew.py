@@ -47,3 +47,14 @@ def trade_detail(raw, **kw):
     from martforge.operators.detail import trade_detail as td
     return td(raw["order_items"], raw["orders"], raw["order_payments"], raw["customers"],
               raw["products"], raw["category_translation"], etl_date="2026-01-01", **kw)
+
+
+def test_row_count_check_at_the_bound(spark):
+    from martforge.functions.joins import row_count_at_most
+    for n_rows, parts in ((0, 1), (999, 7), (1000, 7), (1001, 7), (5000, 3)):
+        df = spark.range(0, n_rows, numPartitions=parts)
+        assert row_count_at_most(df, 1000) is (n_rows <= 1000), n_rows
+    # past an aggregation: 1000 groups from 5000 rows
+    grouped = spark.range(0, 5000, numPartitions=5).groupBy((F.col("id") % 1000).alias("g")).count()
+    assert row_count_at_most(grouped, 1000)
+    assert not row_count_at_most(grouped, 999)
