@@ -16,9 +16,17 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 100_000
 
 
-# (session id, plan hash, bound) -> verdict. An identical plan over the same
-# inputs is checked once per session rather than once per query.
-_CHECKED: dict[tuple[int, int, int], bool] = {}
+# (session id, plan hash, input files, bound) -> verdict. An identical plan
+# over the same inputs is checked once per session rather than once per query.
+_CHECKED: dict[tuple, bool] = {}
+
+
+def plan_key(df: DataFrame) -> tuple:
+    """Memo key for a verdict about ``df``: its session, its plan and the files
+    it reads. A plan's semantic hash names a path, not what is in it, so the
+    file snapshot (part files get new names on every write) keeps a verdict
+    from outliving data appended to or rewritten at that path."""
+    return (id(df.sparkSession), df.semanticHash(), hash(tuple(sorted(df.inputFiles()))))
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -29,7 +37,7 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     a large input stops after its first partitions. It adds no shuffle of its
     own (``limit(n).count()`` would let every map task send up to ``n`` rows
     to one reducer)."""
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    key = plan_key(df) + (max_rows,)
     if key not in _CHECKED:
         _CHECKED[key] = df.offset(max_rows).isEmpty()
     return _CHECKED[key]

@@ -17,9 +17,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .joins import row_count_at_most
+from .joins import plan_key, row_count_at_most
 
-# (session id, plan hash, key, settings) -> hot keys found
+# (session id, plan hash, input files, key, settings) -> hot keys found
 _FOUND: dict[tuple, list] = {}
 
 
@@ -39,8 +39,7 @@ def hot_keys(df: DataFrame, key: str, *, min_share: float | None = None,
         min_share = 1.0 / (4 * max(parts, 1))
     if target_sample is None:
         target_sample = int(5 * min_count / min_share)
-    memo = (id(df.sparkSession), df.semanticHash(), key, target_sample, min_share,
-            min_count, max_keys, seed)
+    memo = plan_key(df) + (key, target_sample, min_share, min_count, max_keys, seed)
     if memo in _FOUND:
         return _FOUND[memo]
     total = df.count()

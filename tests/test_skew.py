@@ -58,3 +58,19 @@ def test_row_count_check_at_the_bound(spark):
     grouped = spark.range(0, 5000, numPartitions=5).groupBy((F.col("id") % 1000).alias("g")).count()
     assert row_count_at_most(grouped, 1000)
     assert not row_count_at_most(grouped, 999)
+
+
+def test_verdicts_follow_new_data_at_the_same_path(spark, tmp_dir):
+    from martforge.functions.joins import row_count_at_most
+    path = f"{tmp_dir}/grows"
+    spark.range(10).write.mode("overwrite").parquet(path)
+    assert row_count_at_most(spark.read.parquet(path), 100)
+    spark.range(1000).write.mode("append").parquet(path)
+    assert not row_count_at_most(spark.read.parquet(path), 100)
+    spark.range(5).write.mode("overwrite").parquet(path)
+    assert row_count_at_most(spark.read.parquet(path), 100)
+    # hot keys: a key that becomes hot after an append is found
+    spark.range(2000).selectExpr("CAST(id AS STRING) AS k").write.mode("overwrite").parquet(path)
+    assert hot_keys(spark.read.parquet(path), "k") == []
+    spark.range(4000).selectExpr("'h' AS k").write.mode("append").parquet(path)
+    assert hot_keys(spark.read.parquet(path), "k") == ["h"]
