@@ -21,6 +21,8 @@ LOCAL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # delete reliable checkpoints (rank_all) once their DataFrame is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # Runtime settings the jobs rely on, applied to any session unless set
