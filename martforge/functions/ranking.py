@@ -8,8 +8,10 @@
   checkpointed once; when it is proven to hold at most ``SINGLE_TASK_ROWS``
   rows one window numbers it. Otherwise a plain ``Window.orderBy`` would move
   every row into a single partition, so the rows are range-partitioned on the
-  order, numbered inside each partition, and shifted by the row counts of the
-  partitions before them (one small row per partition, broadcast).
+  order, sorted inside each partition, numbered by their position there, and
+  shifted by the row counts of the partitions before them (one small row per
+  partition, broadcast). The input crosses the network once, in the range
+  shuffle.
 * :func:`top_k_per_group` - ``ROW_NUMBER() OVER (PARTITION BY g ORDER BY ...)
   <= k``; Spark adds a partial WindowGroupLimit before the shuffle, so a hot
   group ships at most ``k`` rows per map task.
@@ -59,18 +61,25 @@ def rank_all(df: DataFrame, order: Sequence[Column], rank_col: str = "rank_num",
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Range partitions are ordered: every row of partition i sorts before
-    # every row of partition i + 1.
-    ranged = (base.repartitionByRange(num_partitions, *order)
-                  .withColumn("_part", F.spark_partition_id()))
-    local = ranged.withColumn(
-        "_pos", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    sizes = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # every row of partition i + 1. Inside a sorted partition the position is
+    # the record number of monotonically_increasing_id (its lower 33 bits,
+    # the partition index being in the upper bits). A window partitioned by
+    # the partition id would shuffle every row a second time.
+    ranged = base.repartitionByRange(num_partitions, *order)
+    local = (ranged.sortWithinPartitions(*order)
+                   .select("*", F.spark_partition_id().alias("_part"),
+                           F.monotonically_increasing_id().alias("_id")))
+    local = local.withColumn(
+        "_pos", F.col("_id") - F.shiftleft(F.col("_part").cast("long"), 33) + 1)
+    # counted from the same range shuffle (reused), without the sort
+    sizes = (ranged.select(F.spark_partition_id().alias("_part"))
+                   .groupBy("_part").agg(F.count(F.lit(1)).alias("_n")))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     # One row per range partition: bounded by num_partitions, safe to broadcast.
     out = local.join(F.broadcast(offsets), "_part")
     return (out.withColumn(rank_col, (F.col("_off") + F.col("_pos")).cast("int"))
-               .drop("_part", "_pos", "_off"))
+               .drop("_part", "_id", "_pos", "_off"))
 
 
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,

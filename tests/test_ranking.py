@@ -57,3 +57,20 @@ def test_rank_all_small_input_single_window(spark):
     got = rank_all(df, order)
     exp = _reference(df, order)
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_rank_all_shuffles_the_rows_once(spark):
+    import contextlib
+    import io
+    df = _frame(spark)
+    got = rank_all(df, order_spec("m", ["k"]), num_partitions=7, single_task_rows=10)
+    got.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        got.explain()
+    final = buf.getvalue().split("== Initial Plan ==")[0]
+    # one range shuffle, read again by the size count as a reused stage;
+    # no window over the partition id (a second shuffle of every row)
+    assert final.count("+- Exchange rangepartitioning") == 1, final
+    assert "ReusedExchange" in final, final
+    assert "row_number()" not in final, final
