@@ -74,3 +74,19 @@ def test_rank_all_shuffles_the_rows_once(spark):
     assert final.count("+- Exchange rangepartitioning") == 1, final
     assert "ReusedExchange" in final, final
     assert "row_number()" not in final, final
+
+
+def test_rank_all_hot_metric_value_is_split(spark):
+    # a third of the rows share one metric value; the order includes the
+    # unique key, so the range bounds cut through the tie
+    df = _frame(spark, 6000).withColumn(
+        "m", F.when(F.col("k").cast("int") % 3 == 0, F.lit(5).cast("decimal(14,2)"))
+              .otherwise(F.col("m")))
+    order = order_spec("m", ["k"])
+    got = rank_all(df, order, num_partitions=6, single_task_rows=10)
+    exp = _reference(df, order)
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+    ranged = got.checkpoint().repartitionByRange(6, *order)  # same bounds rule
+    sizes = [r["n"] for r in ranged.groupBy(F.spark_partition_id().alias("p"))
+             .agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(sizes) < 6000 / 3, sizes
