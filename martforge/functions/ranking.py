@@ -4,14 +4,13 @@
   ``rank <= n``. Written as sort + limit first, so Spark plans a
   TakeOrderedAndProject (each task keeps its own n best rows); only the final
   ``n`` rows meet in one task to be numbered.
-* :func:`rank_all` - the same numbering with no cut-off. The input is
-  checkpointed once; when it is proven to hold at most ``SINGLE_TASK_ROWS``
-  rows one window numbers it. Otherwise a plain ``Window.orderBy`` would move
-  every row into a single partition, so the rows are range-partitioned on the
-  order, sorted inside each partition, numbered by their position there, and
-  shifted by the row counts of the partitions before them (one small row per
-  partition, broadcast). The input crosses the network once, in the range
-  shuffle.
+* :func:`rank_all` - the same numbering with no cut-off, one path for every
+  size. A plain ``Window.orderBy`` would move every row into a single
+  partition, so the rows are range-partitioned on the order, sorted inside
+  each partition and written once, each with its range partition and its
+  position there. The partition sizes and the output are both read from that
+  written copy, so they can't disagree; a rank is the position plus the row
+  counts of the partitions before it. The rows cross the network once.
 * :func:`top_k_per_group` - ``ROW_NUMBER() OVER (PARTITION BY g ORDER BY ...)
   <= k``; Spark adds a partial WindowGroupLimit before the shuffle, so a hot
   group ships at most ``k`` rows per map task.
@@ -28,11 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
-from .joins import row_count_at_most
-
-# Up to this many rows a full ranking is numbered by one window task.
-SINGLE_TASK_ROWS = 100_000
+from ..session import scratch_path
 
 
 def order_spec(metric: str, keys: Sequence[str]) -> list[Column]:
@@ -48,38 +43,33 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int,
 
 
 def rank_all(df: DataFrame, order: Sequence[Column], rank_col: str = "rank_num",
-             num_partitions: int | None = None,
-             single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+             num_partitions: int | None = None, folder: str | None = None,
+             rank_type: str = "int") -> DataFrame:
+    """``df`` plus ``ROW_NUMBER() OVER (ORDER BY order)`` over all rows.
+
+    Runs one job: the sorted rows are written to ``folder`` (default: a fresh
+    folder beside the checkpoints)."""
     spark = df.sparkSession
-    # Both branches below read the input; a reliable checkpoint computes it
-    # once (and cuts its lineage) instead of running the upstream twice.
-    checkpoint_root(spark)
-    base = df.checkpoint(eager=True)
-    if row_count_at_most(base, single_task_rows):
-        # proven small: one window over at most single_task_rows rows
-        return base.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("int"))
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Range partitions are ordered: every row of partition i sorts before
-    # every row of partition i + 1. Inside a sorted partition the position is
-    # the record number of monotonically_increasing_id (its lower 33 bits,
-    # the partition index being in the upper bits). A window partitioned by
-    # the partition id would shuffle every row a second time.
-    ranged = base.repartitionByRange(num_partitions, *order)
-    local = (ranged.sortWithinPartitions(*order)
-                   .select("*", F.spark_partition_id().alias("_part"),
-                           F.monotonically_increasing_id().alias("_id")))
-    local = local.withColumn(
-        "_pos", F.col("_id") - F.shiftleft(F.col("_part").cast("long"), 33) + 1)
-    # counted from the same range shuffle (reused), without the sort
-    sizes = (ranged.select(F.spark_partition_id().alias("_part"))
-                   .groupBy("_part").agg(F.count(F.lit(1)).alias("_n")))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # One row per range partition: bounded by num_partitions, safe to broadcast.
-    out = local.join(F.broadcast(offsets), "_part")
-    return (out.withColumn(rank_col, (F.col("_off") + F.col("_pos")).cast("int"))
-               .drop("_part", "_id", "_pos", "_off"))
+    path = folder or scratch_path(spark, "rank")
+    part, pos, first = "__range_part", "__range_pos", "__range_first"
+    # Every row of range partition i sorts before every row of partition i+1.
+    # monotonically_increasing_id holds the partition in its upper bits and
+    # the record number of the sorted partition in its lower 33 bits.
+    (df.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
+       .select("*", F.spark_partition_id().alias(part),
+               F.monotonically_increasing_id().alias(pos))
+       .write.mode("overwrite").parquet(path))
+    stored = spark.read.parquet(path)
+    # one row per range partition: bounded by num_partitions, safe to broadcast
+    sizes = stored.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(part, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(first))
+    local = F.col(pos) - F.shiftleft(F.col(part).cast("long"), 33) + 1
+    return (stored.join(F.broadcast(offsets), part)
+                  .withColumn(rank_col, (F.col(first) + local).cast(rank_type))
+                  .drop(part, pos, first))
 
 
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,

@@ -9,7 +9,9 @@ folder used to cut lineage.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -61,7 +63,7 @@ def apply_job_defaults(spark: SparkSession, extra: dict[str, str] | None = None)
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -91,6 +93,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table next to the checkpoints."""
-    root = checkpoint_root(spark)
-    return os.path.join(root.rstrip("/"), "tables", name)
+    """A fresh path for an intermediate table next to the checkpoints. It is
+    unique per call, so concurrent runs can't overwrite each other, and the
+    cluster file system deletes it when the application ends."""
+    path = "/".join([checkpoint_root(spark).rstrip("/"), "tables",
+                     f"{name}-{uuid.uuid4().hex}"])
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
