@@ -23,6 +23,12 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files)
 
 
+def op8_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import token_counts
 
@@ -38,6 +44,7 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.drop("task", "place")
 
 
-QUERIES = {f.__name__: f for f in (op4_token_files, op9_token_counts, op10_pack_sequences)}
+QUERIES = {f.__name__: f for f in (op4_token_files, op8_simhash_golay, op9_token_counts,
+                                  op10_pack_sequences)}
 
 ORACLE_SQL: dict[str, str] = {}
