@@ -34,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import id_text, store
 from .components import components
@@ -78,7 +79,7 @@ def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
 def with_fingerprints(docs: DataFrame, text_col: str = "text", words: int = SHINGLE_WORDS,
                       name: str = "__fingerprint") -> DataFrame:
     """``docs`` with all its columns and the fingerprint as a (signed) long."""
-    schema = docs.schema.add(name, "long")
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
