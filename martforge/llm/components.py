@@ -19,21 +19,17 @@ def components(links: DataFrame) -> DataFrame:
     from each node that occurs in a link of two different nodes."""
     a, b = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     edges = store(links.select(a, b).filter("a < b").distinct(), "links")
-    labels = None
+    labels = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    labels = labels.withColumn("root", F.col("node"))
     while not edges.isEmpty():
-        hooks = store(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up")), "hooks")
+        hooks = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up"))
         above = hooks.select(F.col("node").alias("up"), F.col("up").alias("top"))
         parents = store(hooks.join(above, "up", "left")
                         .select("node", F.coalesce("top", "up").alias("up")), "parents")
-        if labels is None:
-            nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-            labels = nodes.select("node", F.col("node").alias("root"))
-        labels = store(_renamed(labels, "root", parents), "labels")
+        labels = _renamed(labels, "root", parents)  # one short join per round
         edges = _renamed(_renamed(edges, "a", parents), "b", parents)
         edges = store(edges.select(a, b).filter("a < b").distinct(), "links")
-    if labels is None:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return labels
+    return labels.select("node", "root")
 
 
 def _renamed(df: DataFrame, column: str, parents: DataFrame) -> DataFrame:
