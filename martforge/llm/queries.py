@@ -15,6 +15,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_files import read_token_files, write_token_files
 
@@ -23,6 +29,12 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files)
 
 
+def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import personal_data
+
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
@@ -44,7 +56,28 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.drop("task", "place")
 
 
-QUERIES = {f.__name__: f for f in (op4_token_files, op8_simhash_golay, op9_token_counts,
-                                  op10_pack_sequences)}
-
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op2_decontaminate, op4_token_files, op7_pii_spans, op8_simhash_golay, op9_token_counts,
+    op10_pack_sequences)}
+
+_OP2_SHINGLES = """
+    SELECT DISTINCT {id}, text, unnest(CASE
+        WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+        WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+        END) AS s
+    FROM (SELECT {id}, text, regexp_extract_all(lower(coalesce(text, '')),
+                 '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM {table})"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontaminate": f"""
+WITH held AS ({_OP2_SHINGLES.format(id="doc_id", table="documents")}),
+wanted AS ({_OP2_SHINGLES.format(id="item_id", table="benchmark")}),
+sizes AS (SELECT item_id, count(*) AS n_shingles FROM wanted GROUP BY item_id),
+shared AS (SELECT doc_id, item_id, count(*) AS n_shared
+           FROM held JOIN wanted USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shingles, n_shared,
+       CAST(n_shared AS DOUBLE) / n_shingles AS containment
+FROM shared JOIN sizes USING (item_id)
+WHERE n_shared >= 0.8 * n_shingles""",
+}
