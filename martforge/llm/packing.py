@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from .common import id_text, store
 from .units import encoder
 
+#: Bound of a worker's unit cache; the pieces of a batch need memory beside it.
+CACHE_UNITS = 600_000
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, "
           "task int, place long, ids binary")
 PLAN = "length long, first long, last long, used long, bin long, at long"
@@ -44,7 +46,8 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, spaces: str, end_id: int,
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task, enc = TaskContext.get().partitionId(), encoder(tokenizer_path, spaces)
+        task = TaskContext.get().partitionId()
+        enc = encoder(tokenizer_path, spaces, limit=CACHE_UNITS)
         seen: dict[int, int] = {}
         end = np.array([end_id], "<u4")
         for batch in batches:

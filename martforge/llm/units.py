@@ -145,9 +145,11 @@ class UnitEncoder:
                 yield out[a:b]
 
 
-def encoder(path: str, spaces: str, counts: bool = False) -> UnitEncoder:
+def encoder(path: str, spaces: str, counts: bool = False,
+            limit: int = 1_000_000) -> UnitEncoder:
     """This worker's encoder for a tokenizer file."""
     key = (path, spaces, counts)
     if key not in _ENCODERS:
         _ENCODERS[key] = UnitEncoder(path, spaces, counts)
+    _ENCODERS[key].limit = limit
     return _ENCODERS[key]
