@@ -29,6 +29,13 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import personal_data
 
@@ -57,8 +64,8 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_decontaminate, op4_token_files, op7_pii_spans, op8_simhash_golay, op9_token_counts,
-    op10_pack_sequences)}
+    op2_decontaminate, op4_token_files, op5_toxicity, op7_pii_spans, op8_simhash_golay,
+    op9_token_counts, op10_pack_sequences)}
 
 _OP2_SHINGLES = """
     SELECT DISTINCT {id}, text, unnest(CASE

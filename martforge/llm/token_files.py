@@ -44,23 +44,39 @@ FILES = ("shard int, segment int, start long, n_ids long, doc_ids array<long>, "
          "doc_lengths array<long>, image binary")
 
 
+def packed_size(n: int, width: int) -> int:
+    """Bytes that ``n`` values of ``width`` bits take."""
+    return 8 * width * -(-n // 64)
+
+
 def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
-    """Rows of ``values`` at ``width`` bits each, as rows of bytes."""
-    if width in (8, 16, 32):
-        return values.astype(f"<u{width // 8}").view(np.uint8).reshape(len(values), -1)
-    bits = np.unpackbits(np.ascontiguousarray(values.astype("<u4")).view(np.uint8).reshape(
-        *values.shape, 4), axis=2, count=width, bitorder="little")
-    return np.packbits(bits.reshape(len(values), -1), axis=1, bitorder="little")
+    """Rows of ``values`` at ``width`` bits each, as rows of bytes: the row is
+    cut into 64 lanes, and equal places of the lanes share ``width`` words."""
+    n, columns = len(values), -(-values.shape[1] // 64)
+    lanes = np.zeros((n, 64 * columns), np.uint64)
+    lanes[:, :values.shape[1]] = values
+    lanes = lanes.reshape(n, 64, columns)
+    words = np.zeros((n, width, columns), np.uint64)
+    for i in range(64):
+        word, shift = divmod(i * width, 64)
+        words[:, word] |= lanes[:, i] << np.uint64(shift)
+        if shift + width > 64:
+            words[:, word + 1] |= lanes[:, i] >> np.uint64(64 - shift)
+    return words.astype("<u8", copy=False).reshape(n, -1).view(np.uint8)
 
 
 def unpack_bits(packed: np.ndarray, width: int, n: int) -> np.ndarray:
     """Inverse of :func:`pack_bits` for rows of ``n`` values."""
-    if width in (8, 16, 32):
-        return packed.view(f"<u{width // 8}").astype(np.uint32)
-    bits = np.unpackbits(packed, axis=1, count=n * width, bitorder="little")
-    padded = np.zeros((len(packed) * n, 32), np.uint8)
-    padded[:, :width] = bits.reshape(-1, width)
-    return np.packbits(padded, axis=1, bitorder="little").view("<u4").reshape(len(packed), n)
+    words = packed.view("<u8").reshape(len(packed), width, -1)
+    mask = np.uint64((1 << width) - 1)
+    lanes = np.empty((len(packed), 64, words.shape[2]), np.uint32)
+    for i in range(64):
+        word, shift = divmod(i * width, 64)
+        value = words[:, word] >> np.uint64(shift)
+        if shift + width > 64:
+            value |= words[:, word + 1] << np.uint64(64 - shift)
+        lanes[:, i] = value & mask
+    return lanes.reshape(len(packed), -1)[:, :n]
 
 
 def encode_segment(ids: np.ndarray, block: int = BLOCK_IDS, percentile: int = PERCENTILE) -> bytes:
@@ -115,12 +131,12 @@ def decode_segment(image: bytes, first: int = 0, last: int | None = None) -> np.
     for width in np.unique(widths).tolist():
         which = np.flatnonzero(widths == width)
         if width:
-            size = -(-block * width // 8)
+            size = packed_size(block, width)
             packed = np.stack([raw[a:a + size] for a in at[which].tolist()])
             out[which] = unpack_bits(packed, width, block)
     for i, (_, width, n) in enumerate(heads):
         if n:
-            a = int(at[i]) + -(-block * width // 8)
+            a = int(at[i]) + packed_size(block, width)
             out[i, np.frombuffer(image, "<u2", n, a)] = np.frombuffer(image, "<u4", n, a + 2 * n)
     out += np.array([h[0] for h in heads], np.uint32)[:, None]
     return out.reshape(-1)[first - b0 * block:last - b0 * block]
