@@ -21,6 +21,13 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .nearest import nearest
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20)
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_files import read_token_files, write_token_files
 
@@ -64,7 +71,7 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_decontaminate, op4_token_files, op5_toxicity, op7_pii_spans, op8_simhash_golay,
+    op2_decontaminate, op3_nearest, op4_token_files, op5_toxicity, op7_pii_spans, op8_simhash_golay,
     op9_token_counts, op10_pack_sequences)}
 
 _OP2_SHINGLES = """
