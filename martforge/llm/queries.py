@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 
@@ -43,6 +44,16 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of a second copy in which about one record in 256 is corrupt and
+    as many are lost, chosen by a hash of the page id."""
+    from .fixity import damaged_copy, fixity_report, write_archive
+
+    archive = write_archive(table(spark, sf_dir, "pages"))
+    mark = F.substring(F.md5(F.col("page_id").cast("string")), 1, 2)
+    return fixity_report(archive, damaged_copy(archive, mark == "00", mark == "01"))
+
+
 def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import personal_data
 
@@ -71,7 +82,8 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_decontaminate, op3_nearest, op4_token_files, op5_toxicity, op7_pii_spans, op8_simhash_golay,
+    op2_decontaminate, op3_nearest, op4_token_files, op5_toxicity, op6_warc_fixity,
+    op7_pii_spans, op8_simhash_golay,
     op9_token_counts, op10_pack_sequences)}
 
 _OP2_SHINGLES = """
@@ -94,4 +106,23 @@ SELECT doc_id, item_id, n_shingles, n_shared,
        CAST(n_shared AS DOUBLE) / n_shingles AS containment
 FROM shared JOIN sizes USING (item_id)
 WHERE n_shared >= 0.8 * n_shingles""",
+    "op6_warc_fixity": """
+WITH records AS (
+    SELECT page_id, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+        || 'WARC-Record-ID: <urn:page:' || CAST(page_id AS VARCHAR) || '>' || chr(13) || chr(10)
+        || 'WARC-Date: 2000-01-01T00:00:00Z' || chr(13) || chr(10)
+        || 'WARC-Target-URI: ' || replace(replace(coalesce(url, ''), chr(13), '%0D'), chr(10), '%0A')
+        || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
+        || 'Content-Length: ' || CAST(strlen(coalesce(html, '')) AS VARCHAR)
+        || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '')
+        || chr(13) || chr(10) || chr(13) || chr(10) AS record,
+        left(md5(CAST(page_id AS VARCHAR)), 2) AS mark
+    FROM pages),
+numbered AS (SELECT *, row_number() OVER (ORDER BY page_id) - 1 AS n FROM records)
+SELECT page_id, CAST(n // 1024 AS BIGINT) AS shard,
+       CAST(coalesce(sum(strlen(record)) OVER (PARTITION BY n // 1024 ORDER BY n
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset",
+       CAST(strlen(record) AS BIGINT) AS length, sha256(record) AS sha256,
+       CASE mark WHEN '00' THEN 'corrupt' WHEN '01' THEN 'missing' ELSE 'intact' END AS status
+FROM numbered""",
 }
