@@ -16,6 +16,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contaminated
 
@@ -82,9 +89,9 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_decontaminate, op3_nearest, op4_token_files, op5_toxicity, op6_warc_fixity,
-    op7_pii_spans, op8_simhash_golay,
-    op9_token_counts, op10_pack_sequences)}
+    op1_suffix_dedup, op2_decontaminate, op3_nearest, op4_token_files, op5_toxicity,
+    op6_warc_fixity, op7_pii_spans, op8_simhash_golay, op9_token_counts,
+    op10_pack_sequences)}
 
 _OP2_SHINGLES = """
     SELECT DISTINCT {id}, text, unnest(CASE
