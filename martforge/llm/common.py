@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,18 @@ def store(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, n: int) -> Iterator[None]:
+    """Jobs run inside hand at most ``n`` rows at a time to Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, n)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id long, text string)`` with NULL text read as empty; all other
     columns are dropped, so their names can't clash with internal ones."""

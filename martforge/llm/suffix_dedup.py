@@ -40,18 +40,22 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, store
+from .common import batch_rows, id_text, store
 
 WINDOW = 50
 GRAM = 8
 SHALLOW = 24
 #: Bytes of strings sorted at once, and bins per shuffle partition.
 BIN_BYTES = 128_000_000
-BINS_PER_PARTITION = 8
-#: Bytes of text whose anchors are found at once; longer documents are cut
-#: into pieces that overlap by a window.
-CHUNK_BYTES = 8_000_000
+BINS_PER_PARTITION = 24
+#: Bytes of text whose strings are made distinct at once, and bytes whose
+#: anchors are found at once; longer documents are cut into pieces that overlap
+#: by a window.
+CHUNK_BYTES = 16_000_000
+SLICE_BYTES = 500_000
 POSITION_BITS = 25
+#: Rows (texts, blobs) that a task holds at a time.
+BATCH_ROWS = 500
 ROWS = "kind int, bin long, row long, first long, last long, payload binary"
 BLOB, SPAN, OVERFLOW = 0, 1, 2
 _BASE = 0x9E3779B97F4A7C15
@@ -292,8 +296,8 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         for doc, row, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text")),
                                   strict=True):
             raw = text.encode()
-            for base in range(0, max(1, len(raw) - WINDOW + 1), CHUNK_BYTES):
-                part = raw[base:base + CHUNK_BYTES + WINDOW - 1]
+            for base in range(0, max(1, len(raw) - WINDOW + 1), SLICE_BYTES):
+                part = raw[base:base + SLICE_BYTES + WINDOW - 1]
                 held.append((doc, row, base, part))
                 size += len(part)
                 if size >= CHUNK_BYTES:
@@ -313,25 +317,42 @@ def _distinct(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return order, group, doc[order][new]
 
 
+def hashed_runs(data: np.ndarray, ends: np.ndarray):
+    """:func:`anchored_runs` of all pieces, a slice at a time, with a hash of
+    each run's bytes: ``(piece, first, windows, anchor, anchor hash, hash)``."""
+    begins = np.concatenate([[0], ends[:-1]])
+    cuts = [0, *(np.flatnonzero(np.diff(ends // SLICE_BYTES)) + 1).tolist(), len(ends)]
+    found = []
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if a < b:
+            at = begins[a]
+            part = data[at:ends[b - 1]]
+            piece, first, n, anchor, hashed = anchored_runs(part, ends[a:b] - at)
+            whole = SliceHash(part)(first, first + n + WINDOW - 1)
+            found.append((piece + a, first + at, n, anchor + at, hashed, whole))
+    return (np.concatenate(x) for x in zip(*found, strict=True))
+
+
 def deal_strings(batches: Iterator[pa.RecordBatch], n_bins: int) -> Iterator[pa.RecordBatch]:
     """Blobs of anchored strings by bin, and spans resolved within the task."""
     for pieces in _pieces(batches):
         data = np.frombuffer(b"".join(p[3] for p in pieces), np.uint8)
         ends = np.cumsum([len(p[3]) for p in pieces])
-        piece, first, n, anchor, hashed = anchored_runs(data, ends)
+        piece, first, n, anchor, hashed, whole = hashed_runs(data, ends)
         if not len(piece):
             continue
         docs, rows, bases = (np.array([p[i] for p in pieces], np.int64) for i in range(3))
         begins = ends - np.array([len(p[3]) for p in pieces])
         size, doc, row = n + WINDOW - 1, docs[piece], rows[piece]
         pos = first - begins[piece] + bases[piece]
-        order, group, least = _distinct(SliceHash(data)(first, first + size), doc)
+        del pieces
+        order, group, least = _distinct(whole, doc)
         again = doc[order] > least[group]
         seen = order[again]
         yield _spans(row[seen], pos[seen], pos[seen] + size[seen])
         left = order[~again]
-        bins = (hashed[left] * np.uint64(n_bins) >> np.uint64(64 - POSITION_BITS)).astype(np.int64)
-        left = left[np.lexsort((hashed[left], bins))]
+        del order, group, again, seen
+        left = left[np.argsort(hashed[left], kind="stable")]  # bins are ranges of hashes
         bins = (hashed[left] * np.uint64(n_bins) >> np.uint64(64 - POSITION_BITS)).astype(np.int64)
         yield from _blobs(BLOB, bins, left, data, first, size, anchor - first, doc, row, pos)
 
@@ -426,8 +447,9 @@ def repeated_spans(rows: DataFrame, bin_bytes: int = BIN_BYTES) -> DataFrame:
     def solve(dealt: DataFrame, name: str) -> DataFrame:
         # spans are spread by row, blobs meet by bin
         spread = F.when(F.col("kind") == SPAN, F.col("row")).otherwise(F.lit(None))
-        return store(dealt.repartition(partitions, "bin", spread).sortWithinPartitions("bin")
-                     .mapInArrow(lambda b: sort_bins(b, bin_bytes), ROWS), name)
+        with batch_rows(spark, BATCH_ROWS):
+            return store(dealt.repartition(partitions, "bin", spread).sortWithinPartitions("bin")
+                         .mapInArrow(lambda b: sort_bins(b, bin_bytes), ROWS), name)
 
     found = solve(rows.filter("doc_id IS NOT NULL")
                   .mapInArrow(lambda b: deal_strings(b, n_bins), ROWS), "spans")

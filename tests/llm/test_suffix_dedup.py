@@ -82,6 +82,7 @@ def test_documents_longer_than_a_chunk(spark, tmp_dir, monkeypatch):
     batch = sd.id_text(spark.createDataFrame(long, "doc_id long, text string")).toArrow()
     batch = batch.append_column("row", [[0, 1]]).combine_chunks().to_batches()
     monkeypatch.setattr(sd, "CHUNK_BYTES", 700)
+    monkeypatch.setattr(sd, "SLICE_BYTES", 300)
     rows = [b for b in sd.deal_strings(iter(batch), 3)]
     windows = Counter()
     for b in rows:
