@@ -352,8 +352,10 @@ def deal_strings(batches: Iterator[pa.RecordBatch], n_bins: int) -> Iterator[pa.
         yield _spans(row[seen], pos[seen], pos[seen] + size[seen])
         left = order[~again]
         del order, group, again, seen
-        left = left[np.argsort(hashed[left], kind="stable")]  # bins are ranges of hashes
-        bins = (hashed[left] * np.uint64(n_bins) >> np.uint64(64 - POSITION_BITS)).astype(np.int64)
+        # anchors are minima, so their hashes crowd near zero: spread them again
+        spread = hashed * _MULTIPLIER ^ hashed * np.uint64(_BASE) >> np.uint64(32)
+        left = left[np.argsort(spread[left], kind="stable")]  # bins are ranges of that
+        bins = ((spread[left] >> np.uint64(32)) * np.uint64(n_bins) >> np.uint64(32)).astype(np.int64)
         yield from _blobs(BLOB, bins, left, data, first, size, anchor - first, doc, row, pos)
 
 
