@@ -78,14 +78,23 @@ def abnormal_orders_month(order_status_day: DataFrame,
             .agg(F.sum("order_cnt").alias("order_cnt")))
 
 
-def region_month_matrix(region_sales_month: DataFrame, states: Sequence[str]) -> DataFrame:
-    """V-09: month x state GMV matrix. ``states`` fixes the columns (and so
-    the schema); a state outside the list is left out, a listed state
-    without sales is NULL."""
-    out = (region_sales_month.groupBy("month_dt")
-           .pivot("customer_state", list(states)).agg(F.sum("gmv")))
+def region_month_matrix(region_sales_month: DataFrame,
+                        states: Sequence[str] | None = None) -> DataFrame:
+    """V-09: month x state GMV matrix. By default there is a column for every
+    state in the data (a bounded collect of state names), so a row sums to its
+    month. An explicit ``states`` list fixes the schema instead; what the
+    other states sold is then added up in ``other``."""
+    name = F.col("customer_state")
+    if states is None:
+        found = region_sales_month.select("customer_state").distinct().orderBy("customer_state")
+        columns = [r[0] for r in found.collect()]
+    else:
+        columns = [*states, "other"]
+        name = F.when(name.isin(list(states)), name).otherwise("other")
+    out = (region_sales_month.select("month_dt", name.alias("customer_state"), "gmv")
+           .groupBy("month_dt").pivot("customer_state", columns).agg(F.sum("gmv")))
     return out.select("month_dt", *[F.col(f"`{s}`").cast("decimal(14,2)").alias(s)
-                                    for s in states])
+                                    for s in columns])
 
 
 def payment_month_share(payment_type_month: DataFrame) -> DataFrame:

@@ -140,16 +140,8 @@ class Warehouse:
         return row_counts(self.raw)
 
     # charts ----------------------------------------------------------------
-    def top_states(self, n: int = C.CHART_TOP) -> list[str]:
-        """Labels of the ``n`` best states (a bounded collect of ``n`` rows),
-        the default columns of the state x month matrix."""
-        rows = C.top_ranked(self.region_sales_rank, n).orderBy("rank_num").collect()
-        return [r.customer_state for r in rows]
-
     def charts(self, states: list[str] | None = None,
                start_month: str | None = None) -> dict[str, DataFrame]:
-        if states is None:
-            states = self.top_states()
         return {
             "gmv_daily_peak": C.gmv_daily_peak(self.gmv_trend),
             "gmv_mom": C.gmv_month_over_month(self.gmv_month, start_month),

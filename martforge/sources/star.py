@@ -5,10 +5,9 @@ The test data is a TPC-H-like star schema (``orders``, ``lineitem``,
 as a Spark job over the whole tables, into the nine raw tables the warehouse
 lands. The source has no NULLs, orphans or unpaid orders, so a few
 deterministic key rules plant those cases; they are data defects to exercise
-the semantics, not samples - every source row still flows through.
+the semantics: rows get another key or value, and every source row is kept.
 
-The same expressions are written as SQL in :mod:`martforge.oracle` so an
-independent engine can rebuild identical raw tables.
+The correctness oracle rebuilds the same raw tables in SQL.
 """
 
 from __future__ import annotations
@@ -16,18 +15,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.joins import broadcast_if_small
 from ..schemas import RAW_SCHEMAS, conform
 
 # The defect-planting key rules of the test adapter.
-DROP_ORDER_MOD = 499        # orders dropped -> their items become orphans
+DROP_ORDER_MOD = 499        # order under another key -> its items become orphans
 NULL_CUSTOMER_MOD = 211     # order customer_id NULL
 EMPTY_TIMESTAMP_MOD = 307   # purchase timestamp ''
 NULL_PRICE_MOD = 101        # item price NULL
 NEGATIVE_FREIGHT_MOD = 997  # item freight negated
-UNPAID_MOD = 13             # order has no payment rows
+UNPAID_MOD = 13             # payment rows under another key -> order unpaid
 SECOND_PAYMENT_MOD = 5      # order has a second 10.00 voucher payment
-DROP_CUSTOMER_MOD = 41      # customer missing from the customer table
+DROP_CUSTOMER_MOD = 41      # customer under another key -> order without customer row
 NULL_STATE_MOD = 50         # customer state NULL
 EMPTY_CATEGORY_MOD = 20     # product category ''
 
@@ -67,6 +65,11 @@ def _key(prefix: str, c: str) -> str:
     return f"concat('{prefix}', CAST({c} AS STRING))"
 
 
+def _stray(key: str, rule: str) -> str:
+    """``key``, or for rows that ``rule`` selects a key nothing refers to."""
+    return f"CASE WHEN {rule} THEN concat('x', {key}) ELSE {key} END"
+
+
 def _ts_text(c: str) -> str:
     """``yyyy-MM-dd HH:mm:ss`` text of a TIMESTAMP_NTZ column. A plain cast
     involves no session time zone (a zone-aware format could shift a local
@@ -84,8 +87,8 @@ def read_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def raw_orders(orders: DataFrame) -> DataFrame:
-    out = orders.filter(f"o_orderkey % {DROP_ORDER_MOD} <> 0").selectExpr(
-        f"{_key('o', 'o_orderkey')} AS order_id",
+    out = orders.selectExpr(
+        _stray(_key('o', 'o_orderkey'), f"o_orderkey % {DROP_ORDER_MOD} = 0") + " AS order_id",
         f"CASE WHEN o_orderkey % {NULL_CUSTOMER_MOD} = 0 THEN CAST(NULL AS STRING) "
         f"ELSE {_key('c', 'o_custkey')} END AS customer_id",
         f"CASE o_orderstatus WHEN 'F' THEN '{STATUS_BY_CODE['F']}' "
@@ -119,18 +122,18 @@ def raw_order_items(lineitem: DataFrame) -> DataFrame:
 
 
 def raw_order_payments(orders: DataFrame) -> DataFrame:
-    paid = orders.filter(f"o_orderkey % {UNPAID_MOD} <> 0")
+    order_id = _stray(_key("o", "o_orderkey"), f"o_orderkey % {UNPAID_MOD} = 0") + " AS order_id"
     whens = " ".join(f"WHEN '{code}' THEN '{name}'"
                      for code, name in PAYMENT_TYPE_BY_PRIORITY.items())
-    first = paid.selectExpr(
-        f"{_key('o', 'o_orderkey')} AS order_id",
+    first = orders.selectExpr(
+        order_id,
         "1 AS payment_sequential",
         f"CASE substring(o_orderpriority, 1, 1) {whens} END AS payment_type",
         "1 AS payment_installments",
         "CAST(o_totalprice AS DECIMAL(12,2)) AS payment_value",
     )
-    second = paid.filter(f"o_orderkey % {SECOND_PAYMENT_MOD} = 0").selectExpr(
-        f"{_key('o', 'o_orderkey')} AS order_id",
+    second = orders.filter(f"o_orderkey % {SECOND_PAYMENT_MOD} = 0").selectExpr(
+        order_id,
         "2 AS payment_sequential",
         f"'{SECOND_PAYMENT_TYPE}' AS payment_type",
         "1 AS payment_installments",
@@ -140,14 +143,15 @@ def raw_order_payments(orders: DataFrame) -> DataFrame:
 
 
 def _nations(nation: DataFrame) -> DataFrame:
-    return broadcast_if_small(nation.select("n_nationkey", "n_name"))
+    return nation.select("n_nationkey", "n_name")
 
 
 def raw_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    out = (customer.filter(f"c_custkey % {DROP_CUSTOMER_MOD} <> 0")
+    out = (customer
            .join(_nations(nation), F.col("c_nationkey") == F.col("n_nationkey"), "inner")
            .selectExpr(
-               f"{_key('c', 'c_custkey')} AS customer_id",
+               _stray(_key('c', 'c_custkey'), f"c_custkey % {DROP_CUSTOMER_MOD} = 0")
+               + " AS customer_id",
                "c_name AS customer_unique_id",
                "c_nationkey AS customer_zip_code_prefix",
                "concat(c_mktsegment, '-', n_name) AS customer_city",
@@ -174,8 +178,8 @@ def raw_products(part: DataFrame) -> DataFrame:
 
 
 def raw_category_translation(part: DataFrame) -> DataFrame:
-    out = (part.filter(f"p_type <> '{UNTRANSLATED_TYPE}'")
-           .selectExpr("lower(p_type) AS product_category_name").distinct()
+    name = _stray("lower(p_type)", f"p_type = '{UNTRANSLATED_TYPE}'")
+    out = (part.selectExpr(f"{name} AS product_category_name").distinct()
            .selectExpr("product_category_name",
                        f"concat('{ENGLISH_PREFIX}', product_category_name) "
                        f"AS product_category_name_english"))

@@ -5,12 +5,16 @@ import pytest
 import __spark_entry__ as E
 from oracle_compare import compare, duck_connection
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+from martforge.plans.registry import build_queries
+from warehouse_oracle import oracle_queries
+
+QUERIES = build_queries()
+SQL = oracle_queries()
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")

@@ -13,10 +13,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from martforge.operators import marts as M
 from martforge.operators import summaries as S
 from martforge.plans.pipeline import run_pipeline
+from martforge.plans.registry import build_queries
 from martforge.sources.raw import read_table
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
@@ -61,7 +61,7 @@ def test_top_n_marts_take_ordered(spark, warehouse):
 
 
 def test_no_cross_join_or_python_in_registered_queries(spark, smoke_dir):
-    for name, q in entry.queries().items():
+    for name, q in build_queries().items():
         text = plan_text(q(spark, smoke_dir))
         found = [op for op in FORBIDDEN if op in text]
         assert not found, (name, found)
