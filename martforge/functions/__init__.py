@@ -1,14 +1,14 @@
 """Column-level building blocks (all built-in Spark expressions)."""
 
-from .joins import broadcast_if_small, row_count_at_most
 from .labels import (ABNORMAL_STATUSES, DELIVERED, UNKNOWN, blank, day_of,
                      flag_count, label, month_of, present)
 from .money import percent, ratio, zero_if_null
 from .ranking import order_spec, rank_all, top_k_per_group, top_n
+from .skew import hot_keys, salted_join
 
 __all__ = [
-    "ABNORMAL_STATUSES", "DELIVERED", "UNKNOWN", "blank", "broadcast_if_small",
-    "day_of", "flag_count", "label", "month_of", "order_spec", "percent",
-    "present", "rank_all", "ratio", "row_count_at_most", "top_k_per_group",
+    "ABNORMAL_STATUSES", "DELIVERED", "UNKNOWN", "blank",
+    "day_of", "flag_count", "hot_keys", "label", "month_of", "order_spec", "percent",
+    "present", "rank_all", "ratio", "salted_join", "top_k_per_group",
     "top_n", "zero_if_null",
 ]

@@ -1,78 +1,49 @@
-"""Hot-key handling for joins whose big side may be dominated by a few keys.
+"""Hot keys in joins: one salted join instead of one overfull partition.
 
-:func:`hot_keys` finds keys that hold a large share of a frame's rows from a
-bounded random sample (the sample targets a fixed size whatever the table
-size, and at most ``max_keys`` keys come back to the driver).
+:func:`salted_join` spreads the rows of given hot keys over ``salts`` values
+and repeats only the other side's rows of those keys, so each side is scanned
+and joined once and nothing is broadcast, capped or given up. Without hot keys
+it is the plain join, whose skewed partitions adaptive execution may split.
 
-:func:`split_hot_join` joins the rows of those keys against a broadcast of
-the other side's matching rows - that side is checked to be small - and
-everything else through the ordinary shuffle join. Both halves are exact
-joins, so the union is the same result as one join; only the hot keys stop
-landing in a single shuffle partition. With no hot key the plain join is
-returned unchanged, keeping its output partitioning for later aggregations.
+:func:`hot_keys` finds the keys by an exact count. It runs a job, so only the
+pipeline calls it; building a lazy query never does.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
-
-from .joins import plan_key, row_count_at_most
+from collections.abc import Sequence
 
-# (session id, plan hash, input files, key, settings) -> hot keys found
-_FOUND: dict[tuple, list] = {}
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+#: Rows of a hot key are spread over this many join keys.
+SALTS = 32
 
-def hot_keys(df: DataFrame, key: str, *, min_share: float | None = None,
-             target_sample: int | None = None, min_count: int = 20,
-             max_keys: int = 10_000, seed: int = 17) -> list:
-    """Keys holding at least ``min_share`` of the rows (and ``min_count``
-    sampled rows), most frequent first, at most ``max_keys`` of them.
 
-    By default a key is hot when it alone would fill a quarter of an average
-    shuffle partition (``min_share = 1 / (4 * spark.sql.shuffle.partitions)``),
-    and the sample is sized so such a key is expected ``5 * min_count`` times.
-    Count the frame without filters (``df.select(key)`` of a scan) so the row
-    total comes from file metadata."""
+def hot_keys(df: DataFrame, key: str, min_share: float | None = None,
+             min_rows: int = 100_000) -> list:
+    """Non-null values of ``key`` that hold at least ``min_share`` of the rows
+    (default: a quarter of an average shuffle partition) and ``min_rows`` rows.
+    At most ``1 / min_share`` values can qualify, so the list is bounded."""
     if min_share is None:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         min_share = 1.0 / (4 * max(parts, 1))
-    if target_sample is None:
-        target_sample = int(5 * min_count / min_share)
-    memo = plan_key(df) + (key, target_sample, min_share, min_count, max_keys, seed)
-    if memo in _FOUND:
-        return _FOUND[memo]
-    total = df.count()
-    if total == 0:
-        _FOUND[memo] = []
-        return []
-    fraction = min(1.0, target_sample / total)
-    seen = Observation("hot_key_sample")
-    sample = (df.select(key).filter(F.col(key).isNotNull())
-              .sample(fraction=fraction, seed=seed)
-              .observe(seen, F.count(F.lit(1)).alias("n")))
-    candidates = (sample.groupBy(key).count()
-                  .filter(F.col("count") >= min_count)
-                  .orderBy(F.col("count").desc()).limit(max_keys)
-                  .collect())
-    sampled = seen.get.get("n", 0) if candidates else 0
-    found = [r[key] for r in candidates if r["count"] >= max(min_count, min_share * sampled)]
-    _FOUND[memo] = found
-    return found
+    least = max(min_rows, int(df.count() * min_share))
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).count()
+    return sorted(r[key] for r in counts.filter(F.col("count") >= least).select(key).collect())
 
 
-def split_hot_join(big: DataFrame, other: DataFrame, key: str, how: str, hot: list,
-                   max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """``big.join(other, key, how)`` with the ``hot`` keys of ``big`` joined
-    by broadcast. ``how`` must keep ``big``'s rows on the left (inner, left,
-    left_semi, left_anti)."""
+def salted_join(big: DataFrame, other: DataFrame, key: str, how: str,
+                hot: Sequence = (), salts: int = SALTS) -> DataFrame:
+    """``big.join(other, key, how)`` with the rows of ``hot`` keys spread.
+    ``how`` must keep ``big``'s rows on the left (inner, left, left_semi,
+    left_anti)."""
     if not hot:
         return big.join(other, key, how)
-    is_hot = F.col(key).isin(hot)
-    other_hot = other.filter(is_hot)
-    if not row_count_at_most(other_hot, max_broadcast_rows):
-        return big.join(other, key, how)
-    hot_part = big.filter(is_hot).join(F.broadcast(other_hot), key, how)
-    cold_part = big.filter(F.coalesce(~is_hot, F.lit(True))) \
-        .join(other.filter(F.coalesce(~is_hot, F.lit(True))), key, how)
-    return hot_part.unionByName(cold_part)
+    is_hot, salt = F.col(key).isin(list(hot)), "__salt"
+    names = [c for c in big.columns if c != key]
+    spread = F.pmod(F.xxhash64(*names), F.lit(salts)) if names else F.lit(0)
+    left = big.withColumn(salt, F.when(is_hot, spread).otherwise(F.lit(0)).cast("long"))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = other.withColumn(salt, F.explode(copies.cast("array<bigint>")))
+    return left.join(right, [key, salt], how).drop(salt)

@@ -7,37 +7,33 @@ multi-payment order never multiplies its items.
 Join order, chosen for large inputs and hot keys (any single order,
 customer, product or category may hold a large share of the rows):
 
-1. ``products x translation`` - the translation side is broadcast after a
-   row-count check. It is joined to the product dimension, not to the items,
-   so a hot category never funnels item rows into one shuffle partition.
-2. ``items x products`` on ``product_id`` - the narrow item rows shuffle on
-   the product key; AQE turns this into a broadcast when the product side is
-   small and splits a hot product's partition when it is not.
+1. ``products x translation`` on the product dimension, not on the items, so
+   a hot category never funnels item rows into one shuffle partition.
+2. ``items x products`` on ``product_id``.
 3. ``orders x payment rollup`` on ``order_id`` - both sides carry at most one
    row per order, so this join cannot be skewed; the rollup is already
    partitioned on ``order_id`` by its own aggregation.
 4. ``... x customers`` on ``customer_id`` - still at order grain, several
-   times smaller than the items; a hot customer is split by AQE.
-5. ``items x order header`` on ``order_id`` - one join whose two inputs are
-   both plain shuffles, which is the shape AQE's skew handling can split when
-   one order is hot. Hot orders found by a bounded sample
-   (:func:`martforge.functions.skew.hot_keys`) are joined separately against
-   a broadcast of their header rows, the rest by the shuffle join; with no
-   hot order the output stays partitioned on ``order_id`` and the
-   order-level aggregations downstream need no further shuffle.
+   times smaller than the items.
+5. ``items x order header`` on ``order_id``.
+
+Whether a side is broadcast is left to the optimizer and adaptive execution,
+which know its size in bytes. Keys known to be hot (``hot``: column name ->
+values, found by the pipeline with :func:`martforge.functions.skew.hot_keys`)
+are salted in joins 2 and 5; each input is still scanned and joined once.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import broadcast_if_small
 from ..functions.labels import day_of
 from ..functions.money import zero_if_null
-from ..functions.skew import hot_keys, split_hot_join
+from ..functions.skew import salted_join
 from ..schemas import MONEY_ITEM, conform
 
 
@@ -63,13 +59,14 @@ def product_dimension(products: DataFrame, translation: DataFrame) -> DataFrame:
     """Products with their English category (snowflake flattened once)."""
     tr = translation.select("product_category_name", "product_category_name_english")
     return (products.select("product_id", "product_category_name", "product_weight_g")
-            .join(broadcast_if_small(tr), "product_category_name", "left"))
+            .join(tr, "product_category_name", "left"))
 
 
 def trade_detail(items: DataFrame, orders: DataFrame, payments: DataFrame,
                  customers: DataFrame, products: DataFrame, translation: DataFrame,
                  etl_date: str | _dt.date | Column | None = None,
-                 split_hot_orders: bool = True) -> DataFrame:
+                 hot: Mapping[str, Sequence] | None = None) -> DataFrame:
+    hot = hot or {}
     it = (items.filter(F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
           .select("order_id", "order_item_id", "product_id", "seller_id",
                   "price", "freight_value"))
@@ -77,14 +74,11 @@ def trade_detail(items: DataFrame, orders: DataFrame, payments: DataFrame,
           .select("order_id", "customer_id", "order_status", "order_purchase_timestamp"))
     cu = customers.select("customer_id", "customer_city", "customer_state")
 
-    items_p = it.join(product_dimension(products, translation), "product_id", "left")
+    items_p = salted_join(it, product_dimension(products, translation), "product_id", "left",
+                          hot.get("product_id", ()))
     header = (od.join(payment_rollup(payments), "order_id", "left")
                 .join(cu, "customer_id", "left"))
-    # A hot order (a large share of all items) is joined by broadcast of its
-    # header row; the rest goes through the shuffle join.
-    hot = hot_keys(items.select("order_id"), "order_id") if split_hot_orders else []
-    joined = split_hot_join(items_p, header, "order_id", "inner", hot)
-
+    joined = salted_join(items_p, header, "order_id", "inner", hot.get("order_id", ()))
     price = zero_if_null("price", MONEY_ITEM)
     freight = zero_if_null("freight_value", MONEY_ITEM)
     out = joined.select(
@@ -102,8 +96,9 @@ def trade_detail(items: DataFrame, orders: DataFrame, payments: DataFrame,
     return conform(out, "trade_detail")
 
 
-def trade_detail_from(raw: dict[str, DataFrame], etl_date=None) -> DataFrame:
+def trade_detail_from(raw: dict[str, DataFrame], etl_date=None,
+                      hot: Mapping[str, Sequence] | None = None) -> DataFrame:
     """:func:`trade_detail` over a dict of the nine raw tables."""
     return trade_detail(raw["order_items"], raw["orders"], raw["order_payments"],
                         raw["customers"], raw["products"], raw["category_translation"],
-                        etl_date=etl_date)
+                        etl_date=etl_date, hot=hot)

@@ -126,19 +126,3 @@ def city_sales(city_day: DataFrame, n: int = CITY_TOP_N) -> DataFrame:
                    F.sum("customer_cnt").alias("customer_cnt")))
     ranked = top_n(totals, order_spec("gmv", keys), n)
     return conform(ranked, "city_sales")
-
-
-def all_marts(detail: DataFrame, s: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The ten marts from the detail table and the six summaries."""
-    return {
-        "gmv_trend": gmv_trend(s["gmv_day"]),
-        "product_topn": product_topn(s["product_sales"]),
-        "region_sales_rank": region_sales_rank(s["region_day"]),
-        "order_status_day": order_status_day(detail),
-        "gmv_month": gmv_month(s["gmv_day"]),
-        "region_sales_month": region_sales_month(s["region_day"]),
-        "payment_type_month": payment_type_month(s["payment_type_day"]),
-        "payment_dist": payment_dist(s["payment_type_day"], s["gmv_day"]),
-        "category_topn": category_topn(s["product_sales"]),
-        "city_sales": city_sales(s["city_day"]),
-    }

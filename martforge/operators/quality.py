@@ -11,11 +11,14 @@ writer can collect them with ``observe`` while it writes the table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import blank, flag_count
 from ..functions.money import percent
+from ..functions.skew import salted_join
 
 PCT_TYPE = "decimal(5,2)"
 
@@ -78,15 +81,16 @@ def negative_amount_check(detail: DataFrame) -> DataFrame:
     return detail_profile(detail).select("price_negative_cnt", "freight_negative_cnt")
 
 
-def orphan_items(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """J-06: raw items whose order does not exist (anti join)."""
-    return (items.filter(F.col("order_id").isNotNull())
-            .join(orders.select("order_id"), "order_id", "left_anti"))
+def orphan_items(items: DataFrame, orders: DataFrame, hot: Sequence = ()) -> DataFrame:
+    """J-06: raw items whose order does not exist (anti join); ``hot`` orders
+    are salted."""
+    return salted_join(items.filter(F.col("order_id").isNotNull()), orders.select("order_id"),
+                       "order_id", "left_anti", hot)
 
 
-def orphan_check(items: DataFrame, orders: DataFrame) -> DataFrame:
+def orphan_check(items: DataFrame, orders: DataFrame, hot: Sequence = ()) -> DataFrame:
     """Q-5: ``items_without_order`` (informational)."""
-    return orphan_items(items, orders).agg(F.count(F.lit(1)).alias("items_without_order"))
+    return orphan_items(items, orders, hot).agg(F.count(F.lit(1)).alias("items_without_order"))
 
 
 def payment_coverage_check(detail: DataFrame) -> DataFrame:
@@ -132,7 +136,7 @@ def profile_from_metrics(spark, metrics: dict) -> DataFrame:
 
 
 def quality_report(items: DataFrame, orders: DataFrame, detail: DataFrame,
-                   profile: DataFrame | None = None) -> DataFrame:
+                   profile: DataFrame | None = None, hot: Sequence = ()) -> DataFrame:
     """Q-8: Q-1 ... Q-6 as rows ``(check, metric, value, expected, passed)``.
 
     One aggregation pass over the detail - or none, when ``profile`` carries
@@ -146,7 +150,7 @@ def quality_report(items: DataFrame, orders: DataFrame, detail: DataFrame,
         "*",
         source_items(items).select(F.count(F.lit(1))).scalar().alias("source_rows"),
         duplicate_check(detail).scalar().alias("duplicate_count"),
-        orphan_check(items, orders).scalar().alias("items_without_order"),
+        orphan_check(items, orders, hot).scalar().alias("items_without_order"),
     ).withColumns({
         "detail_rows": F.col("total_cnt"),
         "no_payment_pct": percent("no_payment_cnt", "total_cnt", dtype=None).cast(PCT_TYPE),

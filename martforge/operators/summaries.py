@@ -58,12 +58,20 @@ def order_grain(detail: DataFrame) -> DataFrame:
     return order_level(detail, GRAIN_KEYS[2:], nonempty_date=False)
 
 
+def one_row_per_order(grain: DataFrame) -> bool:
+    """True when the (written) order grain has one row per date and order; the
+    summaries then need no regrouping. One shuffle instead of one each."""
+    return grain.groupBy(DATE, "order_id").count().filter("count > 1").isEmpty()
+
+
 def _orders(detail: DataFrame | None, grain: DataFrame | None, dims: Sequence[str],
-            nonempty_date: bool = True) -> DataFrame:
+            nonempty_date: bool = True, regroup: bool = True) -> DataFrame:
     if grain is None:
         return order_level(detail, dims, nonempty_date=nonempty_date)
     keys = [DATE, "order_id", *dims]
     src = grain.filter(F.col(DATE) != "") if nonempty_date else grain
+    if not regroup:
+        return src.select(*keys, "pay_amt")
     return src.groupBy(*keys).agg(F.max("pay_amt").alias("pay_amt"))
 
 
@@ -71,9 +79,10 @@ def _n() -> F.Column:
     return F.count(F.lit(1))
 
 
-def gmv_day(detail: DataFrame | None = None, *, grain: DataFrame | None = None) -> DataFrame:
+def gmv_day(detail: DataFrame | None = None, *, grain: DataFrame | None = None,
+    regroup: bool = True) -> DataFrame:
     """T-02: per day - GMV, orders, distinct customers, average order value."""
-    t = _orders(detail, grain, ["customer_id"])
+    t = _orders(detail, grain, ["customer_id"], regroup=regroup)
     out = (t.groupBy(F.col(DATE).alias("dt"))
            .agg(F.sum("pay_amt").alias("gmv"),
                 _n().alias("order_cnt"),
@@ -97,9 +106,10 @@ def product_sales(detail: DataFrame) -> DataFrame:
     return conform(out, "product_sales")
 
 
-def region_day(detail: DataFrame | None = None, *, grain: DataFrame | None = None) -> DataFrame:
+def region_day(detail: DataFrame | None = None, *, grain: DataFrame | None = None,
+    regroup: bool = True) -> DataFrame:
     """T-04: per state x day."""
-    t = _orders(detail, grain, ["customer_id", "customer_state"])
+    t = _orders(detail, grain, ["customer_id", "customer_state"], regroup=regroup)
     out = (t.groupBy("customer_state", DATE)
            .agg(F.sum("pay_amt").alias("gmv"), _n().alias("order_cnt"),
                 F.count_distinct("customer_id").alias("customer_cnt"))
@@ -108,9 +118,10 @@ def region_day(detail: DataFrame | None = None, *, grain: DataFrame | None = Non
     return conform(out, "region_day")
 
 
-def city_day(detail: DataFrame | None = None, *, grain: DataFrame | None = None) -> DataFrame:
+def city_day(detail: DataFrame | None = None, *, grain: DataFrame | None = None,
+    regroup: bool = True) -> DataFrame:
     """T-05: per city + state x day."""
-    t = _orders(detail, grain, ["customer_id", "customer_city", "customer_state"])
+    t = _orders(detail, grain, ["customer_id", "customer_city", "customer_state"], regroup=regroup)
     out = (t.groupBy("customer_city", "customer_state", DATE)
            .agg(F.sum("pay_amt").alias("gmv"), _n().alias("order_cnt"),
                 F.count_distinct("customer_id").alias("customer_cnt"))
@@ -120,10 +131,11 @@ def city_day(detail: DataFrame | None = None, *, grain: DataFrame | None = None)
 
 
 def payment_type_day(detail: DataFrame | None = None, *,
-                     grain: DataFrame | None = None) -> DataFrame:
+                     grain: DataFrame | None = None,
+    regroup: bool = True) -> DataFrame:
     """T-06: per payment type x day. Orders without payment form the
     'unknown' row with a NULL gmv."""
-    t = _orders(detail, grain, ["payment_type"])
+    t = _orders(detail, grain, ["payment_type"], regroup=regroup)
     out = (t.groupBy("payment_type", DATE)
            .agg(F.sum("pay_amt").alias("gmv"), _n().alias("order_cnt"))
            .select(label("payment_type"), F.col(DATE).alias("dt"), "gmv", "order_cnt"))
@@ -131,11 +143,12 @@ def payment_type_day(detail: DataFrame | None = None, *,
 
 
 def user_order_summary(detail: DataFrame | None = None, *,
-                       grain: DataFrame | None = None) -> DataFrame:
+                       grain: DataFrame | None = None,
+    regroup: bool = True) -> DataFrame:
     """T-07: per customer - last and first purchase date, distinct orders,
     paid total. Its guard differs from the other summaries on purpose: an
     empty date passes, a NULL customer does not."""
-    t = _orders(detail, grain, ["customer_id"], nonempty_date=False)
+    t = _orders(detail, grain, ["customer_id"], nonempty_date=False, regroup=regroup)
     t = t.filter(F.col("customer_id").isNotNull())
     out = (t.groupBy("customer_id")
            .agg(F.max(DATE).alias("last_order_date"),
@@ -143,18 +156,3 @@ def user_order_summary(detail: DataFrame | None = None, *,
                 F.count_distinct("order_id").alias("order_cnt"),
                 F.sum("pay_amt").alias("total_amt")))
     return conform(out, "user_order_summary")
-
-
-def all_summaries(detail: DataFrame, grain: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The six summaries. Pass a materialised ``grain`` to share one
-    order-level pass between the five order-level summaries."""
-    if grain is None:
-        grain = order_grain(detail)
-    return {
-        "gmv_day": gmv_day(grain=grain),
-        "product_sales": product_sales(detail),
-        "region_day": region_day(grain=grain),
-        "city_day": city_day(grain=grain),
-        "payment_type_day": payment_type_day(grain=grain),
-        "user_order_summary": user_order_summary(grain=grain),
-    }

@@ -28,6 +28,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators import quality as Q
+from ..functions.skew import hot_keys
 from ..schemas import MART_TABLES, RAW_TABLES, SUMMARY_TABLES
 from ..session import get_session, scratch_path
 from ..sources.landing import land_all
@@ -37,6 +38,11 @@ from .sinks import run_export, table_path, write_table
 from .warehouse import Warehouse
 
 
+# The raw tables that the build reads; the others may be missing.
+READ_TABLES = ("orders", "order_items", "order_payments", "customers", "products",
+               "category_translation")
+
+
 def materializer(spark: SparkSession, root: str, timings: dict | None = None,
                  partition_detail_by: Sequence[str] = (),
                  observations: dict[str, tuple[Observation, list]] | None = None):
@@ -70,7 +76,7 @@ def run_pipeline(spark: SparkSession, root: str, *, raw: dict[str, DataFrame] |
                  out: str | None = None, tables: Sequence[str] | None = None,
                  etl_date=None, csv_options: dict | None = None,
                  parallel_jobs: int = 8, quality: bool = False,
-                 charts: bool = False) -> dict:
+                 charts: bool = False, partition_detail_by: Sequence[str] = ()) -> dict:
     """Build every layer into ``root``; optionally export marts to ``out``.
 
     Raw input is one of: ``raw`` (nine DataFrames), ``raw_dir`` (landed
@@ -84,19 +90,22 @@ def run_pipeline(spark: SparkSession, root: str, *, raw: dict[str, DataFrame] |
         if star_dir:
             raw = star_raw(spark, star_dir)
         elif raw_dir and csv_options is not None:
-            raw = read_sources(spark, raw_dir, **csv_options)
+            # an empty text field is '' on every way in, as in landing
+            raw = read_sources(spark, raw_dir, **{"keep_empty_strings": True, **csv_options})
         elif raw_dir:
-            raw = {n: read_table(spark, raw_dir, n) for n in RAW_TABLES}
+            raw = {n: read_table(spark, raw_dir, n) for n in READ_TABLES}
         else:
             raise ValueError("give raw, raw_dir or star_dir")
     timings: dict[str, float] = {}
     observed = {"trade_detail": (Observation("detail_profile"), Q.profile_columns())}
-    wh = Warehouse(raw, etl_date=etl_date,
-                   materialize=materializer(spark, root, timings, observations=observed))
     t0 = time.perf_counter()
+    hot = {k: hot_keys(raw["order_items"].select(k), k) for k in ("order_id", "product_id")}
+    timings["_hot_keys"] = round(time.perf_counter() - t0, 3)
+    wh = Warehouse(raw, etl_date=etl_date, hot=hot,
+                   materialize=materializer(spark, root, timings, partition_detail_by, observed))
     # Layer by layer: the tables of one layer only depend on the layers
     # below, so their writes go to Spark as concurrent jobs.
-    layers = [["detail"], ["grain"], list(SUMMARY_TABLES), list(MART_TABLES)]
+    layers = [["detail"], ["grain"], ["regroup"], list(SUMMARY_TABLES), list(MART_TABLES)]
     with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
         for layer in layers:
             list(pool.map(lambda n: getattr(wh, n), layer))
@@ -111,7 +120,8 @@ def run_pipeline(spark: SparkSession, root: str, *, raw: dict[str, DataFrame] |
     if quality:
         t1 = time.perf_counter()
         profile = Q.profile_from_metrics(spark, observed["trade_detail"][0].get)
-        report = Q.quality_report(raw["order_items"], raw["orders"], wh.detail, profile)
+        report = Q.quality_report(raw["order_items"], raw["orders"], wh.detail, profile,
+                                  hot["order_id"])
         write_table(report, root, "quality_report")
         timings["quality_report"] = round(time.perf_counter() - t1, 3)
     result = {"root": root, "timings": timings,
@@ -124,12 +134,18 @@ def run_pipeline(spark: SparkSession, root: str, *, raw: dict[str, DataFrame] |
 
 def main(argv: Sequence[str] | None = None) -> int:
     p = argparse.ArgumentParser(description="Build the warehouse and export the marts.")
-    src = p.add_mutually_exclusive_group(required=True)
+    src = p.add_mutually_exclusive_group()
     src.add_argument("--raw-dir", help="folder of landed raw tables (Parquet)")
     src.add_argument("--raw-csv-dir", help="folder of raw CSV tables, one file or folder per "
                      "table name; landed as Parquet under <warehouse-dir>/raw first")
     src.add_argument("--star-dir", help="star-schema test tables")
-    p.add_argument("--warehouse-dir", required=True)
+    p.add_argument("--warehouse-dir", help="folder of the warehouse tables")
+    p.add_argument("--warehouse-db", help="export only: read the marts from this database")
+    p.add_argument("--export-only", action="store_true",
+                   help="export finished marts of --warehouse-dir or --warehouse-db")
+    p.add_argument("--file-map", default="", help="table=file pairs under --raw-csv-dir, "
+                   "comma-separated (default: the table names)")
+    p.add_argument("--partition-detail-by", default="", help="comma-separated columns")
     p.add_argument("--output-dir", help="CSV export folder (skip export when absent)")
     p.add_argument("--tables", default="", help="comma-separated marts to export")
     p.add_argument("--etl-date", default=None)
@@ -137,20 +153,34 @@ def main(argv: Sequence[str] | None = None) -> int:
     p.add_argument("--quality", action="store_true", help="also write the quality report")
     p.add_argument("--charts", action="store_true", help="also write the chart datasets")
     a = p.parse_args(argv)
+    tables = [t for t in a.tables.split(",") if t.strip()]
+    if a.export_only or a.warehouse_db:
+        if not a.output_dir or not (a.warehouse_dir or a.warehouse_db):
+            p.error("an export needs --output-dir and --warehouse-dir or --warehouse-db")
+        report = run_export(get_session(a.master), None if a.warehouse_db else a.warehouse_dir,
+                            tables, a.output_dir, db=a.warehouse_db)
+        print(json.dumps({"export": report}, default=str))
+        return int(bool(report) and all(e["status"] != "ok" for e in report))
+    if not a.warehouse_dir or not (a.raw_dir or a.raw_csv_dir or a.star_dir):
+        p.error("a build needs --warehouse-dir and one of --raw-dir, --raw-csv-dir, --star-dir")
     spark = get_session(a.master)
     raw_dir, landing = a.raw_dir, None
     if a.raw_csv_dir:
         # land the raw CSV once as typed Parquet (the raw layer), then build
         # from it: later passes read columnar data, counts come from metadata
         raw_dir = table_path(a.warehouse_dir, "raw")
-        landing = land_all(spark, a.raw_csv_dir, raw_dir, {n: n for n in RAW_TABLES})
-        missing = [r["tbl"] for r in landing if r["status"] != "ok"]
+        landing = land_all(spark, a.raw_csv_dir, raw_dir, {
+            **{n: n for n in RAW_TABLES},
+            **dict(pair.split("=", 1) for pair in a.file_map.split(",") if pair.strip())})
+        # a missing table that nothing reads is reported and skipped
+        missing = [r["tbl"] for r in landing if r["status"] != "ok" and r["tbl"] in READ_TABLES]
         if missing:
             print(json.dumps({"landing": landing}, default=str))
             return 1
     res = run_pipeline(
         spark, a.warehouse_dir, raw_dir=raw_dir, star_dir=a.star_dir,
-        out=a.output_dir, tables=[t for t in a.tables.split(",") if t.strip()],
+        out=a.output_dir, tables=tables,
+        partition_detail_by=[c for c in a.partition_detail_by.split(",") if c.strip()],
         etl_date=a.etl_date, quality=a.quality, charts=a.charts)
     if landing is not None:
         res["landing"] = landing

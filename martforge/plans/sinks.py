@@ -9,6 +9,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,7 +99,9 @@ def register_all(spark: SparkSession, root: str, db: str,
         path = table_path(root, name)
         try:
             spark.read.parquet(path).schema  # noqa: B018 - existence check
-        except Exception:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise  # unreadable is not the same as absent
             continue
         spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
         spark.catalog.createTable(f"{db}.{name}", path=path, source="parquet")

@@ -32,8 +32,9 @@ def _lazy(df: DataFrame, name: str) -> DataFrame:
 
 class Warehouse:
     def __init__(self, raw: dict[str, DataFrame], etl_date=None,
-                 materialize: Materialize | None = None):
+                 materialize: Materialize | None = None, hot: dict | None = None):
         self.raw = raw
+        self.hot = hot or {}
         self.etl_date = etl_date
         self._mat = materialize or _lazy
 
@@ -48,17 +49,23 @@ class Warehouse:
 
     @cached_property
     def detail(self) -> DataFrame:
-        return self._mat(trade_detail_from(self.raw, self.etl_date), "trade_detail")
+        return self._mat(trade_detail_from(self.raw, self.etl_date, self.hot), "trade_detail")
 
     @cached_property
     def grain(self) -> DataFrame:
         """Shared order-level table feeding five summaries."""
         return self._mat(S.order_grain(self.detail), "_order_grain")
 
+    @cached_property
+    def regroup(self) -> bool:
+        """Whether the summaries must group the grain again. Checked once on a
+        written grain; a lazy build regroups, as a check would run a job."""
+        return self._mat is _lazy or not S.one_row_per_order(self.grain)
+
     # summaries -------------------------------------------------------------
     @cached_property
     def gmv_day(self) -> DataFrame:
-        return self._mat(S.gmv_day(grain=self.grain), "gmv_day")
+        return self._mat(S.gmv_day(grain=self.grain, regroup=self.regroup), "gmv_day")
 
     @cached_property
     def product_sales(self) -> DataFrame:
@@ -66,24 +73,19 @@ class Warehouse:
 
     @cached_property
     def region_day(self) -> DataFrame:
-        return self._mat(S.region_day(grain=self.grain), "region_day")
+        return self._mat(S.region_day(grain=self.grain, regroup=self.regroup), "region_day")
 
     @cached_property
     def city_day(self) -> DataFrame:
-        return self._mat(S.city_day(grain=self.grain), "city_day")
+        return self._mat(S.city_day(grain=self.grain, regroup=self.regroup), "city_day")
 
     @cached_property
     def payment_type_day(self) -> DataFrame:
-        return self._mat(S.payment_type_day(grain=self.grain), "payment_type_day")
+        return self._mat(S.payment_type_day(grain=self.grain, regroup=self.regroup), "payment_type_day")
 
     @cached_property
     def user_order_summary(self) -> DataFrame:
-        return self._mat(S.user_order_summary(grain=self.grain), "user_order_summary")
-
-    def summaries(self) -> dict[str, DataFrame]:
-        return {n: getattr(self, n) for n in
-                ("gmv_day", "product_sales", "region_day", "city_day",
-                 "payment_type_day", "user_order_summary")}
+        return self._mat(S.user_order_summary(grain=self.grain, regroup=self.regroup), "user_order_summary")
 
     # marts -----------------------------------------------------------------
     @cached_property

@@ -68,12 +68,12 @@ def test_land_all_skips_missing_and_counts(spark, tmp_dir, smoke_dir):
     for name in ("orders", "customers"):
         export_csv(raw[name], f"{src}/{name}.csv", single_file=True)
     report = {r["tbl"]: r for r in land_all(spark, src, f"{tmp_dir}/wh")}
-    assert report["orders"]["status"] == "ok" and report["orders"]["rows"] == 1496
-    assert report["customers"]["rows"] == 146
+    assert report["orders"]["status"] == "ok" and report["orders"]["rows"] == 1500
+    assert report["customers"]["rows"] == 150
     assert report["sellers"]["status"] == "skipped"
     counts = {r.tbl: r.cnt for r in row_counts(
         {"orders": read_table(spark, f"{tmp_dir}/wh", "orders")}).collect()}
-    assert counts == {"orders": 1496}
+    assert counts == {"orders": 1500}
 
 
 def test_pipeline_export_register_and_idempotence(spark, tmp_dir, smoke_dir):
@@ -156,10 +156,27 @@ def test_cli_builds_from_raw_csv(spark, tmp_dir, smoke_dir):
     assert read_table(spark, f"{tmp_dir}/wh", "quality_report").count() == 11
 
 
-def test_chart_datasets_default_states(spark, smoke_dir):
+def test_state_matrix_adds_up_to_the_month(spark, smoke_dir):
+    from martforge.operators.charts import region_month_matrix
     from martforge.plans.warehouse import Warehouse
     w = Warehouse.from_star(spark, smoke_dir, etl_date="2026-01-01")
-    charts = w.charts()
-    m = charts["region_month_matrix"]
-    assert m.columns[0] == "month_dt" and len(m.columns) == 16
-    assert all(df.count() >= 0 for df in charts.values())
+    month = w.region_sales_month
+    want = {r.month_dt: r.gmv for r in month.groupBy("month_dt").agg(F.sum("gmv").alias("gmv")).collect()}
+    for states in (None, ["NATION_1", "NATION_2"]):
+        m = region_month_matrix(month, states)
+        assert len(m.columns) == (27 if states is None else 4)
+        got = {r[0]: sum(x for x in r[1:] if x is not None) for r in m.collect()}
+        assert got == {k: v or 0 for k, v in want.items()}
+
+
+def test_export_only_command_line(spark, tmp_dir, smoke_dir):
+    from martforge.plans.pipeline import main
+    row = spark.sql("SELECT '2020-01-01' AS dt, 1.00BD AS gmv, 1L AS order_cnt, 1L AS customer_cnt, "
+                    "1.00BD AS avg_order_amt")
+    from martforge.plans.sinks import write_table
+    write_table(row, f"{tmp_dir}/wh", "gmv_trend")
+    assert main(["--export-only", "--warehouse-dir", f"{tmp_dir}/wh", "--tables", "gmv_trend",
+                 "--output-dir", f"{tmp_dir}/csv"]) == 0
+    assert spark.read.csv(f"{tmp_dir}/csv/gmv_trend", header=True).count() == 1
+    assert main(["--export-only", "--warehouse-db", "absent_db", "--tables", "gmv_trend",
+                 "--output-dir", f"{tmp_dir}/csv2"]) == 1
