@@ -6,11 +6,13 @@ are always pre-token ends, so encoding a text equals joining the encodings of
 its units, and a unit that repeats is encoded once per worker:
 
 * ``spaces="drop"`` (white space only separates): units are what stands between
-  spaces, tabs and line ends.
+  spaces, tabs and line ends, with full stops and commas apart where they are
+  single marks.
 * ``spaces="keep"`` (a word takes the space before it; other white space forms
   tokens of its own): a unit is a space and what follows up to the next space.
   Inside longer runs of white space such an end may lie within a token; texts
-  that have such a run (:data:`RUN`) are one unit as a whole.
+  that have such a run (:data:`RUN`) are one unit as a whole. Line feeds, full
+  stops and commas that stand single are token ends too.
 
 Units are split and made distinct by Arrow; Python sees each distinct unit of
 a batch once. Special strings inside texts hold no white space, so the library
@@ -35,6 +37,11 @@ from tokenizers import Tokenizer  # noqa: E402
 #: White space, a space, then white space or the end of the text.
 SPACE = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 RUN = SPACE + " (" + SPACE + r"|\z)"
+#: Texts in which a full stop or comma may continue a run of marks, or white
+#: space a run of white space; in all others these are token ends as well.
+MARKS = {"drop": r"[^A-Za-z0-9ß-öø-ÿ][.,]",  # letters that normalisation leaves alone
+         "keep": r"[^\pL\pN][.,]"}
+SPACES = SPACE + "{2}"
 #: Units made of one word and at most one mark: two pre-tokens whose byte-level
 #: spelling can be given to the BPE model itself, which skips the pipeline.
 PLAIN = {"drop": re.compile("()([a-zß-öø-ÿ]+)([.,]?)"),
@@ -56,6 +63,7 @@ def byte_letters() -> dict[int, str]:
 def split_units(texts: pa.Array, spaces: str) -> pa.ListArray:
     """The units of each text of a string array without nulls."""
     texts = texts.cast(pa.large_string())
+    single = pc.invert(pc.match_substring_regex(texts, MARKS[spaces]))
     if spaces == "drop":
         for white in "\n\t\r":
             texts = pc.replace_substring(texts, white, " ")
@@ -63,13 +71,20 @@ def split_units(texts: pa.Array, spaces: str) -> pa.ListArray:
         # repeat more often. Special strings are case-sensitive: leave those.
         if not pc.any(pc.match_substring(texts, "<|")).as_py():
             texts = pc.ascii_lower(texts)
+        texts = pc.if_else(single, _before(_before(texts, ".", " "), ",", " "), texts)
         return pc.split_pattern(texts, " ")
-    first = pc.if_else(pc.match_substring_regex(texts, RUN), texts, None)
-    marked = pc.if_else(first.is_null(), pc.replace_substring(texts, " ", "\x00 "), texts)
     if pc.any(pc.match_substring(texts, "\x00")).as_py():  # NUL in a text: no splitting
         return pa.LargeListArray.from_arrays(
-            np.arange(len(texts) + 1, dtype=np.int64), texts)
-    return pc.split_pattern(marked, "\x00")
+            np.arange(len(texts) + 1, dtype=np.int64), pa.concat_arrays([texts]))
+    whole = pc.match_substring_regex(texts, RUN)
+    single = pc.and_(single, pc.invert(pc.match_substring_regex(texts, SPACES)))
+    cut = _before(texts, " ")
+    fine = _before(_before(pc.replace_substring(cut, "\n", "\x00\n\x00"), "."), ",")
+    return pc.split_pattern(pc.if_else(whole, texts, pc.if_else(single, fine, cut)), "\x00")
+
+
+def _before(texts: pa.Array, mark: str, cut: str = "\x00") -> pa.Array:
+    return pc.replace_substring(texts, mark, cut + mark)
 
 
 class UnitEncoder:

@@ -28,7 +28,7 @@ TEXT = st.text(st.sampled_from("aB é.,'s \n\t\r\x0b\x1c\x85  0İß<|>日́")
 
 
 @pytest.mark.parametrize("kind", ["keep", "drop"])
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=1500, deadline=None)
 @given(texts=st.lists(TEXT, min_size=1, max_size=8))
 def test_unit_ids_equal_the_library(kind, texts):
     got = [x.tolist() for x in ENCODERS[kind].ids(pa.array(texts))]
