@@ -120,7 +120,9 @@ def audit(first: list[DataFrame], second: list[DataFrame], first_records: DataFr
             a, b = (x.join(near, F.floor(x["node"] / FANOUT) == near["up"], "left_semi")
                     for x in (a, b))
         a, b = a.withColumnRenamed("hash", "x"), b.withColumnRenamed("hash", "y")
-        suspects = a.join(b, "node", "full").filter(~F.col("x").eqNullSafe(F.col("y"))).select("node")
+        # stored, as the next level reads it twice
+        suspects = store(a.join(b, "node", "full").filter(~F.col("x").eqNullSafe(F.col("y")))
+                         .select("node"), "suspects")
     leaf, key = _leaf(form[0]), ["shard", "offset"]
 
     def suspected(records: DataFrame, name: str) -> DataFrame:
