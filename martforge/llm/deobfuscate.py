@@ -108,7 +108,7 @@ class Restorer:
                 return core
             core = word.strip(".,;:?\"'")  # marks at the ends may be letters too
         if core not in self.cache:
-            if len(self.cache) > 200_000:
+            if len(self.cache) > 100_000:
                 self.cache.clear()
             self.cache[core] = self.decode(core).strip(EDGE)
         return self.cache[core]

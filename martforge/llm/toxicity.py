@@ -158,7 +158,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int
 class Scorer:
     """Scores texts under a model; keeps the weights of words seen before."""
 
-    def __init__(self, model: Model, limit: int = 300_000) -> None:
+    def __init__(self, model: Model, limit: int = 150_000) -> None:
         self.model, self.limit = model, limit
         self.restorer = Restorer(model.trigrams)
         self.cache: dict[str, tuple[str, ...]] = {}
