@@ -14,12 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import charts as C
 from ..operators import quality as Q
 from ..operators import summaries as S
+from ..session import scratch_path
+from ..sources.raw import read_source
+from .sinks import export_csv
 from .warehouse import Warehouse
 
 # Parameters of the registered queries.
 ETL_DATE = "2026-01-01"
 START_MONTH = "1994-01"
 
+# Raw tables whose CSV export and import are registered as queries.
+CSV_TABLES = ("orders", "order_items", "order_payments", "customers", "category_translation")
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -42,6 +48,15 @@ def _on_detail(fn):
     return lambda spark, d: fn(_wh(spark, d).detail)
 
 
+def _csv_roundtrip(name: str) -> QueryFn:
+    """A raw table exported as CSV and read back with its declared schema."""
+    def q(spark, d):
+        path = scratch_path(spark, f"csv-{name}")
+        export_csv(_wh(spark, d).raw[name], path, single_file=False)
+        return read_source(spark, "", name, path=path, keep_empty_strings=True)
+    return q
+
+
 def build_queries() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {
         "payment_rollup": _layer("payment_rollup"),
@@ -80,4 +95,6 @@ def build_queries() -> dict[str, QueryFn]:
         "chart_payment_month_share": lambda s, d: C.payment_month_share(
             _wh(s, d).payment_type_month),
     })
+    for name in CSV_TABLES:
+        q[f"csv_roundtrip_{name}"] = _csv_roundtrip(name)
     return q

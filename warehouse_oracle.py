@@ -66,6 +66,7 @@ TABLES: dict[str, str] = {
         WHERE seq = 1 OR o_orderkey % {A.SECOND_PAYMENT_MOD} = 0""",
     "buyer": f"""
         SELECT {keyed('c', 'c_custkey', f'c_custkey % {A.DROP_CUSTOMER_MOD} = 0')} AS customer_id,
+               c_name AS name, CAST(c_nationkey AS INTEGER) AS zip,
                concat(c_mktsegment, '-', n_name) AS city,
                if(c_custkey % {A.NULL_STATE_MOD} = 0, NULL, n_name) AS state
         FROM customer JOIN nation ON n_nationkey = c_nationkey""",
@@ -253,6 +254,25 @@ BODIES: dict[str, str] = {
         FROM fact""",
     "order_level": f"SELECT DISTINCT day AS order_purchase_date, order_id, customer_id, "
                    f"{money('cents', 12)} AS pay_amt FROM bought WHERE day <> ''",
+    # CSV can't tell NULL from empty text: read back, both are ''
+    "csv_roundtrip_orders": """
+        SELECT order_id, coalesce(customer_id, '') AS customer_id, order_status,
+               bought_at AS order_purchase_timestamp, '' AS order_approved_at,
+               '' AS order_delivered_carrier_date, '' AS order_delivered_customer_date,
+               '' AS order_estimated_delivery_date
+        FROM head""",
+    "csv_roundtrip_order_items": f"SELECT {LINE_COLUMNS} FROM line",
+    "csv_roundtrip_order_payments": f"""
+        SELECT order_id, CAST(seq AS INTEGER) AS payment_sequential, kind AS payment_type,
+               CAST(1 AS INTEGER) AS payment_installments, {money('cents', 12)} AS payment_value
+        FROM payment""",
+    "csv_roundtrip_customers": """
+        SELECT customer_id, name AS customer_unique_id, zip AS customer_zip_code_prefix,
+               city AS customer_city, coalesce(state, '') AS customer_state
+        FROM buyer""",
+    "csv_roundtrip_category_translation": """
+        SELECT category AS product_category_name, english AS product_category_name_english
+        FROM english""",
     "raw_row_counts": counts(RAW_COUNTS, "tbl", "cnt"),
     "dq_row_counts": counts({"order_items": count_of("line"), "trade_detail": count_of("fact")},
                             "source", "row_count"),
