@@ -26,12 +26,21 @@ SWAP, KEEP_MARK, SHORTEN, KEEP_RUN, JOIN, PART = 1.0, 6.0, 1.0, 4.0, 0.5, 4.0
 #: letter.
 SYMBOLS = 28
 SEPARATORS = " .-_*"
-#: Three or more single characters with the same separator between them.
-SPACED = re.compile(r"(?<![^\s])[^\W_](?:([ .\-_*])[^\W_])(?:\1[^\W_])+(?![^\s.,!?])")
-SPACED_HINT = r"(^|\s)[^\s]([ ._*-])[^\s][ ._*-][^\s]([ ._*-]|\s|[.,!?]|$)"
+EDGE = ".,;:?\"'()[]{}…!“”‘’„«»"
+_MARKS = re.escape("".join(m for m in LOOKALIKES if not m.isalnum()))
+_SINGLE = rf"(?:[^\W_]|[{_MARKS}])"
+_OUTSIDE = rf"[^\s{re.escape(EDGE)}]"
+#: Three or more single characters, letters or look-alikes, with the same
+#: separator, once or more, between them.
+SPACED = re.compile(rf"(?<!{_OUTSIDE}){_SINGLE}(?:"
+                    + "|".join(rf"(?:{re.escape(s)}+{_SINGLE}){{2,}}" for s in SEPARATORS)
+                    + rf")(?!{_OUTSIDE})")
+#: Every text with a match of SPACED has one of this (RE2 syntax).
+SPACED_HINT = rf"[\p{{L}}\p{{N}}{_MARKS}](?:[ ._*-]+[\p{{L}}\p{{N}}{_MARKS}]){{2}}(?:[^\p{{L}}\p{{N}}]|$)"
+#: A spaced-out word may follow one of these written with the same spaces.
+ONE_LETTER_WORDS = "aàeoóuy"
 DISGUISED = re.compile(r"[^\W_].*[0-9@$!|+(€]|[0-9@$!|+(€].*[^\W_]|([^\W\d_])\1\1"
                        r"|[^\W\d_][._*-][^\W\d_]")
-EDGE = ".,;:?\"'()[]{}…!"
 
 
 def symbol_of(char: str) -> int:
@@ -61,8 +70,8 @@ class Restorer:
             while end < len(text) and text[end] == char:
                 end += 1
             n = end - at
-            if char in SEPARATORS and n == 1 and 0 < at < len(text) - 1:
-                steps.append([("", JOIN), (" ", PART)])
+            if char in SEPARATORS and 0 < at and end < len(text):
+                steps.append([("", JOIN), ("  ", PART)])  # two word ends, as counted
             else:
                 letters = LOOKALIKES.get(char, "")
                 shown = KEEP_MARK if letters else 0.0
@@ -110,12 +119,18 @@ class Restorer:
         if core not in self.cache:
             if len(self.cache) > 100_000:
                 self.cache.clear()
-            self.cache[core] = self.decode(core).strip(EDGE)
+            self.cache[core] = " ".join(self.decode(core).strip(EDGE).split())
         return self.cache[core]
 
     def restore_spaced(self, text: str) -> list[str]:
         """The words hidden in runs of single characters."""
-        return [w for m in SPACED.finditer(text.lower()) for w in self.decode(m[0]).split()]
+        found = []
+        for m in SPACED.finditer(text.lower()):
+            words = self.decode(m[0]).split()
+            found += words
+            if m[0][0] in ONE_LETTER_WORDS and len(words[0]) > 1:  # or a word of its own
+                found += self.decode(m[0][1:].lstrip(SEPARATORS)).split()
+        return found
 
 
 def trigram_counts(texts: list[str]) -> np.ndarray:

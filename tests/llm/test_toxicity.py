@@ -4,11 +4,13 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from cases import odd_docs, odd_rows
 
 from martforge.llm import toxicity as tox
-from martforge.llm.deobfuscate import SYMBOLS, Restorer, symbol_of, trigram_counts
+from martforge.llm.deobfuscate import SPACED_HINT, SYMBOLS, Restorer, symbol_of, trigram_counts
 
 BAD = ["moron", "idiot", "stupid", "loser", "disgusting"]
 SYLLABLES = ["the", "on", "er", "ing", "ed", "an", "ea", "tion", "re", "st", "ou", "ly", "wh"]
@@ -59,6 +61,15 @@ def test_disguises_are_undone(fitted):
     assert len(r.restore_word("4" * 5000 + "a")) > 0
 
 
+@pytest.mark.parametrize("shown,meant", [
+    ("you i d ! o t now", "idiot"), ("a $ t u p i d one", "stupid"), ("(l o s e r)", "loser"),
+    ('"i d i o t"', "idiot"), ("i  d  i  o  t", "idiot"), ("«l-0-s-3-r»", "loser"),
+    ("such [s__t__u__p__1__d]!", "stupid"), ("! d 1 0 t", "idiot")])
+def test_spaced_disguises_are_undone(fitted, shown, meant):
+    assert meant in Restorer(fitted[2].trigrams).restore_spaced(shown)
+    assert pc.match_substring_regex(pa.array([shown]), SPACED_HINT).to_pylist() == [True]
+
+
 def test_decode_is_the_cheapest_reading(fitted):
     r = Restorer(fitted[2].trigrams)
 
