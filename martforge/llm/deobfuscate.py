@@ -4,7 +4,8 @@ The sender's text is letters; the channel replaces letters by look-alikes,
 repeats them, or puts separators between them. The observed characters form a
 lattice: every character can stand for what it shows or for what it may
 disguise, a run of equal letters for one, two or all of them, a separator
-between single characters for a word end or for nothing. A Viterbi search
+between characters for a word end or for nothing, a look-alike mark at an end
+of the word for nothing. A Viterbi search
 finds the reading with the least total cost under the channel and a character
 trigram model of the corpus.
 """
@@ -22,6 +23,7 @@ LOOKALIKES = {
 }
 #: Channel costs in nats.
 SWAP, KEEP_MARK, SHORTEN, KEEP_RUN, JOIN, PART = 1.0, 6.0, 1.0, 4.0, 0.5, 4.0
+DROP = 6.0
 #: Symbols of the trigram model: 0 a word end, 1-26 the letters, 27 any other
 #: letter.
 SYMBOLS = 28
@@ -39,8 +41,10 @@ SPACED = re.compile(rf"(?<!{_OUTSIDE}){_SINGLE}(?:"
 SPACED_HINT = rf"[\p{{L}}\p{{N}}{_MARKS}](?:[ ._*-]+[\p{{L}}\p{{N}}{_MARKS}]){{2}}(?:[^\p{{L}}\p{{N}}]|$)"
 #: A spaced-out word may follow one of these written with the same spaces.
 ONE_LETTER_WORDS = "aàeoóuy"
-DISGUISED = re.compile(r"[^\W_].*[0-9@$!|+(€]|[0-9@$!|+(€].*[^\W_]|([^\W\d_])\1\1"
-                       r"|[^\W\d_][._*-][^\W\d_]")
+#: A word whose lattice has more than one path.
+AMBIGUOUS = re.compile(rf"[{re.escape(''.join(LOOKALIKES))}]|(.)\1|.[{re.escape(SEPARATORS)}].", re.S)
+#: Marks at the ends of a word that stand for no letter.
+PLAIN_EDGE = "".join(c for c in EDGE if c not in LOOKALIKES)
 
 
 def symbol_of(char: str) -> int:
@@ -82,6 +86,8 @@ class Restorer:
                         readings.append((letter, cost + SHORTEN))
                     if n > 2:
                         readings.append((letter * 2, cost + SHORTEN))
+                if letters and not char.isalnum() and (at == 0 or end == len(text)):
+                    readings.append(("", DROP))  # punctuation
                 steps.append(readings)
             at = end
         return steps
@@ -91,6 +97,12 @@ class Restorer:
         # (last two symbols) -> (cost, reading)
         best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
         for readings in [*self.options(text), [(" ", 0.0)]]:
+            if len(best) == len(readings) == 1:  # a single path needs no costs
+                ((x, y), (so_far, path)), out = *best.items(), readings[0][0]
+                for char in out[-2:]:
+                    x, y = y, symbol_of(char)
+                best = {(x, y): (so_far, (path, out))}
+                continue
             step: dict[tuple[int, int], tuple[float, tuple]] = {}
             for (a, b), (so_far, path) in best.items():
                 for out, channel in readings:
@@ -110,14 +122,11 @@ class Restorer:
 
     def restore_word(self, word: str) -> str:
         """A white-space-delimited word, lower-cased and restored."""
-        word = word.lower()
-        core = word.strip(EDGE)
-        if not DISGUISED.search(core):
-            if not DISGUISED.search(word):
-                return core
-            core = word.strip(".,;:?\"'")  # marks at the ends may be letters too
+        core = word.lower().strip(PLAIN_EDGE)
+        if not AMBIGUOUS.search(core):
+            return core
         if core not in self.cache:
-            if len(self.cache) > 100_000:
+            if len(self.cache) > 50_000:
                 self.cache.clear()
             self.cache[core] = " ".join(self.decode(core).strip(EDGE).split())
         return self.cache[core]

@@ -70,6 +70,16 @@ def test_spaced_disguises_are_undone(fitted, shown, meant):
     assert pc.match_substring_regex(pa.array([shown]), SPACED_HINT).to_pylist() == [True]
 
 
+def test_every_ambiguous_word_is_decoded(fitted):
+    r = Restorer(fitted[2].trigrams)
+    for shown, meant in {"iddiot": "idiot", "stuupid": "stupid", "looser": "loser",
+                         "!d10t": "idiot", "(l0$er)": "loser", "$7": "st", "m0r0n!": "moron"}.items():
+        assert r.restore_word(shown) == meant
+    # a corpus of the word itself: the look-alike at its start is a letter
+    r = Restorer(trigram_counts(["cunt"] * 50 + ["ass"] * 50))
+    assert r.restore_word("(un7") == "cunt" and r.restore_word("@$$") == "ass"
+
+
 def test_decode_is_the_cheapest_reading(fitted):
     r = Restorer(fitted[2].trigrams)
 
