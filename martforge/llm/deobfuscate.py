@@ -45,6 +45,10 @@ ONE_LETTER_WORDS = "aàeoóuy"
 AMBIGUOUS = re.compile(rf"[{re.escape(''.join(LOOKALIKES))}]|(.)\1|.[{re.escape(SEPARATORS)}].", re.S)
 #: Marks at the ends of a word that stand for no letter.
 PLAIN_EDGE = "".join(c for c in EDGE if c not in LOOKALIKES)
+#: Words of a reading: letters (with combining marks) or digits.
+WORD = re.compile(r"(?:[^\W\d_]|[\u0300-\u036f])+|\d+")
+#: Stretches of a shown word between marks of any kind.
+PIECE = re.compile(r"(?:[^\W_]|[\u0300-\u036f])+")
 
 
 def symbol_of(char: str) -> int:
@@ -65,8 +69,9 @@ class Restorer:
         self.cost = (-np.log(three)).tolist()
         self.cache: dict[str, str] = {}
 
-    def options(self, text: str) -> list[list[tuple[str, float]]]:
-        """The lattice: per step the readings and their channel costs."""
+    def options(self, text: str, letter_first: bool = False) -> list[list[tuple[str, float]]]:
+        """The lattice: per step the readings and their channel costs;
+        with ``letter_first`` a look-alike at the start is a letter."""
         steps: list[list[tuple[str, float]]] = []
         at = 0
         while at < len(text):
@@ -86,17 +91,19 @@ class Restorer:
                         readings.append((letter, cost + SHORTEN))
                     if n > 2:
                         readings.append((letter * 2, cost + SHORTEN))
-                if letters and not char.isalnum() and (at == 0 or end == len(text)):
+                if letter_first and at == 0 and letters:
+                    readings = [(out, cost) for out, cost in readings if out[0] != char]
+                elif letters and not char.isalnum() and (at == 0 or end == len(text)):
                     readings.append(("", DROP))  # punctuation
                 steps.append(readings)
             at = end
         return steps
 
-    def decode(self, text: str) -> str:
+    def decode(self, text: str, letter_first: bool = False) -> str:
         """The most likely reading of a lower-case piece of text."""
         # (last two symbols) -> (cost, reading)
         best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
-        for readings in [*self.options(text), [(" ", 0.0)]]:
+        for readings in [*self.options(text, letter_first), [(" ", 0.0)]]:
             if len(best) == len(readings) == 1:  # a single path needs no costs
                 ((x, y), (so_far, path)), out = *best.items(), readings[0][0]
                 for char in out[-2:]:
@@ -131,6 +138,21 @@ class Restorer:
             self.cache[core] = " ".join(self.decode(core).strip(EDGE).split())
         return self.cache[core]
 
+    def words(self, shown: str) -> set[str]:
+        """The words in a white-space-delimited string: of its restored
+        reading, of the reading in which a look-alike at its start is a
+        letter, and of the stretches between its marks."""
+        core = shown.lower().strip(PLAIN_EDGE)
+        if core.isalpha():
+            return {self.restore_word(core)}
+        readings = [self.restore_word(core)]
+        if core[:1] in LOOKALIKES and not core[0].isalnum():
+            readings.append(self.decode(core, letter_first=True))
+        pieces = PIECE.findall(core)
+        if pieces != [core]:
+            readings += [self.restore_word(p) for p in pieces if len(p) > 1]
+        return {w for r in readings for w in WORD.findall(r)}
+
     def restore_spaced(self, text: str) -> list[str]:
         """The words hidden in runs of single characters."""
         found = []

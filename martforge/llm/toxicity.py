@@ -3,7 +3,8 @@
 1. Character trigrams are counted over all documents.
 2. Disguised words (look-alikes, repetition, spacing) are restored by
    :mod:`martforge.llm.deobfuscate` under that model; other words have a
-   lattice with a single path and stay as they are.
+   lattice with a single path and stay as they are. Words glued together or
+   wrapped in marks count as the words they consist of.
 3. A text's features are its distinct restored words and their first four and
    five letters. A logistic regression over at most ``MAX_FEATURES`` of them
    is fitted on at most ``SAMPLE_ROWS`` labelled training rows (those with the
@@ -83,7 +84,7 @@ def count_trigrams(texts: DataFrame) -> np.ndarray:
 
 def _features(texts: list[str], restorer: Restorer) -> Iterator[list[str]]:
     for text in texts:
-        words = {restorer.restore_word(w) for w in text.split()}
+        words = {w for shown in text.split() for w in restorer.words(shown)}
         words.update(restorer.restore_spaced(text))
         yield sorted({f for w in words for f in word_features(w)})
 
@@ -168,7 +169,8 @@ class Scorer:
         found = self.cache.get(word)
         if found is None:
             weights = self.model.weights
-            found = tuple(f for f in word_features(self.restorer.restore_word(word)) if f in weights)
+            found = tuple(f for w in self.restorer.words(word) for f in word_features(w)
+                          if f in weights)
             if len(self.cache) >= self.limit:
                 self.cache.clear()
             self.cache[word] = found

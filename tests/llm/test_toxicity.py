@@ -115,6 +115,16 @@ def test_held_out_accuracy(spark, fitted):
     assert {r.doc_id for r in tox.accepted(disguised, model).collect()} == {3, 4}
 
 
+@pytest.mark.parametrize("shown", [
+    "end.idiot", "so-idiot", "such-an-idiot", "the,idiot", "well/idiot", "*idiot*", "_idiot_",
+    "#idiot", "<b>idiot</b>", "(idiot)", "er!idiot", "the.1d10t", "**1d10t**", "!d10t", "2idiot"])
+def test_glued_and_wrapped_words(fitted, shown):
+    model = fitted[2]
+    assert "5 idiot" in model.weights
+    assert "5 idiot" in tox.Scorer(model).word(shown)
+    assert "5 idiot" in next(tox._features([f"the {shown} on"], Restorer(model.trigrams)))
+
+
 def test_held_out_labels_are_never_read(spark, fitted):
     d, labels, model = fitted
     flipped = [(i, q, 1 - y if zlib.crc32(str(i).encode()) % 4 == 2 else y) for i, q, y in labels]
