@@ -16,7 +16,8 @@ Base kinds, all kept whatever their score:
 
 Added kinds, kept from a score of ``MIN_SCORE``:
 
-* ``iban``: 15 to 34 characters that pass mod-97
+* ``iban``: 15 to 34 characters up to a group border that pass mod-97, of the
+  country's length if such a stretch passes, else the longest
 * ``ssn``: 3-2-4 digits with a possible area, which only context words confirm
 
 Cases: NULL or empty text has no spans; repeated rows are kept; NULL ids pass
@@ -45,6 +46,23 @@ OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 #: Local part of an address from its first character on: after a character
 #: that can't belong to it, or where the match before ended.
 LOCAL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++"
+#: Groups of an account number; a group must not run on in another character.
+IBAN_GROUPS = (r"^[A-Z]{2}[0-9]{2}[A-Z0-9]*+(?![A-Za-z0-9])"
+               r"(?:\x20[A-Z0-9]++(?![A-Za-z0-9]))*+")
+#: Code points an account number can span (34, a space between any two), and one more.
+IBAN_WINDOW = 68
+#: Length of an account number -> countries.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FK FO FI GL NL SD", 19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+#: Code points in a block of text (see :func:`cut`).
+BLOCK = 256
+BLOCKS = f"(?s).{{1,{BLOCK}}}"
 
 
 @dataclass(frozen=True)
@@ -57,6 +75,9 @@ class Kind:
     score: float
     context: str
     base: bool = True
+    #: Where a span ends that starts with a match and the text after it, of
+    #: ``IBAN_WINDOW`` code points in all; NULL if there is none.
+    end: Callable[[Column], Column] | None = None
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -95,9 +116,33 @@ def _card(value: Column) -> Column:
     return let(_digits(value), lambda d: F.length(d).between(13, 19) & luhn(d))
 
 
-def _iban(value: Column) -> Column:
-    return let(F.replace(value, F.lit(" ")),
-               lambda a: F.length(a).between(15, 34) & mod97(a))
+def _iban_end(window: Column) -> Column:
+    """Where the account number at the start of ``window`` ends, or NULL: of
+    the stretches up to a group border that pass mod-97, the one of its
+    country's length, else the longest."""
+    def confirmed(s: Column) -> Column:
+        return F.length(s["account"]).between(15, 34) & mod97(s["account"])
+
+    def longest(groups: Column) -> Column:
+        def stretch(n: Column) -> Column:
+            return F.struct(n.alias("n"), F.array_join(F.slice(groups, 1, n), "").alias("account"))
+
+        def ranked(s: Column) -> Column:
+            size = F.length(s["account"])
+            usual = F.coalesce(size == _iban_length(F.left(s["account"], F.lit(2))), F.lit(False))
+            return F.struct(usual.alias("usual"), (size + s["n"] - 1).alias("end"))
+
+        stretches = F.transform(F.sequence(F.lit(1), F.size(groups)), stretch)
+        return F.array_max(F.transform(F.filter(stretches, confirmed), ranked))["end"]
+
+    return let(F.split(F.regexp_extract(window, IBAN_GROUPS, 0), " "), longest)
+
+
+def _iban_length(country: Column) -> Column:
+    found = F.lit(None).cast("int")
+    for size, countries in IBAN_LENGTHS.items():
+        found = F.when(country.isin(*countries.split()), size).otherwise(found)
+    return found
 
 
 KINDS = (
@@ -110,9 +155,8 @@ KINDS = (
          r"card|visa|master|credit|debit|payment"),
     Kind("phone", r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]",
          lambda v: F.length(_digits(v)).between(9, 15), 0.6, r"phone|call|tel\b|mobile|fax"),
-    Kind("iban", r"[A-Z]{2}[0-9]{2}",
-         r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
-         _iban, 0.8, r"iban|account|bank|transfer", base=False),
+    Kind("iban", r"[A-Z]{2}[0-9]{2}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])",
+         lambda v: F.lit(True), 0.8, r"iban|account|bank|transfer", base=False, end=_iban_end),
     Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
          r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
          lambda v: ~v.rlike("^(?:000|666|9)|-00-|-0000$"), 0.3,
@@ -161,6 +205,31 @@ def located(text: Column, pattern: str) -> Column:
     return let(steps, summed)
 
 
+def cut(blocks: Column, start: Column, size: Column) -> Column:
+    """``size <= BLOCK`` code points from ``start`` on of a text in blocks."""
+    at = F.floor(start / BLOCK).cast("int")
+    return F.substring(F.array_join(F.slice(blocks, at + 1, 2), ""), start - at * BLOCK + 1, size)
+
+
+def _extended(spans: Column, blocks: Column, end: Callable[[Column], Column]) -> Column:
+    """``spans`` with the ends that ``end`` finds in the text from their starts
+    on; those without one, and those inside the one before, are left out."""
+    def moved(s: Column) -> Column:
+        return F.struct(s["start"].alias("start"),
+                        (s["start"] + end(cut(blocks, s["start"], F.lit(IBAN_WINDOW)))).alias("end"),
+                        s["value"].alias("value"), s["near"].alias("near"))
+
+    def step(acc: Column, s: Column) -> Column:
+        new = s["start"] >= acc["at"]
+        return F.struct(F.when(new, s["end"]).otherwise(acc["at"]).alias("at"),
+                        F.when(new, F.concat(acc["out"], F.array(s))).otherwise(acc["out"])
+                        .alias("out"))
+
+    found = F.filter(F.transform(spans, moved), lambda s: s["end"].isNotNull()).cast(SPAN)
+    none = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    return F.aggregate(found, none, step)["out"]
+
+
 def kind_spans(text: Column, kind: Kind) -> Column:
     """Confirmed spans of one kind: ``kind, start, end, score, base``."""
     def scored(s: Column) -> Column:
@@ -171,6 +240,10 @@ def kind_spans(text: Column, kind: Kind) -> Column:
                         F.lit(kind.base).alias("base"))
 
     confirmed = F.filter(located(text, kind.pattern), lambda s: kind.confirm(s["value"]))
+    if kind.end is not None:
+        found = confirmed
+        confirmed = let(F.regexp_extract_all(text, F.lit(BLOCKS), F.lit(0)),
+                        lambda blocks: _extended(found, blocks, kind.end))
     spans = F.transform(confirmed, scored)
     if not kind.base:
         spans = F.filter(spans, lambda s: s["score"] >= MIN_SCORE)

@@ -85,6 +85,32 @@ def test_added_spans_and_scores(spark):
     assert rows[TEXTS[6]].scores == "1.00"  # a context word raises the card's score
 
 
+def iban(country, account):
+    """An account number of ``country`` with its check digits."""
+    number = int("".join(str(int(c, 36)) for c in f"{account}{country}00"))
+    return f"{country}{98 - number % 97:02d}{account}"
+
+
+def spaced(account):
+    return " ".join(account[i:i + 4] for i in range(0, len(account), 4))
+
+
+def test_account_numbers_beside_other_words(spark):
+    de, own, odd = "DE89370400440532013000", iban("MT", "MALT01100AB12MTLCAST001S0"[:27]), iban("ZZ", "9" * 14)
+    assert iban("GB", IBAN[4:].replace(" ", "")) == IBAN.replace(" ", "")
+    texts = {
+        f"iban {IBAN} Please pay": [IBAN], f"{de} BIC COBADEFF": [de], f"{de} 2024-01-01": [de],
+        f"{de} {IBAN}": [de, IBAN], f"{IBAN} {de}": [IBAN, de], f"{spaced(de)} {IBAN} 7": [spaced(de), IBAN],
+        f"{spaced(de)} {spaced(de)} {spaced(de)}": [spaced(de)] * 3, f"{spaced(own)} A1": [spaced(own)],
+        f"é😀 {IBAN}\n{de}": [IBAN, de], f"{odd} IBAN": [odd], f"{spaced(odd)} {odd}": [spaced(odd), odd],
+        f"x{de} {de}1 {de}x": [], f"{IBAN[:-1]}3 AB": [], "AB12 " * 300 + de: [de],
+        f"{de} " * 700: [de] * 700, "😀" * 255 + f" {IBAN} Z": [IBAN]}
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in pii.with_spans(df).collect():
+        got = [r.text[s.start:s.end] for s in r["__spans"] if s.kind == "iban"]
+        assert got == texts[r.text], r.text[:80]
+
+
 def test_redaction(spark):
     text = f"é joe@x.org😀 +1 (555) 010-9999, {CARD} end"
     df = spark.createDataFrame([(text,), ("clean",), ("",)], "text string")
