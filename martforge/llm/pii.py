@@ -162,21 +162,18 @@ KINDS = (
          lambda v: ~v.rlike("^(?:000|666|9)|-00-|-0000$"), 0.3,
          r"\bssn\b|social security", base=False),
 )
-SPAN = "array<struct<start:int,end:int,value:string,near:string>>"
+SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
 def located(text: Column, pattern: str) -> Column:
-    """All matches of ``pattern``: ``start, end, value`` and the text ``near``."""
+    """All matches of ``pattern``: ``start, end, value``."""
     def summed(steps: Column) -> Column:
         none = F.lit(None).cast(SPAN)
 
         def place(acc: Column, x: Column) -> Column:
             start = acc["at"] + F.length(x["gap"])
             end = start + F.length(x["value"])
-            near = F.concat_ws(" ", F.right(x["gap"], F.lit(CONTEXT_SIZE)),
-                               F.left(x["after"], F.lit(CONTEXT_SIZE)))
-            span = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"),
-                            near.alias("near"))
+            span = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))
             return F.struct(F.coalesce(end, start).alias("at"),
                             F.when(x["value"].isNull(), acc["out"]).otherwise(
                                 F.concat(acc["out"], F.array(span))).alias("out"))
@@ -190,7 +187,7 @@ def located(text: Column, pattern: str) -> Column:
         def shift(acc: Column, part: Column) -> Column:
             moved = F.transform(part["out"], lambda s: F.struct(
                 (s["start"] + acc["at"]).alias("start"), (s["end"] + acc["at"]).alias("end"),
-                s["value"].alias("value"), s["near"].alias("near")))
+                s["value"].alias("value")))
             return F.struct((acc["at"] + part["at"]).alias("at"),
                             F.concat(acc["out"], moved).alias("out"))
 
@@ -198,10 +195,8 @@ def located(text: Column, pattern: str) -> Column:
         return F.aggregate(F.transform(numbers, chunk), start(), shift)["out"]
 
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    steps = let(F.split(text, pattern, -1), lambda gaps: F.arrays_zip(
-        gaps.alias("gap"), matches.alias("value"),
-        F.slice(gaps, 2, F.greatest(F.size(gaps) - 1, F.lit(0))).alias("after")))
-    steps = steps.cast("array<struct<gap:string,value:string,after:string>>")
+    steps = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("value"))
+    steps = steps.cast("array<struct<gap:string,value:string>>")
     return let(steps, summed)
 
 
@@ -217,7 +212,7 @@ def _extended(spans: Column, blocks: Column, end: Callable[[Column], Column]) ->
     def moved(s: Column) -> Column:
         return F.struct(s["start"].alias("start"),
                         (s["start"] + end(cut(blocks, s["start"], F.lit(IBAN_WINDOW)))).alias("end"),
-                        s["value"].alias("value"), s["near"].alias("near"))
+                        s["value"].alias("value"))
 
     def step(acc: Column, s: Column) -> Column:
         new = s["start"] >= acc["at"]
@@ -232,22 +227,26 @@ def _extended(spans: Column, blocks: Column, end: Callable[[Column], Column]) ->
 
 def kind_spans(text: Column, kind: Kind) -> Column:
     """Confirmed spans of one kind: ``kind, start, end, score, base``."""
-    def scored(s: Column) -> Column:
-        bonus = F.when(F.lower(s["near"]).rlike(kind.context), CONTEXT_BONUS).otherwise(0.0)
-        return F.struct(F.lit(kind.name).alias("kind"), s["start"].alias("start"),
-                        s["end"].alias("end"),
-                        F.least(F.lit(kind.score) + bonus, F.lit(1.0)).alias("score"),
-                        F.lit(kind.base).alias("base"))
-
-    confirmed = F.filter(located(text, kind.pattern), lambda s: kind.confirm(s["value"]))
-    if kind.end is not None:
-        found = confirmed
-        confirmed = let(F.regexp_extract_all(text, F.lit(BLOCKS), F.lit(0)),
-                        lambda blocks: _extended(found, blocks, kind.end))
-    spans = F.transform(confirmed, scored)
-    if not kind.base:
-        spans = F.filter(spans, lambda s: s["score"] >= MIN_SCORE)
-    return F.when(text.rlike(kind.hint), spans)
+    def spans(blocks: Column) -> Column:
+        def scored(s: Column) -> Column:
+            before = cut(blocks, F.greatest(s["start"] - CONTEXT_SIZE, F.lit(0)),
+                         F.least(s["start"], F.lit(CONTEXT_SIZE)))
+            near = F.concat_ws(" ", before, cut(blocks, s["end"], F.lit(CONTEXT_SIZE)))
+            bonus = F.when(F.lower(near).rlike(kind.context), CONTEXT_BONUS).otherwise(0.0)
+            return F.struct(F.lit(kind.name).alias("kind"), s["start"].alias("start"),
+                            s["end"].alias("end"),
+                            F.least(F.lit(kind.score) + bonus, F.lit(1.0)).alias("score"),
+                            F.lit(kind.base).alias("base"))
+
+        confirmed = F.filter(located(text, kind.pattern), lambda s: kind.confirm(s["value"]))
+        if kind.end is not None:
+            confirmed = _extended(confirmed, blocks, kind.end)
+        found = F.transform(confirmed, scored)
+        return found if kind.base else F.filter(found, lambda s: s["score"] >= MIN_SCORE)
+
+    # the context is taken from the text itself, other matches included
+    blocks = F.regexp_extract_all(text, F.lit(BLOCKS), F.lit(0))
+    return F.when(text.rlike(kind.hint), let(blocks, spans))
 
 
 def find_spans(text: Column) -> Column:

@@ -85,6 +85,21 @@ def test_added_spans_and_scores(spark):
     assert rows[TEXTS[6]].scores == "1.00"  # a context word raises the card's score
 
 
+def test_context_reaches_over_other_matches(spark):
+    some, far = "123-45-6789, 219-09-9999, 078-05-1120", "x" * 34
+    texts = {
+        f"ssn: {some}": (3, "0.60,0.60,0.60"), f"{some} (ssn)": (3, "0.60,0.60,0.60"),
+        f"😀 ssn: 000-45-6789, {some}": (2, "0.60,0.60"),  # the third is too far
+        f"ssn {far} 123-45-6789": (1, "0.60"), f"ssn {far}xx 123-45-6789": (0, ""),
+        f"123-45-6789 {far}x ssn": (1, "0.60"), f"123-45-6789 {far}xxx ssn": (0, ""),
+        "é" * 250 + f" ssn: {some} " + "é" * 250: (3, "0.60,0.60,0.60"),
+        "ssn 123-45-6789 " * 1000: (1000, ",".join(["0.60"] * 1000))}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.personal_data(df).collect():
+        text = list(texts)[r.doc_id]
+        assert (r.spans.count("ssn:"), r.scores) == texts[text], text[:80]
+
+
 def iban(country, account):
     """An account number of ``country`` with its check digits."""
     number = int("".join(str(int(c, 36)) for c in f"{account}{country}00"))
