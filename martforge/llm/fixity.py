@@ -58,7 +58,14 @@ def write_archive(pages: DataFrame) -> DataFrame:
 
 def catalogue(archive: DataFrame) -> DataFrame:
     """``row, page_id, shard, offset, length`` of every record (stored)."""
-    sizes = archive.select("row", "page_id", F.octet_length("record").cast("long").alias("length"))
+    return _numbered(_sizes(archive))
+
+
+def _sizes(records: DataFrame) -> DataFrame:
+    return records.select("row", "page_id", F.octet_length("record").cast("long").alias("length"))
+
+
+def _numbered(sizes: DataFrame) -> DataFrame:
     order = [F.col("page_id").asc_nulls_first(), F.col("row").asc()]
     numbered = rank_all(sizes, order, "number", rank_type="long")
     before = (Window.partitionBy("shard").orderBy("number")
@@ -137,13 +144,19 @@ def audit(first: list[DataFrame], second: list[DataFrame], first_records: DataFr
 
 def fixity_report(archive: DataFrame, replica: DataFrame) -> DataFrame:
     """Every record of ``archive``: ``page_id, shard, offset, length, sha256``
-    and its ``status`` in ``replica`` (``intact``, ``corrupt``, ``missing``)."""
-    places = catalogue(archive)
+    and its ``status`` in ``replica`` (``intact``, ``corrupt``, ``missing``).
+    Records that only ``replica`` holds follow in shards of their own (``extra``)."""
+    listed = catalogue(archive)
+    last = listed.agg(F.max("shard")).first()[0]
+    tail = 0 if last is None else last + 1
+    added = _numbered(_sizes(replica).join(listed.select("row"), "row", "left_anti"))
+    places = listed.unionByName(added.withColumn("shard", F.col("shard") + tail))
     form = shape(places)
     mine, theirs = digests(archive, places), digests(replica, places)
     found = audit(merkle_tree(mine, form), merkle_tree(theirs, form), mine, theirs, form)
     key = ["shard", "offset"]
-    return (places.join(mine.select(*key, "sha256"), key).join(found, key, "left")
+    records = mine.unionByName(theirs.filter(F.col("shard") >= tail)).select(*key, "sha256")
+    return (places.join(records, key).join(found, key, "left")
             .select("page_id", "shard", "offset", "length", "sha256",
                     F.coalesce("status", F.lit("intact")).alias("status")))
 

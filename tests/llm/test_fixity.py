@@ -58,6 +58,21 @@ def test_report_locates_all_damage(spark, small):
         (7, "corrupt"), (250, "corrupt"), (301, "corrupt"), (90, "missing")}
 
 
+def test_report_names_added_records(spark, small):
+    everything = fx.write_archive(pages(spark))
+    added = F.coalesce(F.col("page_id") % 3 == 1, F.lit(True))
+    archive = everything.filter(~added)
+    replica = fx.damaged_copy(everything, F.col("page_id") == 3, F.col("page_id") == 9)
+    rows = fx.fixity_report(archive, replica).collect()
+    extra = everything.filter(added).collect()
+    assert len(rows) == everything.count() and len({(r.shard, r.offset) for r in rows}) == len(rows)
+    assert sorted((str(r.page_id), r.length, r.sha256) for r in rows if r.status == "extra") == sorted(
+        (str(r.page_id), len(r.record), hashlib.sha256(r.record).hexdigest()) for r in extra)
+    assert {(r.page_id, r.status) for r in rows if r.status not in ("intact", "extra")} == {
+        (3, "corrupt"), (9, "missing")}
+    assert {r.status for r in fx.fixity_report(everything.filter("false"), replica).collect()} == {"extra"}
+
+
 def test_extra_records_and_descent(spark, small):
     archive = fx.write_archive(pages(spark))
     places = fx.catalogue(archive)
