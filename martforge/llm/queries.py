@@ -88,10 +88,23 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.drop("task", "place")
 
 
+def op12_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bitsliced import top_k
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter("vec_id % 50 = 0"), 5)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_decontaminate, op3_nearest, op4_token_files, op5_toxicity,
     op6_warc_fixity, op7_pii_spans, op8_simhash_golay, op9_token_counts,
-    op10_pack_sequences)}
+    op10_pack_sequences, op12_bit_sliced_top_k, op13_whitening)}
 
 _OP2_SHINGLES = """
     SELECT DISTINCT {id}, text, unnest(CASE
@@ -132,4 +145,17 @@ SELECT page_id, CAST(n // 1024 AS BIGINT) AS shard,
        CAST(strlen(record) AS BIGINT) AS length, sha256(record) AS sha256,
        CASE mark WHEN '00' THEN 'corrupt' WHEN '01' THEN 'missing' ELSE 'intact' END AS status
 FROM numbered""",
+    "op12_bit_sliced_top_k": """
+WITH held AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM held q JOIN held c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM pairs)
+SELECT query_id, CAST(r AS INTEGER) AS "rank", vec_id, score FROM ranked WHERE r <= 5""",
 }
