@@ -88,6 +88,12 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.drop("task", "place")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import numbered_turns, prefix_trie, shared_openings
+
+    return prefix_trie(*shared_openings(numbered_turns(table(spark, sf_dir, "conversations"))))
+
+
 def op12_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bitsliced import top_k
 
@@ -104,7 +110,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_decontaminate, op3_nearest, op4_token_files, op5_toxicity,
     op6_warc_fixity, op7_pii_spans, op8_simhash_golay, op9_token_counts,
-    op10_pack_sequences, op12_bit_sliced_top_k, op13_whitening)}
+    op10_pack_sequences, op11_prefix_trie, op12_bit_sliced_top_k, op13_whitening)}
 
 _OP2_SHINGLES = """
     SELECT DISTINCT {id}, text, unnest(CASE
@@ -145,6 +151,53 @@ SELECT page_id, CAST(n // 1024 AS BIGINT) AS shard,
        CAST(strlen(record) AS BIGINT) AS length, sha256(record) AS sha256,
        CASE mark WHEN '00' THEN 'corrupt' WHEN '01' THEN 'missing' ELSE 'intact' END AS status
 FROM numbered""",
+    "op11_prefix_trie": """
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS o
+    FROM conversations WHERE conv_id IS NOT NULL),
+heads AS (
+    SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base,
+           xor(4294967295, list_reduce(  -- CRC-32 of the decimal id
+               [CAST(4294967295 AS BIGINT)] || list_transform(
+                   range(1, len(CAST(conv_id AS VARCHAR)) + 1),
+                   lambda i: CAST(ascii(CAST(conv_id AS VARCHAR)[i]) AS BIGINT)),
+               lambda c, b: list_reduce([xor(c, b)] || range(8),
+                   lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 6 AS h
+    FROM turns GROUP BY conv_id),
+sized AS (SELECT heads.*, least(heads.h, coalesce(b.n, 0)) AS b
+          FROM heads LEFT JOIN (SELECT conv_id AS base, n FROM heads) b USING (base)),
+rebuilt AS (
+    SELECT sized.conv_id, t.o AS d, t.role, t.text
+    FROM sized JOIN turns t ON t.conv_id = sized.base AND t.o <= sized.h
+    UNION ALL
+    SELECT conv_id, b + t.o - h, t.role, t.text FROM sized JOIN turns t USING (conv_id) WHERE t.o > h),
+paths AS (
+    SELECT conv_id, d, length(text) AS chars,
+           sha256(string_agg(concat(length(role), ':', role, length(text), ':', text), '')
+                  OVER (PARTITION BY conv_id ORDER BY d)) AS p
+    FROM rebuilt
+    UNION ALL SELECT conv_id, 0, 0, '' FROM heads),
+nodes AS (SELECT d, p, min(conv_id) AS c, count(*) AS n, any_value(chars) AS chars FROM paths GROUP BY d, p),
+lens AS (SELECT conv_id, max(d) AS d FROM paths GROUP BY conv_id),
+ends AS (SELECT d, p, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+         FROM paths JOIN lens USING (conv_id, d) GROUP BY d, p),
+tops AS (SELECT nodes.d, nodes.p, up.p AS up_p, top.c AS up_c
+         FROM nodes JOIN paths up ON up.conv_id = nodes.c AND up.d = nodes.d - 1
+         JOIN nodes top ON top.d = up.d AND top.p = up.p),
+families AS (SELECT d - 1 AS d, up_p AS p, count(*) AS n_children FROM tops GROUP BY d - 1, up_p),
+subtrees AS (SELECT a.d, a.p, sum(CASE WHEN f.n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves,
+                    sum((u.n - 1) * u.chars) AS saved_tokens
+             FROM nodes u JOIN paths a ON a.conv_id = u.c AND a.d <= u.d
+             LEFT JOIN families f ON f.d = u.d AND f.p = u.p GROUP BY a.d, a.p)
+SELECT nodes.c AS conv_id, CAST(nodes.d AS BIGINT) AS depth, tops.up_c AS parent_conv_id,
+       CAST(nodes.n AS BIGINT) AS n_convs, CAST(coalesce(f.n_children, 0) AS BIGINT) AS n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens,
+       sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes JOIN subtrees s ON s.d = nodes.d AND s.p = nodes.p
+LEFT JOIN tops ON tops.d = nodes.d AND tops.p = nodes.p
+LEFT JOIN families f ON f.d = nodes.d AND f.p = nodes.p
+LEFT JOIN ends e ON e.d = nodes.d AND e.p = nodes.p""",
     "op12_bit_sliced_top_k": """
 WITH held AS (
     SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
