@@ -28,12 +28,14 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators import quality as Q
-from ..functions.skew import hot_keys
+from ..functions.skew import frequent_keys
 from ..schemas import MART_TABLES, RAW_TABLES, SUMMARY_TABLES
 from ..session import get_session, scratch_path
-from ..sources.landing import land_all
+from ..sources.bucketed import default_buckets, read_bucketed, write_bucketed
+from ..sources.landing import ORDER_TABLES, land_all
 from ..sources.raw import read_sources, read_table
 from ..sources.star import star_raw
+from ..storage import current_path
 from .sinks import run_export, table_path, write_table
 from .warehouse import Warehouse
 
@@ -42,14 +44,15 @@ from .warehouse import Warehouse
 READ_TABLES = ("orders", "order_items", "order_payments", "customers", "products",
                "category_translation")
 
-
 def materializer(spark: SparkSession, root: str, timings: dict | None = None,
                  partition_detail_by: Sequence[str] = (),
-                 observations: dict[str, tuple[Observation, list]] | None = None):
+                 observations: dict[str, tuple[Observation, list]] | None = None,
+                 bucket_detail: bool = False):
     """``materialize`` hook: write the table and hand back a fresh read of it.
     Names starting with ``_`` are intermediates and go to the checkpoint
     folder. ``observations`` maps a table name to metrics collected during
-    its write (no extra pass)."""
+    its write (no extra pass). With ``bucket_detail`` the detail is bucketed by
+    order, so that order-level passes over it need no exchange."""
 
     def mat(df: DataFrame, name: str) -> DataFrame:
         t0 = time.perf_counter()
@@ -60,6 +63,9 @@ def materializer(spark: SparkSession, root: str, timings: dict | None = None,
             path = scratch_path(spark, name.lstrip("_"))
             df.write.mode("overwrite").parquet(path)
             out = spark.read.parquet(path)
+        elif name == "trade_detail" and bucket_detail:
+            write_bucketed(df, root, name, "order_id")
+            out = read_bucketed(spark, root, name)
         else:
             parts = partition_detail_by if name == "trade_detail" else ()
             write_table(df, root, name, partition_by=parts)
@@ -86,6 +92,7 @@ def run_pipeline(spark: SparkSession, root: str, *, raw: dict[str, DataFrame] |
     Q-8 report table, its detail metrics observed during the detail write;
     ``charts`` writes the ten chart datasets under ``root/charts``. Returns
     timings and the export report."""
+    bucketed = False
     if raw is None:
         if star_dir:
             raw = star_raw(spark, star_dir)
@@ -94,15 +101,20 @@ def run_pipeline(spark: SparkSession, root: str, *, raw: dict[str, DataFrame] |
             raw = read_sources(spark, raw_dir, **{"keep_empty_strings": True, **csv_options})
         elif raw_dir:
             raw = {n: read_table(spark, raw_dir, n) for n in READ_TABLES}
+            bucketed = True
         else:
             raise ValueError("give raw, raw_dir or star_dir")
     timings: dict[str, float] = {}
     observed = {"trade_detail": (Observation("detail_profile"), Q.profile_columns())}
     t0 = time.perf_counter()
-    hot = {k: hot_keys(raw["order_items"].select(k), k) for k in ("order_id", "product_id")}
+    hot = frequent_keys(raw["order_items"], ("order_id", "product_id"))
     timings["_hot_keys"] = round(time.perf_counter() - t0, 3)
-    wh = Warehouse(raw, etl_date=etl_date, hot=hot,
-                   materialize=materializer(spark, root, timings, partition_detail_by, observed))
+    if bucketed and not hot["order_id"]:  # landed with buckets: joined on the order without an exchange
+        raw |= {n: read_bucketed(spark, raw_dir, n) for n in ORDER_TABLES}
+    # a hot order would be one task's bucket; a partitioned detail keeps its folders
+    bucket_detail = not hot["order_id"] and not partition_detail_by
+    wh = Warehouse(raw, etl_date=etl_date, hot=hot, materialize=materializer(
+        spark, root, timings, partition_detail_by, observed, bucket_detail))
     # Layer by layer: the tables of one layer only depend on the layers
     # below, so their writes go to Spark as concurrent jobs.
     layers = [["detail"], ["grain"], ["regroup"], list(SUMMARY_TABLES), list(MART_TABLES)]
@@ -125,8 +137,8 @@ def run_pipeline(spark: SparkSession, root: str, *, raw: dict[str, DataFrame] |
         write_table(report, root, "quality_report")
         timings["quality_report"] = round(time.perf_counter() - t1, 3)
     result = {"root": root, "timings": timings,
-              "tables": {n: table_path(root, n) for n in timings if n != "total"
-                         and not n.startswith("_")}}
+              "tables": {n: current_path(spark, root, n) for n in
+                         ("trade_detail", *SUMMARY_TABLES, *MART_TABLES)}}
     if out:
         result["export"] = run_export(spark, root, tables, out)
     return result
@@ -145,6 +157,8 @@ def main(argv: Sequence[str] | None = None) -> int:
                    help="export finished marts of --warehouse-dir or --warehouse-db")
     p.add_argument("--file-map", default="", help="table=file pairs under --raw-csv-dir, "
                    "comma-separated (default: the table names)")
+    p.add_argument("--bucket-raw", action="store_true", help="land orders, items and payments "
+                   "bucketed by order (not for data with an order of very many rows)")
     p.add_argument("--partition-detail-by", default="", help="comma-separated columns")
     p.add_argument("--output-dir", help="CSV export folder (skip export when absent)")
     p.add_argument("--tables", default="", help="comma-separated marts to export")
@@ -171,7 +185,8 @@ def main(argv: Sequence[str] | None = None) -> int:
         raw_dir = table_path(a.warehouse_dir, "raw")
         landing = land_all(spark, a.raw_csv_dir, raw_dir, {
             **{n: n for n in RAW_TABLES},
-            **dict(pair.split("=", 1) for pair in a.file_map.split(",") if pair.strip())})
+            **dict(pair.split("=", 1) for pair in a.file_map.split(",") if pair.strip())},
+            buckets=default_buckets(spark) if a.bucket_raw else None)
         # a missing table that nothing reads is reported and skipped
         missing = [r["tbl"] for r in landing if r["status"] != "ok" and r["tbl"] in READ_TABLES]
         if missing:

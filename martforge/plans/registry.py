@@ -10,13 +10,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import charts as C
 from ..operators import quality as Q
 from ..operators import summaries as S
+from ..schemas import schema_of
 from ..session import scratch_path
-from ..sources.raw import read_source
-from .sinks import export_csv
+from ..sources.landing import land_all, landing_report
+from ..sources.raw import read_source, read_table, reject_report
+from ..sources.records import read_records
+from ..sources.text_layer import read_text_table, write_text_table
+from .sinks import export_csv, export_report, run_export, write_table
 from .warehouse import Warehouse
 
 # Parameters of the registered queries.
@@ -57,6 +62,85 @@ def _csv_roundtrip(name: str) -> QueryFn:
     return q
 
 
+def _published(spark: SparkSession, d: str) -> DataFrame:
+    """A mart read through its version pointer, after a smaller first version."""
+    root, mart = scratch_path(spark, "published"), _wh(spark, d).payment_type_month
+    write_table(mart.filter("month_dt < '1995'"), root, "payment_type_month")
+    write_table(mart, root, "payment_type_month")
+    return read_table(spark, root, "payment_type_month")
+
+
+def _single_file(spark: SparkSession, d: str) -> DataFrame:
+    """A mart exported as one sorted file and read back with its line numbers."""
+    name, path = "order_status_day", scratch_path(spark, "single-file")
+    export_csv(_wh(spark, d).order_status_day, path, name=name)
+    records = read_records(spark, f"{path}/part-00000.csv", number="line_no")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema_of(name).fields)
+    return records.select("line_no", F.from_csv("record", fields).alias("r")).select("line_no", "r.*")
+
+
+# Texts are exported whole: quotes doubled, white space kept.
+TEXT_OPTIONS = {"escape": '"', "quoteAll": "true", "ignoreLeadingWhiteSpace": "false",
+                "ignoreTrailingWhiteSpace": "false"}
+
+
+def _reviews(spark: SparkSession, d: str) -> DataFrame:
+    """Reviews with line breaks, exported as one file and read back in parallel."""
+    path = scratch_path(spark, "reviews")
+    export_csv(_wh(spark, d).raw["order_reviews"], path, **TEXT_OPTIONS)
+    return read_source(spark, "", "order_reviews", path=path, keep_empty_strings=True)
+
+
+def damaged_items(items: DataFrame) -> DataFrame:
+    """The items as text, some of whose numbers do not parse (fixed rules on the order key)."""
+    order = F.substring("order_id", 2, 20).cast("long")
+    text = items.select(*[F.col(c).cast("string").alias(c) for c in items.columns])
+    return text.withColumns({
+        "order_item_id": F.when(order % 17 == 0, F.concat(F.lit("x"), "order_item_id")).otherwise(F.col("order_item_id")),
+        "price": F.when(order % 23 == 0, F.lit("n/a")).otherwise(F.col("price")),
+        "freight_value": F.when(order % 29 == 0, F.lit("1.2.3")).otherwise(F.col("freight_value"))})
+
+
+def _rejects(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(spark, "damaged")
+    export_csv(damaged_items(_wh(spark, d).raw["order_items"]), path, single_file=False)
+    return reject_report(read_source(spark, "", "order_items", path=path, rejects=True))
+
+
+def _text_layer(spark: SparkSession, d: str) -> DataFrame:
+    root = scratch_path(spark, "text-layer")
+    write_text_table(_wh(spark, d).detail, root, "trade_detail")
+    return read_text_table(spark, f"{root}/trade_detail", "trade_detail")
+
+
+def _landing_status(spark: SparkSession, d: str) -> DataFrame:
+    """Landing of four raw files, one of them damaged, one with line breaks and one absent."""
+    src, raw = scratch_path(spark, "to-land"), _wh(spark, d).raw
+    export_csv(raw["customers"], f"{src}/customers", single_file=False)
+    export_csv(damaged_items(raw["order_items"]), f"{src}/order_items", single_file=False)
+    export_csv(raw["order_reviews"], f"{src}/order_reviews", **TEXT_OPTIONS)
+    names = ("customers", "order_items", "order_reviews", "sellers")
+    return landing_report(spark, land_all(spark, src, scratch_path(spark, "landed"), {n: n for n in names}))
+
+
+def _export_status(spark: SparkSession, d: str) -> DataFrame:
+    """Exports of three marts and of a table that does not exist."""
+    root, wh = scratch_path(spark, "marts"), _wh(spark, d)
+    names = ("gmv_month", "payment_dist", "region_sales_month")
+    for name in names:
+        write_table(getattr(wh, name), root, name)
+    report = run_export(spark, root, [*names, "no_such_mart"], scratch_path(spark, "exported"))
+    return export_report(spark, report).drop("error")
+
+
+#: Queries that write files while they are built.
+WRITING: dict[str, QueryFn] = {
+    "reviews_roundtrip": _reviews, "csv_rejects": _rejects, "text_layer_trade_detail": _text_layer,
+    "single_file_order_status_day": _single_file, "published_payment_type_month": _published,
+    "landing_status": _landing_status, "export_status": _export_status,
+}
+
+
 def build_queries() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {
         "payment_rollup": _layer("payment_rollup"),
@@ -97,4 +181,5 @@ def build_queries() -> dict[str, QueryFn]:
     })
     for name in CSV_TABLES:
         q[f"csv_roundtrip_{name}"] = _csv_roundtrip(name)
+    q.update(WRITING)
     return q

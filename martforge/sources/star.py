@@ -12,6 +12,7 @@ The correctness oracle rebuilds the same raw tables in SQL.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +60,8 @@ STAR_SCHEMAS = {
     "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
 }
 STAR_TABLES = tuple(STAR_SCHEMAS)
+# Free texts for the review table.
+DOCUMENTS_SCHEMA = "doc_id BIGINT, text STRING, lang STRING"
 
 
 def _key(prefix: str, c: str) -> str:
@@ -197,11 +200,48 @@ def raw_sellers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     return conform(out, RAW_SCHEMAS["sellers"])
 
 
+def raw_geolocation(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    out = (customer
+           .join(_nations(nation), F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+           .selectExpr(
+               "c_nationkey AS geolocation_zip_code_prefix",
+               "CAST(c_custkey % 180 - 90 AS DOUBLE) AS geolocation_lat",
+               "CAST(c_custkey % 360 - 180 AS DOUBLE) AS geolocation_lng",
+               "concat(c_mktsegment, '-', n_name) AS geolocation_city",
+               "n_name AS geolocation_state",
+           ))
+    return conform(out, RAW_SCHEMAS["geolocation"])
+
+
+def raw_order_reviews(documents: DataFrame) -> DataFrame:
+    """Reviews whose messages are the documents' whole texts, line breaks and
+    quotes included."""
+    out = documents.selectExpr(
+        f"{_key('r', 'doc_id')} AS review_id",
+        f"{_key('o', 'doc_id')} AS order_id",
+        "CAST(doc_id % 5 + 1 AS INT) AS review_score",
+        "lang AS review_comment_title",
+        "text AS review_comment_message",
+        "CAST(NULL AS STRING) AS review_creation_date",
+        "CAST(NULL AS STRING) AS review_answer_timestamp",
+    )
+    return conform(out, RAW_SCHEMAS["order_reviews"])
+
+
+def _reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    try:
+        documents = spark.read.schema(DOCUMENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise  # unreadable is not the same as absent
+        return spark.createDataFrame([], RAW_SCHEMAS["order_reviews"])
+    return raw_order_reviews(documents)
+
+
 def star_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All nine raw tables built from the star-schema directory ``sf_dir``.
-
-    ``order_reviews`` and ``geolocation`` have no counterpart in the star
-    schema and come back empty (nothing downstream reads them)."""
+    Nothing downstream reads sellers, reviews or geolocation; reviews come from
+    the directory's ``documents`` table and are empty without one."""
     s = read_star(spark, sf_dir)
     return {
         "orders": raw_orders(s["orders"]),
@@ -210,7 +250,7 @@ def star_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "customers": raw_customers(s["customer"], s["nation"]),
         "products": raw_products(s["part"]),
         "sellers": raw_sellers(s["supplier"], s["nation"]),
-        "order_reviews": spark.createDataFrame([], RAW_SCHEMAS["order_reviews"]),
-        "geolocation": spark.createDataFrame([], RAW_SCHEMAS["geolocation"]),
+        "order_reviews": _reviews(spark, sf_dir),
+        "geolocation": raw_geolocation(s["customer"], s["nation"]),
         "category_translation": raw_category_translation(s["part"]),
     }

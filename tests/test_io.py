@@ -110,7 +110,7 @@ def test_pipeline_quality_report_from_observed_metrics(spark, tmp_dir, smoke_dir
     res = run_pipeline(spark, f"{tmp_dir}/wh", star_dir=smoke_dir, etl_date="2026-01-01",
                        quality=True, charts=True)
     assert "quality_report" in res["timings"] and "charts" in res["timings"]
-    assert spark.read.parquet(f"{tmp_dir}/wh/charts/gmv_daily_peak").count() == 434
+    assert read_table(spark, f"{tmp_dir}/wh/charts", "gmv_daily_peak").count() == 434
     got = read_table(spark, f"{tmp_dir}/wh", "quality_report")
     exp = Warehouse.from_star(spark, smoke_dir, etl_date="2026-01-01").quality_report()
     assert got.count() == 11

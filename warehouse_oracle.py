@@ -9,7 +9,6 @@ ranked reports come from :func:`ranked`.
 
 from __future__ import annotations
 
-from martforge.operators.quality import REPORT_ROWS
 from martforge.sources import star as A
 
 ETL_DATE = "2026-01-01"
@@ -201,6 +200,22 @@ LINE_COLUMNS = ("order_id, nr AS order_item_id, product_id, seller_id, ship_by A
                 f"{money('price_c', 10)} AS price, {money('freight_c', 10)} AS freight_value")
 
 
+# Check, metric, expected text, and the kind of expectation.
+REPORT_ROWS = (
+    ("row_counts", "source_rows", None, None),
+    ("row_counts", "detail_rows", "<= source_rows", "le_source"),
+    ("duplicates", "duplicate_count", "0", "zero"),
+    ("nulls", "order_id_null_cnt", "0", "zero"),
+    ("nulls", "customer_id_null_cnt", "0", "zero"),
+    ("nulls", "product_id_null_cnt", "0", "zero"),
+    ("negative_amounts", "price_negative_cnt", "0", "zero"),
+    ("negative_amounts", "freight_negative_cnt", "0", "zero"),
+    ("orphans", "items_without_order", None, None),
+    ("payment_coverage", "no_payment_cnt", None, None),
+    ("payment_coverage", "no_payment_pct", None, None),
+)
+
+
 def report() -> str:
     """The checks of the combined report, one row each."""
     extra = {"detail_rows": "total_cnt", "source_rows": "(SELECT count(*) FROM line)",
@@ -232,7 +247,16 @@ RAW_COUNTS = {"orders": count_of("head"), "order_items": count_of("line"),
               "order_payments": count_of("payment"), "customers": count_of("buyer"),
               "products": count_of("good"),
               "sellers": count_of("supplier JOIN nation ON n_nationkey = s_nationkey"),
-              "category_translation": count_of("english"), "order_reviews": "0", "geolocation": "0"}
+              "category_translation": count_of("english"), "order_reviews": count_of("documents"),
+              "geolocation": count_of("customer JOIN nation ON n_nationkey = c_nationkey")}
+
+# Numbers of the damaged items that do not parse, by column.
+ORDER_KEY = "CAST(substr(order_id, 2) AS BIGINT)"
+DAMAGE = {"order_item_id": (17, "concat('x', nr)"), "price": (23, "'n/a'"), "freight_value": (29, "'1.2.3'")}
+DAMAGED = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {value} AS value FROM line WHERE {ORDER_KEY} % {mod} = 0"
+                             for c, (mod, value) in DAMAGE.items())
+LANDED = {"customers": (count_of("buyer"), "0"), "order_items": (count_of("line"), f"SELECT count(*) FROM ({DAMAGED})"),
+          "order_reviews": (count_of("documents"), "0")}
 
 BODIES: dict[str, str] = {
     **{name: f"SELECT * FROM {name}" for name in (
@@ -273,6 +297,23 @@ BODIES: dict[str, str] = {
     "csv_roundtrip_category_translation": """
         SELECT category AS product_category_name, english AS product_category_name_english
         FROM english""",
+    "reviews_roundtrip": """
+        SELECT concat('r', doc_id) AS review_id, concat('o', doc_id) AS order_id,
+               CAST(doc_id % 5 + 1 AS INTEGER) AS review_score, coalesce(lang, '') AS review_comment_title,
+               coalesce(text, '') AS review_comment_message, '' AS review_creation_date,
+               '' AS review_answer_timestamp
+        FROM documents""",
+    "single_file_order_status_day": "SELECT row_number() OVER (ORDER BY dt, order_status) AS line_no, * "
+                                    "FROM order_status_day",
+    "published_payment_type_month": "SELECT * FROM payment_type_month",
+    "csv_rejects": f'SELECT "column", value, count(*) AS cnt FROM ({DAMAGED}) GROUP BY ALL',
+    "landing_status": " UNION ALL ".join(
+        f"SELECT '{n}' AS tbl, 'ok' AS status, ({rows}) AS rows, ({bad}) AS rejected" for n, (rows, bad) in LANDED.items())
+    + " UNION ALL SELECT 'sellers', 'skipped', NULL, NULL",
+    "export_status": " UNION ALL ".join(
+        f"SELECT '{n}' AS \"table\", 'ok' AS status, ({count_of(n)}) AS rows"
+        for n in ("gmv_month", "payment_dist", "region_sales_month"))
+    + " UNION ALL SELECT 'no_such_mart', 'failed', NULL",
     "raw_row_counts": counts(RAW_COUNTS, "tbl", "cnt"),
     "dq_row_counts": counts({"order_items": count_of("line"), "trade_detail": count_of("fact")},
                             "source", "row_count"),
@@ -317,6 +358,9 @@ BODIES: dict[str, str] = {
 }
 
 
+BODIES["text_layer_trade_detail"] = BODIES["trade_detail"]
+
+
 def oracle_queries() -> dict[str, str]:
     prefix = "WITH " + ",\n".join(f"{name} AS ({sql.strip()})" for name, sql in TABLES.items())
     return {name: f"{prefix}\n{body.strip()}" for name, body in BODIES.items()}
