@@ -7,17 +7,24 @@ Largest inner product becomes smallest distance by one more coordinate: with
 ratio of squared projected to squared true distance is chi-square with ``m``
 degrees of freedom.
 
-Every task holds a block of at most ``BLOCK_ROWS`` vectors, projects them and
-indexes the projections by a kd-tree. A query takes the leaves in order of
-their distance in the projected space and verifies their vectors exactly.
-It stops when a vector nearer than its k-th best would by now have appeared
-with probability ``CONFIDENCE``: when the next leaf's squared projected
-distance exceeds the chi-square quantile times the squared k-th distance.
-Queries advance together, so each leaf is verified for all its queries in one
-product.
-
-Queries are broadcast in blocks of ``QUERY_ROWS``; vectors are not shuffled,
-and only each task's k best per query go on to the merge.
+Every task indexes blocks of at most ``BLOCK_ROWS`` of its vectors: projections
+in the leaves of a kd-tree. A query takes the leaves by their distance in the
+projected space, in waves of growing size, and verifies their vectors exactly.
+A leaf is left out, and the search stops at the first wave with no leaf left,
+once a vector nearer than the query's k-th best would by now have appeared with
+probability ``CONFIDENCE``: when no point of the leaf is within the chi-square
+quantile times the squared k-th distance. Each leaf is verified for all its
+queries in one product, and a block starts from the k-th best of the blocks
+before it.
+
+How much that prunes is a property of the vectors. Where neighbours are much
+nearer than the rest, as in clustered embeddings, a small share is verified;
+where all distances are alike (uniform directions in many dimensions) no
+projection to few dimensions can tell neighbours apart, and most of a block is
+verified. ``Block.verified`` counts it; the README has figures.
+
+Queries are broadcast in blocks of at most ``QUERY_BYTES`` and searched
+``QUERY_SLICE`` at a time; only each task's k best per query go on to the merge.
 
 Cases: rows whose id or vector is NULL, or whose vector is empty, zero or holds
 NULL or non-finite components take no part; a query sees only vectors of its
@@ -36,11 +43,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DIMENSIONS = 6
-CONFIDENCE = 0.97
-LEAF = 128
+from .common import store
+
+DIMENSIONS = 8
+CONFIDENCE = 0.95
+LEAF = 32
 BLOCK_ROWS = 16_384
-QUERY_ROWS = 16_384
+#: Vectors a task gets at least, however many tasks could run.
+TASK_ROWS = 4096
+QUERY_BYTES = 16 << 20
+QUERY_SLICE = 4096
+#: Leaves of a wave as a multiple of those before it.
+WAVE = 3
 #: Further classes kept beside the k best, against rounding in the products.
 SPARE = 8
 FOUND = "query_id long, vec_id long, score double"
@@ -92,46 +106,67 @@ class Block:
         lifted = np.concatenate([self.vectors, np.sqrt(self.top - norms)[:, None]], 1)
         self.axes = np.random.default_rng(lifted.shape[1]).standard_normal(
             (lifted.shape[1], DIMENSIONS))
-        points = lifted @ self.axes
-        self.leaves = kd_leaves(points)
-        self.low = np.array([points[rows].min(0) for rows in self.leaves])
-        self.high = np.array([points[rows].max(0) for rows in self.leaves])
+        self.points = lifted @ self.axes
+        self.leaves = kd_leaves(self.points)
+        self.low = np.array([self.points[rows].min(0) for rows in self.leaves])
+        self.high = np.array([self.points[rows].max(0) for rows in self.leaves])
+        self.verified = 0  # pairs of a query and a vector
 
     def search(self, queries: np.ndarray, bound: np.ndarray, k: int, quantile: float):
         """Best ``k + 1 + SPARE`` classes per query (-1: none); ``bound`` is the
         k-th best score that is known from elsewhere."""
+        parts = [self._search(queries[at:at + QUERY_SLICE], bound[at:at + QUERY_SLICE], k, quantile)
+                 for at in range(0, len(queries), QUERY_SLICE)]
+        return np.concatenate(parts)
+
+    def _search(self, queries: np.ndarray, bound: np.ndarray, k: int, quantile: float):
         n, width = len(queries), k + 1 + SPARE
-        at = np.concatenate([queries, np.zeros((n, 1))], 1) @ self.axes
+        at = queries @ self.axes[:-1]
         gap = np.zeros((n, len(self.leaves)))
         for j in range(DIMENSIONS):
             x = at[:, j, None]
             gap += np.maximum(np.maximum(self.low[None, :, j] - x, x - self.high[None, :, j]), 0) ** 2
-        order = np.argsort(gap, axis=1, kind="stable")
-        gap = np.take_along_axis(gap, order, 1)
-        best = np.full((n, width), -np.inf)
-        which = np.full((n, width), -1)
+        place = np.argsort(np.argsort(gap, axis=1, kind="stable"), axis=1)
+        wave = np.zeros(gap.shape, np.int8)
+        for ends in WAVE ** np.arange(1, 40):
+            wave += place >= ends
+            if ends > len(self.leaves):
+                break
+        best, which = np.full((n, width), -np.inf), np.full((n, width), -1)
+        reach = np.full(n, np.inf)  # squared projected distance that still matters
         norms = (queries ** 2).sum(1)
-        active = np.arange(n)
-        for turn in range(len(self.leaves)):
-            kth = np.maximum(bound[active], best[active, k])  # own class may be among them
-            far = np.maximum(norms[active] + self.top - 2 * kth, 0)
-            active = active[gap[active, turn] <= quantile * far]
-            if not len(active):
+
+        def within(rows: np.ndarray) -> np.ndarray:
+            kth = np.maximum(bound[rows], best[rows, k])  # own class may be among them
+            return quantile * np.maximum(norms[rows] + self.top - 2 * kth, 0)
+
+        reach = within(np.arange(n))
+        for turn in range(int(wave.max(initial=0)) + 1):
+            todo = (wave == turn) & (gap <= reach[:, None])
+            if not todo.any():
                 break
-            leaf = order[active, turn]
-            by = np.argsort(leaf, kind="stable")
-            cuts = np.flatnonzero(np.diff(leaf[by])) + 1
-            for members in np.split(active[by], cuts):
-                rows = self.leaves[order[members[0], turn]]
+            for leaf in np.flatnonzero(todo.any(0)).tolist():
+                rows = self.leaves[leaf]
+                members = np.flatnonzero(todo[:, leaf] & (gap[:, leaf] <= reach))
+                near = ((self.points[rows] ** 2).sum(1) - 2 * at[members] @ self.points[rows].T).min(1) \
+                    + (at[members] ** 2).sum(1)
+                members = members[near <= reach[members] * (1 + 1e-9)]
+                if not len(members):
+                    continue
                 scores = queries[members] @ self.vectors[rows].T
+                self.verified += scores.size
+                better = scores.max(1) > best[members, -1]
+                members, scores = members[better], scores[better]
+                if not len(members):
+                    continue
                 both = np.concatenate([best[members], scores], 1)
                 names = np.concatenate([which[members], np.broadcast_to(rows, scores.shape)], 1)
-                pick = np.argpartition(-both, width - 1, axis=1)[:, :width] \
-                    if both.shape[1] > width else np.broadcast_to(np.arange(both.shape[1]), both.shape)
+                pick = np.argpartition(-both, width - 1, axis=1)[:, :width]
                 both, names = np.take_along_axis(both, pick, 1), np.take_along_axis(names, pick, 1)
                 rank = np.argsort(-both, axis=1, kind="stable")
                 best[members] = np.take_along_axis(both, rank, 1)
                 which[members] = np.take_along_axis(names, rank, 1)
+                reach[members] = within(members)
         return which
 
     def candidates(self, query_ids: np.ndarray, queries: np.ndarray, which: np.ndarray):
@@ -185,8 +220,17 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
     the rows of ``vectors`` other than its own."""
     spark = vectors.sparkSession
     rows, asked = usable(vectors, id_col, vector_col), usable(queries, id_col, vector_col).distinct()
-    n_tasks = max(1, math.ceil(vectors.count() / BLOCK_ROWS))
-    n_blocks = max(1, math.ceil(queries.count() / QUERY_ROWS))
+    n = vectors.count()
+    # as many tasks as can run at once, if each still gets enough vectors to index
+    share = math.ceil(n / (2 * spark.sparkContext.defaultParallelism))
+    n_tasks = max(1, math.ceil(n / min(BLOCK_ROWS, max(TASK_ROWS, share))))
+    if n_tasks > 1:
+        rows = rows.repartition(n_tasks, "id")
+    asked = store(asked, "queries")
+    size = asked.agg(F.sum(F.size("v") * 8 + 8)).first()[0] or 0
+    n_blocks = max(1, math.ceil(size / QUERY_BYTES))
+    if n_blocks > 1:
+        rows = store(rows, "vectors")
     quantile = chi_square_quantile(CONFIDENCE, DIMENSIONS)
     found = None
     for number in range(n_blocks):
@@ -232,7 +276,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
                     "query_id": pa.array(wanted[d][0][q], pa.int64()),
                     "vec_id": pa.array(ids, pa.int64()), "score": pa.array(score, pa.float64())})
 
-        part = rows.coalesce(n_tasks).mapInArrow(search, FOUND)
+        part = rows.mapInArrow(search, FOUND)
+        if n_blocks > 1:
+            part = store(part, "found")
         found = part if found is None else found.unionByName(part)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     # equal rows that lie in different tasks count once

@@ -55,7 +55,8 @@ def test_projections_follow_chi_square():
 @pytest.mark.parametrize("kind", ["normal", "clustered", "unit"])
 def test_recall(spark, monkeypatch, kind):
     monkeypatch.setattr(nn, "BLOCK_ROWS", 1500)
-    monkeypatch.setattr(nn, "QUERY_ROWS", 70)
+    monkeypatch.setattr(nn, "QUERY_BYTES", 70 * 8 * 24)
+    monkeypatch.setattr(nn, "QUERY_SLICE", 30)
     rng = np.random.default_rng(9)
     x = rng.standard_normal((4000, 24))
     if kind == "clustered":
@@ -66,12 +67,41 @@ def test_recall(spark, monkeypatch, kind):
     got, want = run(spark, rows, 20), brute(rows, 20)
     assert got.keys() == want.keys()
     hits = [len({j for j, _ in got[i]} & {j for j, _ in want[i]}) / 20 for i in want]
-    assert np.mean(hits) >= 0.9
+    assert np.mean(hits) >= 0.95
     exact = {(i, j): s for i in want for j, s in want[i]}
     assert all(s == exact[i, j] for i in got for j, s in got[i] if (i, j) in exact)
     assert all(len(v) == 20 for v in got.values())
 
 
+@pytest.mark.parametrize("size", [4000, 16000])
+def test_the_stop_prunes_clustered_vectors(size):
+    rng = np.random.default_rng(size)
+    x = rng.standard_normal((60, 48))[rng.integers(0, 60, size)] + 0.2 * rng.standard_normal((size, 48))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    asked = np.arange(0, size, 20)
+    block = nn.Block(np.arange(size), x, 20)
+    which = block.search(x[asked], np.full(len(asked), -np.inf), 20,
+                         nn.chi_square_quantile(nn.CONFIDENCE, nn.DIMENSIONS))
+    q, ids, score = nn._best(*block.candidates(asked, x[asked], which), 20)
+    exact = x[asked] @ x.T
+    exact[np.arange(len(asked)), asked] = -np.inf
+    kth = np.sort(exact, axis=1)[:, -20]
+    recall = np.mean(exact[q, ids] >= kth[q] - 1e-12)
+    assert len(q) == 20 * len(asked) and recall >= 0.95
+    assert block.verified <= 0.3 * size * len(asked)
+    again = nn.Block(np.arange(size), x, 20)  # a bound from elsewhere prunes further
+    again.search(x[asked], kth, 20, nn.chi_square_quantile(nn.CONFIDENCE, nn.DIMENSIONS))
+    assert again.verified < block.verified
+
+
+def test_uniform_directions_leave_little_to_prune():
+    x = np.random.default_rng(3).standard_normal((4000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    block = nn.Block(np.arange(4000), x, 20)
+    block.search(x[:200], np.full(200, -np.inf), 20, nn.chi_square_quantile(nn.CONFIDENCE, nn.DIMENSIONS))
+    assert block.verified <= 0.98 * 200 * 4000
+
+
 def test_odd_vectors(spark, monkeypatch):
     rng = np.random.default_rng(2)
     same, nan, inf = [1.0, 2.0, 3.0], float("nan"), float("inf")
