@@ -184,15 +184,19 @@ def located(text: Column, pattern: str) -> Column:
         def chunk(c: Column) -> Column:
             return F.aggregate(F.slice(steps, c * CHUNK + 1, CHUNK), start(), place)
 
-        def shift(acc: Column, part: Column) -> Column:
-            moved = F.transform(part["out"], lambda s: F.struct(
-                (s["start"] + acc["at"]).alias("start"), (s["end"] + acc["at"]).alias("end"),
-                s["value"].alias("value")))
-            return F.struct((acc["at"] + part["at"]).alias("at"),
-                            F.concat(acc["out"], moved).alias("out"))
+        def joined(parts: Column) -> Column:
+            ends = F.aggregate(parts, F.array(F.lit(0)), lambda acc, p: F.concat(
+                acc, F.array(F.element_at(acc, -1) + p["at"])))
+
+            def moved(first: Column) -> Column:
+                return F.flatten(F.transform(parts, lambda p, i: F.transform(p["out"], lambda s: F.struct(
+                    (s["start"] + F.get(first, i)).alias("start"), (s["end"] + F.get(first, i)).alias("end"),
+                    s["value"].alias("value")))))
+
+            return let(ends, moved)
 
         numbers = F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / CHUNK).cast("int"))
-        return F.aggregate(F.transform(numbers, chunk), start(), shift)["out"]
+        return let(F.transform(numbers, chunk), joined)
 
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     steps = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("value"))
@@ -257,21 +261,49 @@ def find_spans(text: Column) -> Column:
 
 def redacted(text: Column, spans: Column) -> Column:
     """``text`` with every stretch covered by spans replaced by the name of
-    the kind that starts first, in brackets."""
-    def step(acc: Column, s: Column) -> Column:
-        new = s["start"] >= acc["at"]
-        between = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(new, F.concat(acc["out"], between, F.lit("["), s["kind"],
-                                             F.lit("]"))).otherwise(acc["out"]).alias("out"))
+    the kind that starts first, in brackets. Spans are taken ``CHUNK`` at a
+    time, so time grows in proportion to the text and its spans."""
+    def over(blocks: Column, ordered: Column) -> Column:
+        def between(start: Column, end: Column) -> Column:
+            first, last = (F.floor(x / BLOCK).cast("int") for x in (start, end - 1))
+            inside = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+            return F.when(end > start, F.substring(inside, start - first * BLOCK + 1, end - start)).otherwise("")
+
+        def step(acc: Column, s: Column) -> Column:
+            piece = F.concat(between(acc["at"], s["start"]), F.lit("["), s["kind"], F.lit("]"))
+            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
+                            F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(piece)))
+                            .otherwise(acc["out"]).alias("out"))
+
+        def chunk(number: Column) -> Column:
+            return F.slice(ordered, number * CHUNK + 1, CHUNK)
+
+        numbers = F.sequence(F.lit(0), F.floor((F.size(ordered) - 1) / CHUNK).cast("int"))
+        # how far the spans before each chunk reach, and at last all of them
+        reach = F.aggregate(F.transform(numbers, lambda c: F.array_max(F.transform(chunk(c), lambda s: s["end"]))),
+                            F.array(F.lit(0)), lambda acc, end: F.concat(
+                                acc, F.array(F.greatest(F.element_at(acc, -1), end))))
+
+        def whole(reach: Column) -> Column:
+            none = F.array().cast("array<string>")
+            pieces = F.transform(numbers, lambda c: F.aggregate(
+                chunk(c), F.struct(F.get(reach, c).alias("at"), none.alias("out")), step)["out"])
+            rest = F.array(between(F.element_at(reach, -1), F.length(text)))
+            return F.array_join(F.concat(F.flatten(pieces), rest), "")
+
+        return let(reach, whole)
 
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"])))
-    done = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                       lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1,
-                                                                    F.length(text))))
+    blocks = F.regexp_extract_all(text, F.lit(BLOCKS), F.lit(0))
+    done = let(blocks, lambda b: let(ordered, lambda o: over(b, o)))
     return F.when(F.size(spans) > 0, done).otherwise(text)
 
 
+def redact(text: Column) -> Column:
+    """``text`` with all personal data found in it replaced."""
+    return let(find_spans(text), lambda spans: redacted(text, spans))
+
+
 def with_spans(docs: DataFrame, text_col: str = "text", name: str = "__spans") -> DataFrame:
     """``docs`` with all its columns and the spans of each text."""
     return docs.withColumn(name, find_spans(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))

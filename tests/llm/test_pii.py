@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -142,3 +143,47 @@ def test_odd_documents(spark):
 def test_no_python_on_the_main_path(spark):
     plan = pii.personal_data(odd_docs(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan.replace("ArrowEvalPython", "Arrow")
+
+
+def plain_redacted(text, spans):
+    out, at = [], 0
+    for start, end, kind in sorted(spans):
+        if start >= at:
+            out += [text[at:start], f"[{kind}]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_redaction_of_many_spans(spark):
+    rng = random.Random(4)
+    words = ["word ", "mail a.b@c.org, ", "+1 (555) 010-9999 ", "10.0.0.9 ", "é😀 ", "x" * 700 + " ", f"{CARD} ",
+             "ssn: 123-45-6789 ", "\n"]
+    texts = ["".join(rng.choices(words, k=n)) for n in (0, 1, 5, 300, 3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = df.select("text", pii.find_spans(F.col("text")).alias("s"), pii.redact(F.col("text")).alias("r")).collect()
+    for r in rows:
+        assert r.r == plain_redacted(r.text, [(s.start, s.end, s.kind) for s in r.s])
+    assert max(len(r.s) for r in rows) > 3 * pii.CHUNK
+
+
+def test_redaction_overlapping_spans(spark):
+    rng = random.Random(5)
+    for n in (1, 2, 600):
+        spans = [(a, a + rng.randint(1, 90), rng.choice("xyz")) for a in (rng.randint(0, 4000) for _ in range(n))]
+        text = "".join(rng.choices("abé😀 ", k=4100))
+        row = spark.createDataFrame([(text, spans)], "t string, s array<struct<start:int,end:int,kind:string>>")
+        assert row.select(pii.redacted(F.col("t"), F.col("s"))).first()[0] == plain_redacted(text, spans)
+
+
+def test_time_grows_with_the_text(spark):
+    part = "mail a.b@c.org, or 10.0.0.9 today and +1 (555) 010-9999 " * 400  # about 50 spans a KB
+
+    def seconds(times):
+        df = spark.createDataFrame([(part * times,)], "text string").select(pii.redact(F.col("text")).alias("r"))
+        begun = time.perf_counter()
+        assert df.first().r.count("[email]") == 400 * times
+        return time.perf_counter() - begun
+
+    seconds(40)
+    small, large = seconds(40), seconds(160)
+    assert large < 10 * small  # four times the text; a quadratic pass takes sixteen times as long
