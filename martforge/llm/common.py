@@ -37,6 +37,18 @@ def batch_rows(spark: SparkSession, n: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def unused(columns: list[str], *wanted: str) -> list[str]:
+    """The names ``wanted``, each with as many underscores before it as it
+    takes to differ from all of ``columns`` (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id long, text string)`` with NULL text read as empty; all other
     columns are dropped, so their names can't clash with internal ones."""

@@ -2,7 +2,8 @@
 
 Each round every node hooks to its smallest smaller neighbour, parents are
 shortened by one jump, and links are renamed to the parents; links inside a
-class vanish. Rounds are written to the shared folder, so nothing is collected
+class vanish. Joins on a node that many rows name deal those rows over several
+tasks. Rounds are written to the shared folder, so nothing is collected
 and lost executors cost at most one round.
 """
 
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 
 from .common import store
 
+#: Tasks that share the rows of one node.
+COPIES = 16
+
 
 def components(links: DataFrame) -> DataFrame:
     """``links`` (``a``, ``b``) -> ``node, root``: the smallest node reachable
@@ -32,7 +36,15 @@ def components(links: DataFrame) -> DataFrame:
     return labels.select("node", "root")
 
 
+def spread_join(df: DataFrame, other: DataFrame, key: str, by: str) -> DataFrame:
+    """Left join on ``key``, of which ``other`` has every value once and ``df``
+    perhaps very often: rows of a value are dealt over ``COPIES`` tasks by ``by``."""
+    left = df.withColumn("__copy", F.pmod(F.xxhash64(by), F.lit(COPIES)))
+    copies = F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1)).cast("array<bigint>"))
+    return left.join(other.withColumn("__copy", copies), [key, "__copy"], "left").drop("__copy")
+
+
 def _renamed(df: DataFrame, column: str, parents: DataFrame) -> DataFrame:
     up = parents.select(F.col("node").alias(column), F.col("up").alias("__up"))
     rest = [c for c in df.columns if c != column]
-    return df.join(up, column, "left").select(F.coalesce("__up", column).alias(column), *rest)
+    return spread_join(df, up, column, rest[0]).select(F.coalesce("__up", column).alias(column), *rest)

@@ -36,8 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_text, store
-from .components import components
+from .common import id_text, store, unused
+from .components import components, spread_join
 
 SEED = 42
 SHINGLE_WORDS = 4
@@ -221,10 +221,13 @@ def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     (``fp``, ``doc_id``): its class and the smallest ``doc_id`` in it."""
     nodes = store(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprints")
     roots = components(find_links(nodes, max_bits))
-    rooted = (nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-              .withColumn("root", F.coalesce("root", "fp")))
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rooted.select("fp", "root").join(smallest, "root")
+    # only linked fingerprints need their class's smallest id; its members are dealt over tasks
+    linked = store(roots.withColumnRenamed("node", "fp").join(nodes, "fp"), "linked")
+    smallest = linked.groupBy("root").agg(F.min("first_id").alias("smallest"))
+    found = spread_join(linked.select("fp", "root"), smallest, "root", "fp")
+    return nodes.join(found, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("smallest")).alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS,
@@ -242,11 +245,10 @@ def one_per_class(docs: DataFrame, words: int = SHINGLE_WORDS,
                   max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` (all columns) that stay: of each class the row with
     the smallest id; of rows that repeat that id, one."""
-    printed = store(with_fingerprints(docs, words=words), "fingerprinted")
-    prints = printed.select("doc_id", F.col("__fingerprint").alias("fp"))
-    found = classes(prints, max_bits).select(
-        F.col("fp").alias("__fp"), F.col("root").alias("__root"),
-        F.col("component_id").alias("__component"))
-    kept = (printed.join(found, F.col("__fingerprint") == F.col("__fp"))
-            .filter(F.col("doc_id").cast("long").eqNullSafe(F.col("__component"))))
-    return kept.dropDuplicates(["__root"]).select(*docs.columns)
+    mine, fp, root, component = unused(docs.columns, "fingerprint", "fp", "root", "component_id")
+    printed = store(with_fingerprints(docs, words=words, name=mine), "fingerprinted")
+    prints = printed.select("doc_id", F.col(mine).alias("fp"))
+    found = classes(prints, max_bits).toDF(fp, root, component)
+    kept = (printed.join(found, F.col(mine) == F.col(fp))
+            .filter(F.col("doc_id").cast("long").eqNullSafe(F.col(component))))
+    return kept.dropDuplicates([root]).select(*docs.columns)

@@ -3,7 +3,10 @@
 import random
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
-          "length int, `offset` string, task string, row int, score string, number int")
+          "length int, `offset` string, task string, row int, score string, number int, "
+          "__fingerprint string, __fp int, __root long, __component string, __spans string, "
+          "__copy int, __up int, fingerprint int, fp string, root long, component_id string, spans int")
+MORE = ("f", 1, 2, "c", "<spans>", 3, 4, 5, "p", 6, "d", 7)  # names that the operators use themselves
 ODD_TEXTS = [
     None, "", " ", "\n", "a", "  two  spaces   three\n\n\nlines \t tab \n", "trail  ", "\x00nul \x00",
     "x\x1cy \x1d z", "nb sp   em    q", "<|endoftext|> a<|startoftext|>b <|ENDOFTEXT|>",
@@ -22,7 +25,7 @@ def odd_rows():
     for i in range(40):
         text = " ".join(rng.choices(words, k=rng.randint(1, 900)))
         rows.append((100 + i, text, "en", "s", len(text), 1, "", "", 2, "", 3))
-    return rows
+    return [r + MORE for r in rows]
 
 
 def odd_docs(spark, rows=None):
