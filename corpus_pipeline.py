@@ -12,7 +12,8 @@ as the next stage's ``docs``. All but the last return the columns of
 5. ``packing``          the texts become sequences of at most 2048 tokens
 
 Rows with NULL text are empty documents, NULL ids are kept as NULL, repeated
-rows fall to stage 2, and empty tables pass through every stage.
+rows fall to stage 2, and empty tables pass through every stage. Further columns
+pass through all stages but the last, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,8 +39,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    redacted = pii.redacted(F.coalesce("text", F.lit("")), F.col("__spans"))
-    found = pii.with_spans(docs).withColumn("text", redacted)
+    found = docs.withColumn("text", pii.redact(F.coalesce("text", F.lit(""))))
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return found.select(*docs.columns)
