@@ -9,16 +9,20 @@ hash (leftmost of equals): a function of its bytes, so equal windows have equal
 anchors at equal places. Neighbouring windows mostly share theirs; each such
 run of windows is one string of about ``WINDOW + 20`` bytes, and it is these
 strings that go to the bins, by anchor hash. Strings that repeat within a task
-are resolved there (all but the smallest id's are removed whole) and sent once.
+are resolved there (all but the smallest id's are removed whole) and sent once,
+with all the places where that document has them. Repeats are brought together by
+a hash and then compared byte by byte; a hash alone decides nothing.
 
 *Deep-shallow sorting* of a bin. Shallow: the suffixes are split by anchor and
-its place, then by multikey quicksort on 8-byte words to ``SHALLOW`` bytes;
-whatever stands alone after a word is done. Deep: the groups left share a long
+its place, then by multikey quicksort on 8-byte words to ``SHALLOW`` bytes:
+groups above ``DIRECT`` are parted in three around a pivot word, smaller ones are
+sorted at once; whatever stands alone after a word is done. Deep: the groups left share a long
 prefix; each is ordered by a blind trie, which branches on distinguishing bytes
 only and compares a suffix with a single leaf. Suffixes at one leaf are equal;
 those of larger ids than the leaf's smallest are marked.
 
-*Memory.* A bin above ``BIN_BYTES`` (an anchor within a very common passage) is
+*Memory.* The number of bins comes from the bytes of all texts, for about
+``BIN_TARGET`` bytes of strings in each. A bin above ``BIN_BYTES`` (an anchor within a very common passage) is
 passed on: its windows are dealt again one by one, by all their bytes, to as
 many bins as they need.
 
@@ -45,15 +49,21 @@ from .common import batch_rows, id_text, store
 WINDOW = 50
 GRAM = 8
 SHALLOW = 24
-#: Bytes of strings sorted at once, and bins per shuffle partition.
-BIN_BYTES = 128_000_000
-BINS_PER_PARTITION = 24
+#: Bytes of strings aimed at in a bin, and sorted at once at most.
+BIN_TARGET = 8_000_000
+BIN_BYTES = 32_000_000
+#: Bytes of strings per byte of text, about; what a place of a string counts for.
+STRING_BYTES, PLACE_BYTES = 4, 16
+#: Suffixes of a group that are sorted directly.
+DIRECT = 4096
 #: Bytes of text whose strings are made distinct at once, and bytes whose
 #: anchors are found at once; longer documents are cut into pieces that overlap
 #: by a window.
 CHUNK_BYTES = 16_000_000
 SLICE_BYTES = 500_000
 POSITION_BITS = 25
+#: Bytes compared at once.
+COMPARED = 4_000_000
 #: Rows (texts, blobs) that a task holds at a time.
 BATCH_ROWS = 500
 ROWS = "kind int, bin long, row long, first long, last long, payload binary"
@@ -132,34 +142,36 @@ def anchored_runs(data: np.ndarray, ends: np.ndarray, window: int = WINDOW):
 
 
 def pack(strings: np.ndarray, size: np.ndarray, anchor: np.ndarray, doc: np.ndarray,
-         row: np.ndarray, pos: np.ndarray) -> bytes:
-    """A blob of strings, compressed by columns: lengths and anchor places in
-    a byte each, ids as differences from the smallest, transposed by byte."""
+         count: np.ndarray, row: np.ndarray, pos: np.ndarray) -> bytes:
+    """A blob of strings and of their places (``count`` of ``row, pos`` for
+    each), compressed by columns: lengths and anchor places in a byte each,
+    numbers as differences from the smallest, transposed by byte."""
     def thin(x: np.ndarray) -> bytes:
         low = int(x.min()) if len(x) else 0
         wide = x.astype(np.int64).view(np.uint64) - np.uint64(low & (1 << 64) - 1)
         return np.int64(low).tobytes() + np.ascontiguousarray(
             wide.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
-    head = np.int64(len(size)).tobytes()
+    head = np.array([len(size), len(row)], np.int64).tobytes()
     return zstandard.ZstdCompressor(level=3).compress(b"".join(
         (head, size.astype(np.uint8).tobytes(), anchor.astype(np.uint8).tobytes(),
-         thin(doc), thin(row), thin(pos), strings.tobytes())))
+         thin(doc), thin(count), thin(row), thin(pos), strings.tobytes())))
 
 
 def unpack(blob: bytes):
+    """``data, size, anchor, doc, count`` of the strings, ``row, pos`` of the places."""
     raw = zstandard.ZstdDecompressor().decompress(blob)
-    n = int(np.frombuffer(raw, np.int64, 1)[0])
-    at = 8
+    n, places = np.frombuffer(raw, np.int64, 2).tolist()
+    at = 16
     size = np.frombuffer(raw, np.uint8, n, at).astype(np.int64)
     anchor = np.frombuffer(raw, np.uint8, n, at + n).astype(np.int64)
     at += 2 * n
     columns = []
-    for _ in range(3):
+    for m in (n, n, places, places):
         low = np.frombuffer(raw, np.uint8, 8, at).view(np.int64)[0]
-        wide = np.frombuffer(raw, np.uint8, 8 * n, at + 8).reshape(8, n).T
+        wide = np.frombuffer(raw, np.uint8, 8 * m, at + 8).reshape(8, m).T
         columns.append(np.ascontiguousarray(wide).view("<u8").ravel().view(np.int64) + low)
-        at += 8 + 8 * n
+        at += 8 + 8 * m
     return np.frombuffer(raw, np.uint8, offset=at), size, anchor, *columns
 
 
@@ -199,11 +211,37 @@ class BlindTrie:
                 yield node[1]
 
 
+def _parted(group: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Finer groups in the order of ``(group, word)``: those above ``DIRECT``
+    members are parted in three around a pivot word, again and again; the middle
+    part, equal to the pivot, is done."""
+    sizes = np.bincount(group)
+    large = np.flatnonzero(sizes > DIRECT)
+    if not len(large):
+        return group
+    place, parts = np.zeros(len(group), np.int64), 1
+    rng = np.random.default_rng(len(group))
+    for g in large.tolist():
+        waiting, number = [(np.flatnonzero(group == g), False)], 0
+        while waiting:
+            members, equal = waiting.pop()
+            if equal or len(members) <= DIRECT:
+                place[members] = number
+                number += 1
+                continue
+            w = word[members]
+            pivot = np.sort(w[rng.integers(0, len(w), 3)])[1]
+            waiting += [(members[w > pivot], False), (members[w == pivot], True), (members[w < pivot], False)]
+        parts = max(parts, number)
+    return group * parts + place
+
+
 def _split(group: np.ndarray, word: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One pass of multikey quicksort: members ordered by (group, word), their
+    """One word of multikey quicksort: members ordered by (group, word), their
     new groups; groups that hold a single document's suffixes are dropped."""
-    order = np.lexsort((word, group))
-    g, w, d = group[order], word[order], doc[order]
+    parted = _parted(group, word)
+    order = np.lexsort((word, parted))
+    g, w, d = parted[order], word[order], doc[order]
     new = np.ones(len(order), bool)
     new[1:] = (g[1:] != g[:-1]) | (w[1:] != w[:-1])
     first = np.flatnonzero(new)
@@ -307,14 +345,27 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield held
 
 
-def _distinct(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by string, the group of each, and the smallest id of each group."""
+def _distinct(key: np.ndarray, doc: np.ndarray, data: np.ndarray, start: np.ndarray,
+              size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by string, the group of each, and the smallest id of each group.
+    Members of a group have equal bytes: neighbours in the order of the hash
+    ``key`` are compared, a slice at a time. (Strings that a collision of hashes
+    mixes may end in several groups, which only leaves more to the sorting.)"""
     order = np.lexsort((doc, key))
     k = key[order]
     new = np.ones(len(k), bool)
-    new[1:] = k[1:] != k[:-1]
+    new[1:] = (k[1:] != k[:-1]) | (size[order[1:]] != size[order[:-1]])
+    check = np.flatnonzero(~new)
+    step = max(1, COMPARED // int(size.max(initial=1)))
+    for at in range(0, len(check), step):
+        mine = check[at:at + step]
+        these, those = order[mine], order[mine - 1]
+        length = size[these]
+        equal = data[ragged(start[these], length)] == data[ragged(start[those], length)]
+        new[mine] = ~np.logical_and.reduceat(equal, np.cumsum(length) - length)
     group = np.cumsum(new) - 1
-    return order, group, doc[order][new]
+    least = np.minimum.reduceat(doc[order], np.flatnonzero(new)) if len(k) else doc
+    return order, group, least
 
 
 def hashed_runs(data: np.ndarray, ends: np.ndarray):
@@ -346,37 +397,49 @@ def deal_strings(batches: Iterator[pa.RecordBatch], n_bins: int) -> Iterator[pa.
         size, doc, row = n + WINDOW - 1, docs[piece], rows[piece]
         pos = first - begins[piece] + bases[piece]
         del pieces
-        order, group, least = _distinct(whole, doc)
+        order, group, least = _distinct(whole, doc, data, first, size)
         again = doc[order] > least[group]
         seen = order[again]
         yield _spans(row[seen], pos[seen], pos[seen] + size[seen])
-        left = order[~again]
-        del order, group, again, seen
+        left, group = order[~again], group[~again]
+        del order, again, seen
+        string, start, count = _leads(left, group)
         # anchors are minima, so their hashes crowd near zero: spread them again
-        spread = hashed * _MULTIPLIER ^ hashed * np.uint64(_BASE) >> np.uint64(32)
-        left = left[np.argsort(spread[left], kind="stable")]  # bins are ranges of that
-        bins = ((spread[left] >> np.uint64(32)) * np.uint64(n_bins) >> np.uint64(32)).astype(np.int64)
-        yield from _blobs(BLOB, bins, left, data, first, size, anchor - first, doc, row, pos)
+        spread = hashed[string] * _MULTIPLIER ^ hashed[string] * np.uint64(_BASE) >> np.uint64(32)
+        bins = ((spread >> np.uint64(32)) * np.uint64(n_bins) >> np.uint64(32)).astype(np.int64)
+        yield from _blobs(bins, data, first[string], size[string], (anchor - first)[string], doc[string],
+                          start, count, row[left], pos[left])
+
 
+def _leads(members: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first member of each group of sorted ``group``, where the group
+    begins, and its size."""
+    start = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else group
+    return members[start], start, np.diff(np.append(start, len(group)))
 
-def _blobs(kind, bins, which, data, start, size, anchor, doc, row, pos) -> Iterator[pa.RecordBatch]:
-    """One blob row per bin of the sorted ``bins``; ``first`` holds its bytes."""
+
+def _blobs(bins, data, start, size, anchor, doc, place, count, row, pos) -> Iterator[pa.RecordBatch]:
+    """One blob row per bin of the strings; ``first`` holds its bytes. String
+    ``i`` stands at the places ``place[i] ... + count[i]`` of ``row, pos``."""
+    by = np.argsort(bins, kind="stable")
+    bins = bins[by]
     at = np.flatnonzero(np.concatenate([[True], bins[1:] != bins[:-1]])) if len(bins) else []
     payload, weight = [], []
     for a, b in zip(at, [*at[1:], len(bins)], strict=True):
-        mine = which[a:b]
-        payload.append(pack(data[ragged(start[mine], size[mine])], size[mine], anchor[mine],
-                            doc[mine], row[mine], pos[mine]))
-        weight.append(int(size[mine].sum()))
-    yield _batch(kind, bins[at] if len(bins) else 0, 0, np.array(weight, np.int64), 0, payload)
+        mine = by[a:b]
+        places = ragged(place[mine], count[mine])
+        payload.append(pack(data[ragged(start[mine], size[mine])], size[mine], anchor[mine], doc[mine],
+                            count[mine], row[places], pos[places]))
+        weight.append(int(size[mine].sum()) + PLACE_BYTES * len(places))
+    yield _batch(BLOB, bins[at] if len(bins) else 0, 0, np.array(weight, np.int64), 0, payload)
 
 
 def _sorted_bin(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
     """Spans found in one bin."""
-    data, size, anchor, doc, row, pos = (np.concatenate(x) for x in zip(
+    data, size, anchor, doc, count, row, pos = (np.concatenate(x) for x in zip(
         *map(unpack, blobs), strict=True))
-    start = np.cumsum(size) - size
-    order, group, least = _distinct(SliceHash(data)(start, start + size), doc)
+    start, place = np.cumsum(size) - size, np.cumsum(count) - count
+    order, group, least = _distinct(SliceHash(data)(start, start + size), doc, data, start, size)
     whole = doc[order] > least[group]
     lead = order[np.concatenate([[True], group[1:] != group[:-1]])]  # one per string
     marks = mark_windows(data, start[lead], size[lead], anchor[lead], doc[lead])
@@ -384,12 +447,17 @@ def _sorted_bin(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
     mine = order[~whole]
     by = group[~whole]
     lo, hi = np.searchsorted(by, marks[:, 0]), np.searchsorted(by, marks[:, 0], side="right")
-    string = mine[ragged(lo, hi - lo)]
-    turn = np.repeat(marks[:, 1], hi - lo)
-    all_of = order[whole]
-    yield _spans(np.concatenate([row[all_of], row[string]]),
-                 np.concatenate([pos[all_of], pos[string] + turn]),
-                 np.concatenate([pos[all_of] + size[all_of], pos[string] + turn + WINDOW]))
+    string = np.concatenate([order[whole], mine[ragged(lo, hi - lo)]])
+    turn = np.concatenate([np.zeros(int(whole.sum()), np.int64), np.repeat(marks[:, 1], hi - lo)])
+    length = np.concatenate([size[order[whole]], np.full(len(turn) - int(whole.sum()), WINDOW)])
+    yield _placed(string, turn, length, place, count, row, pos)
+
+
+def _placed(string, turn, length, place, count, row, pos) -> pa.RecordBatch:
+    """Spans of ``length`` from ``turn`` on, wherever each string stands."""
+    at = ragged(place[string], count[string])
+    first = pos[at] + np.repeat(turn, count[string])
+    return _spans(row[at], first, first + np.repeat(length, count[string]))
 
 
 def sort_bins(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
@@ -420,23 +488,27 @@ def deal_windows(batches: Iterator[pa.RecordBatch], n_bins: int) -> Iterator[pa.
     """The windows of passed-on blobs one by one, by a hash of all their bytes."""
     for batch in batches:
         for blob in batch.column("payload").to_pylist():
-            data, size, _, doc, row, pos = unpack(blob)
-            start, n = np.cumsum(size) - size, size - WINDOW + 1
+            data, size, _, doc, count, row, pos = unpack(blob)
+            start, place, n = np.cumsum(size) - size, np.cumsum(count) - count, size - WINDOW + 1
             string = np.repeat(np.arange(len(size)), n)
             turn = ragged(np.zeros(len(size), np.int64), n)
             first = start[string] + turn
             length = np.full(len(first), WINDOW)
             hashed = SliceHash(data)(first, first + WINDOW)
-            order, group, least = _distinct(hashed, doc[string])
-            again = order[doc[string][order] > least[group]]
-            place = pos[string] + turn
-            yield _spans(row[string[again]], place[again], place[again] + WINDOW)
-            left = order[doc[string][order] == least[group]]
-            bins = (hashed[left] % np.uint64(n_bins)).astype(np.int64)
-            by = np.argsort(bins, kind="stable")
-            left = left[by]
-            yield from _blobs(BLOB, bins[by], left, data, first, length, np.zeros(len(first), np.int64),
-                              doc[string], row[string], place)
+            order, group, least = _distinct(hashed, doc[string], data, first, length)
+            again = doc[string][order] > least[group]
+            seen, left, group = order[again], order[~again], group[~again]
+            yield _placed(string[seen], turn[seen], length[seen], place, count, row, pos)
+            window, at, _ = _leads(left, group)
+            # a window stands wherever the strings that hold it stand
+            times = count[string[left]]
+            places = ragged(place[string[left]], times)
+            total = np.concatenate([[0], np.cumsum(times)])
+            begins = total[at]
+            bins = (hashed[window] % np.uint64(n_bins)).astype(np.int64)
+            yield from _blobs(bins, data, first[window], length[window], np.zeros(len(window), np.int64),
+                              doc[string[window]], begins, np.diff(np.append(begins, total[-1])),
+                              row[places], pos[places] + np.repeat(turn[left], times))
 
 
 def repeated_spans(rows: DataFrame, bin_bytes: int = BIN_BYTES) -> DataFrame:
@@ -444,7 +516,8 @@ def repeated_spans(rows: DataFrame, bin_bytes: int = BIN_BYTES) -> DataFrame:
     ``text``) to remove; ranges of a row may overlap."""
     spark = rows.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n_bins = partitions * BINS_PER_PARTITION
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n_bins = max(partitions, math.ceil(size * STRING_BYTES / BIN_TARGET))
 
     def solve(dealt: DataFrame, name: str) -> DataFrame:
         # spans are spread by row, blobs meet by bin

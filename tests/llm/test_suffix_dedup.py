@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import SCHEMA, odd_rows
 from hypothesis import given, settings
@@ -88,8 +90,9 @@ def test_documents_longer_than_a_chunk(spark, tmp_dir, monkeypatch):
     for b in rows:
         for r in b.to_pylist():
             if r["payload"]:
-                data, size, _, _, row, pos = sd.unpack(r["payload"])
-                for s, n, x, p in zip(np.cumsum(size) - size, size, row, pos, strict=True):
+                data, size, _, _, count, row, pos = sd.unpack(r["payload"])
+                start = np.repeat(np.cumsum(size) - size, count)
+                for s, n, x, p in zip(start, np.repeat(size, count), row, pos, strict=True):
                     raw = long[x][1].encode()
                     assert data[s:s + n].tobytes() == raw[p:p + n]
                     windows.update((int(x), int(p) + i) for i in range(n - 49))
@@ -100,6 +103,66 @@ def test_documents_longer_than_a_chunk(spark, tmp_dir, monkeypatch):
             assert windows[x, i] >= 1
 
 
+def test_large_groups_are_parted_in_three(monkeypatch):
+    rng = np.random.default_rng(2)
+    group, doc = rng.integers(0, 3, 3000), rng.integers(0, 50, 3000)
+    word = rng.choice(rng.integers(0, 1 << 60, 40), 3000).astype(np.uint64)
+    want = sd._split(group, word, doc)
+    monkeypatch.setattr(sd, "DIRECT", 8)
+    parted = sd._parted(group, word)
+    order = np.lexsort((word, group))
+    assert (np.diff(parted[order]) >= 0).all() and len(np.unique(parted)) > 60
+    got = sd._split(group, word, doc)
+    assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+
+
+def test_equal_hashes_decide_nothing(spark, tmp_dir, monkeypatch):
+    class Collides(sd.SliceHash):
+        def __call__(self, start, end):
+            return np.zeros(len(start), np.uint64)
+
+    monkeypatch.setattr(sd, "SliceHash", Collides)
+    docs = [d for d in corpus(7) if d[0] is None or d[0] < 30_000]
+    data = np.frombuffer("".join(t or "" for _, t in docs).encode(), np.uint8)
+    start = np.arange(0, len(data) - 60, 7)
+    size = np.full(len(start), 50)
+    order, group, least = sd._distinct(np.zeros(len(start), np.uint64), start % 5, data, start, size)
+    texts = [data[start[i]:start[i] + 50].tobytes() for i in order.tolist()]
+    assert all((x == y) == (g == h) for x, y, g, h in zip(texts, texts[1:], group, group[1:], strict=False))
+    rows = [(1, "a" * 30 + "bc" * 40), (2, "bc" * 40), (3, "unlike " * 20), (4, "unlike " * 20 + "x")]
+    assert run(spark, rows, tmp_dir) == brute(rows)
+
+
+def peak_mb(action):
+    tracemalloc.start()
+    action()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak / 1e6
+
+
+def test_memory_of_a_run_of_one_byte(monkeypatch):
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "row": [0, 1], "text": ["a" * 5_000_000, "a" * 400]})
+    dealt, spans = [], []
+    assert peak_mb(lambda: dealt.extend(sd.deal_strings(iter([batch]), 7))) < 1200
+    blobs = [r["payload"] for b in dealt for r in b.to_pylist() if r["payload"]]
+    assert sum(map(len, blobs)) < 20_000_000
+    assert peak_mb(lambda: spans.extend(sd._sorted_bin(blobs))) < 1200
+    gone = [(r["row"], r["first"], r["last"]) for b in [*dealt, *spans] for r in b.to_pylist() if not r["payload"]]
+    assert gone == [(1, 0, 400)]
+
+
+def test_memory_of_a_bin_at_its_limit():
+    rng = np.random.default_rng(1)
+    words = rng.integers(97, 123, 4_000_000).astype(np.uint8)
+    n = sd.BIN_BYTES // (90 + sd.PLACE_BYTES)
+    start = rng.integers(0, len(words) - 90, n)
+    data = words[sd.ragged(start, np.full(n, 90))]
+    blob = sd.pack(data, np.full(n, 90), np.full(n, 41), rng.integers(0, 1000, n), np.ones(n, np.int64),
+                   np.arange(n), start)
+    assert peak_mb(lambda: list(sd._sorted_bin([blob]))) < 1200
+
+
 def test_odd_documents(spark, tmp_dir):
     rows = odd_rows()
     assert run(spark, rows, tmp_dir, SCHEMA) == brute([(r[0], r[1]) for r in rows])
@@ -122,7 +185,9 @@ def test_blind_trie_orders_and_groups(texts):
 def test_blobs_round_trip():
     rng = np.random.default_rng(0)
     size = rng.integers(50, 93, 40)
+    count = rng.integers(1, 4, 40)
+    n = int(count.sum())
     columns = (rng.integers(0, 256, size.sum()).astype(np.uint8), size, rng.integers(0, 43, 40),
-               rng.integers(-2**62, 2**62, 40), np.arange(40) + (7 << 33), rng.integers(0, 9, 40))
+               rng.integers(-2**62, 2**62, 40), count, np.arange(n) + (7 << 33), rng.integers(0, 9, n))
     for a, b in zip(sd.unpack(sd.pack(*columns)), columns, strict=True):
         assert a.tolist() == b.tolist()
