@@ -15,8 +15,9 @@ candidate. A shared share of 0.19, the least that a match can have, escapes
 all ``SLOTS`` slots with probability 2e-6. Candidates are verified by exact
 shingle containment over the whole document.
 
-The items' signatures are broadcast in blocks of bounded size, each against
-one pass over the documents; documents are never shuffled.
+The items are broadcast in blocks of ``BLOCK_BYTES``, each against one pass
+over the documents; documents are never shuffled. A worker's index of a block
+takes about twenty times its bytes at most (64 minima of 12 bytes an item).
 
 Cases: items without words match nothing; NULL or empty documents hold
 nothing; repeated items and repeated documents each give their pairs; an item
@@ -29,6 +30,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,9 @@ SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 SLOTS = 64
 #: Text bytes of the items broadcast at once.
-BLOCK_BYTES = 1_000_000
+BLOCK_BYTES = 16_000_000
+#: Items whose shingles a worker keeps after verifying them.
+VERIFIED_ITEMS = 2000
 CHUNK_CHARS = 2_000_000
 
 #: Every byte that can't be part of a word becomes a space.
@@ -109,33 +113,37 @@ def slot_factors(slots: int = SLOTS) -> np.ndarray:
 
 
 class ItemIndex:
-    """The items of one broadcast block: signatures by size class."""
+    """The items of one broadcast block: signatures by size class, as sorted
+    arrays. An item's shingles are made when a candidate is verified."""
 
     def __init__(self, items: list[str]) -> None:
         self.items = items
-        self.shingles = [shingles_of(words_of(t)) for t in items]
         self.factors = slot_factors()
-        hashes, owner = shingle_hashes(items)
-        holders, first = np.unique(owner, return_index=True)  # items with shingles
-        size = np.array([math.ceil(math.log2(len(self.shingles[i]))) for i in holders], np.int64)
-        #: class -> per slot: which middle bits of a minimum occur, and the
-        #: items by minimum
-        self.classes: dict[int, list] = {c: [] for c in np.unique(size).tolist()}
-        self.bits = max(12, math.ceil(math.log2(16 * max(1, len(holders)))))
-        for f in self.factors if len(holders) else ():
-            low = np.minimum.reduceat(hashes * f, first)
-            for c, tables in self.classes.items():
-                mine = np.flatnonzero(size == c)
-                rough = np.zeros(1 << self.bits, bool)
-                rough[self._rough(low[mine])] = True
-                slot = defaultdict(list)
-                for value, i in zip(low[mine].tolist(), holders[mine].tolist(), strict=True):
-                    slot[value].append(i)
-                tables.append((rough, slot))
-
-    def _rough(self, values: np.ndarray) -> np.ndarray:
-        """Middle bits of the minima; their top bits are nearly all zero."""
-        return values >> np.uint64(24) & np.uint64((1 << self.bits) - 1)
+        self.sizes = np.zeros(len(items), np.int64)  # distinct shingles
+        low = np.zeros((len(items), SLOTS), np.uint64)
+        for a, b in chunks(items, CHUNK_CHARS):
+            self.sizes[a:b] = [len(shingles_of(words_of(t))) for t in items[a:b]]
+            hashes, owner = shingle_hashes(items[a:b])
+            holders, first = np.unique(owner, return_index=True)
+            for slot, f in enumerate(self.factors if len(holders) else ()):
+                low[a + holders, slot] = np.minimum.reduceat(hashes * f, first)
+        held = np.flatnonzero(self.sizes)
+        size = np.ceil(np.log2(self.sizes[held])).astype(np.int64)
+        #: class -> per slot: which middle bits of a minimum occur, the minima
+        #: in order, and their items
+        self.classes: dict[int, list] = {}
+        for c in np.unique(size).tolist():
+            mine = held[size == c]
+            bits = max(12, math.ceil(math.log2(16 * len(mine))))
+            self.classes[c] = [self._table(low[mine, slot], mine, bits) for slot in range(SLOTS)]
+        self.shingles = lru_cache(VERIFIED_ITEMS)(lambda item: shingles_of(words_of(items[item])))
+
+    @staticmethod
+    def _table(minima: np.ndarray, items: np.ndarray, bits: int):
+        rough = np.zeros(1 << bits, bool)
+        rough[_rough(minima, bits)] = True
+        order = np.argsort(minima, kind="stable")
+        return bits, rough, minima[order], items[order].astype(np.int32)
 
     def candidates(self, hashes: np.ndarray, owner: np.ndarray) -> set[tuple[int, int]]:
         """``(text number, item number)`` of all candidates."""
@@ -151,11 +159,12 @@ class ItemIndex:
                     values = np.minimum(values[::2], values[1::2])
                     size *= 2
                 window = np.minimum(values, np.append(values[1:], values[-1]))
-                rough, exact = tables[slot]
-                for j in np.flatnonzero(rough[self._rough(window)]).tolist():
-                    for item in exact.get(int(window[j]), ()):
-                        a, b = j * size, min(len(owner), (j + 2) * size)
-                        found.update((d, item) for d in np.unique(owner[a:b]).tolist())
+                bits, rough, minima, items = tables[slot]
+                at = np.flatnonzero(rough[_rough(window, bits)])
+                lo, hi = (np.searchsorted(minima, window[at], side=s) for s in ("left", "right"))
+                for j, x, y in zip(at[lo < hi].tolist(), lo[lo < hi].tolist(), hi[lo < hi].tolist(), strict=True):
+                    texts = np.unique(owner[j * size:min(len(owner), (j + 2) * size)]).tolist()
+                    found.update((d, item) for item in items[x:y].tolist() for d in texts)
         return found
 
     def matches(self, texts: list[str], threshold: float = THRESHOLD) -> Iterator[tuple]:
@@ -167,11 +176,16 @@ class ItemIndex:
             for d, items in sorted(by_text.items()):
                 held = shingles_of(words_of(texts[a + d]))
                 for item in sorted(items):
-                    shared = len(self.shingles[item] & held)
-                    if shared >= threshold * len(self.shingles[item]):
+                    shared = len(self.shingles(item) & held)
+                    if shared >= threshold * self.sizes[item]:
                         yield a + d, item, shared
 
 
+def _rough(values: np.ndarray, bits: int) -> np.ndarray:
+    """Middle bits of the minima; their top bits are nearly all zero."""
+    return values >> np.uint64(24) & np.uint64((1 << bits) - 1)
+
+
 def item_blocks(items: DataFrame, text_col: str) -> Iterator[list[str]]:
     """The distinct item texts in blocks of about ``BLOCK_BYTES``."""
     texts = (items.select(F.col(text_col).cast("string").alias("item"))
@@ -195,7 +209,7 @@ def contaminated(docs: DataFrame, items: DataFrame, item_id: str = "item_id",
             held = ItemIndex(index.value)
             for batch in batches:
                 ids = batch.column("doc_id").to_pylist()
-                hits = [(ids[d], held.items[i], len(held.shingles[i]), n)
+                hits = [(ids[d], held.items[i], int(held.sizes[i]), n)
                         for d, i, n in held.matches(batch.column("text").to_pylist())]
                 columns = zip(*hits, strict=True) if hits else [[]] * 4
                 yield pa.RecordBatch.from_arrays(

@@ -79,3 +79,17 @@ def test_odd_documents(spark):
     assert dc.contaminated(d, empty).count() == 0
     assert dc.contaminated(odd_docs(spark, []), i).count() == 0
     assert dc.clean_documents(d, empty).count() == d.count()
+
+
+def test_index_of_a_whole_block_is_small():
+    import tracemalloc
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choices("abcdefghijkl", k=rng.randint(3, 9))) for _ in range(5000)]
+    items = [" ".join(rng.choices(vocabulary, k=rng.randint(20, 120))) for _ in range(8000)]
+    size = sum(map(len, items))
+    tracemalloc.start()
+    index = dc.ItemIndex(items)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 20 * size and peak * dc.BLOCK_BYTES / size < 600e6
+    assert sorted(i for _, i, _ in index.matches([" ".join(items[5:9])])) == [5, 6, 7, 8]
