@@ -17,11 +17,12 @@ from ..operators import quality as Q
 from ..operators import summaries as S
 from ..schemas import schema_of
 from ..session import scratch_path
-from ..sources.landing import land_all, landing_report
+from ..sources.landing import land_all, landing_report, row_counts
 from ..sources.raw import read_source, read_table, reject_report
 from ..sources.records import read_records
 from ..sources.text_layer import read_text_table, write_text_table
-from .sinks import export_csv, export_report, run_export, write_table
+from .sinks import (catalog_report, export_csv, export_report, register_all, run_export,
+                    write_table)
 from .warehouse import Warehouse
 
 # Parameters of the registered queries.
@@ -133,11 +134,24 @@ def _export_status(spark: SparkSession, d: str) -> DataFrame:
     return export_report(spark, report).drop("error")
 
 
+def _catalog(spark: SparkSession, d: str) -> DataFrame:
+    """Two marts registered in a database: their rows and their columns as
+    the catalog describes them."""
+    root, wh, db = scratch_path(spark, "catalog"), _wh(spark, d), "martforge_catalog_query"
+    names = ("category_topn", "payment_dist")
+    for name in names:
+        write_table(getattr(wh, name), root, name)
+    register_all(spark, root, db, names)
+    report = catalog_report(spark, db, names)
+    counted = row_counts({name: read_table(spark, None, f"{db}.{name}") for name in names})
+    return report.join(counted, "tbl").withColumnRenamed("cnt", "table_rows")
+
+
 #: Queries that write files while they are built.
 WRITING: dict[str, QueryFn] = {
     "reviews_roundtrip": _reviews, "csv_rejects": _rejects, "text_layer_trade_detail": _text_layer,
     "single_file_order_status_day": _single_file, "published_payment_type_month": _published,
-    "landing_status": _landing_status, "export_status": _export_status,
+    "landing_status": _landing_status, "export_status": _export_status, "catalog_columns": _catalog,
 }
 
 

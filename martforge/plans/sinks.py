@@ -148,9 +148,30 @@ def describe(spark: SparkSession, db: str, name: str) -> DataFrame:
     return spark.sql(f"DESCRIBE TABLE `{db}`.`{name}`")
 
 
+def catalog_report(spark: SparkSession, db: str, names: Sequence[str] | None = None) -> DataFrame:
+    """``tbl, position, column, type, comment, status`` of the tables of a
+    database as the session's catalog has them, set beside their contracts:
+    ``ok``, ``type`` or ``comment`` (that differs), ``extra`` (not in the
+    contract), ``missing``, or ``free`` for a table without a contract."""
+    names = sorted(names or [t.name for t in spark.catalog.listTables(db)])
+    rows = []
+    for name in names:
+        contract = RAW_SCHEMAS.get(name) or DERIVED_SCHEMAS.get(name)
+        wanted = {f.name: (f.dataType.simpleString(), f.metadata.get("comment")) for f in contract or ()}
+        there = spark.catalog.tableExists(f"{db}.{name}")
+        seen = spark.catalog.listColumns(f"{db}.{name}") if there else []
+        for i, c in enumerate(seen):
+            kind, comment = wanted.pop(c.name, (None, None))
+            status = ("free" if contract is None else "extra" if kind is None else "type" if kind != c.dataType
+                      else "comment" if comment != c.description else "ok")
+            rows.append((name, i + 1, c.name, c.dataType, c.description, status))
+        rows += [(name, None, column, kind, comment, "missing") for column, (kind, comment) in wanted.items()]
+    return spark.createDataFrame(
+        rows, "tbl string, position int, `column` string, type string, comment string, status string")
+
+
 def preview(df: DataFrame, n: int = 10, name: str | None = None) -> DataFrame:
     """``SELECT * ... LIMIT n`` (in presentation order when ``name`` is a mart)."""
     if name:
         df = presentation_order(df, name)
     return df.limit(n)
-

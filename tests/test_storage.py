@@ -11,7 +11,8 @@ from martforge.operators import quality as Q
 from martforge.operators import summaries as S
 from martforge.operators.detail import trade_detail_from
 from martforge.plans.pipeline import run_pipeline
-from martforge.plans.sinks import export_csv, export_report, run_export, write_table
+from martforge.plans.sinks import (catalog_report, export_csv, export_report, register_all, run_export,
+                                   write_table)
 from martforge.schemas import RAW_SCHEMAS, schema_of
 from martforge.sources.bucketed import read_bucketed, write_bucketed
 from martforge.sources.landing import land_all, land_table, landing_report
@@ -101,6 +102,22 @@ def test_concurrent_exports_are_reported_in_order(spark, tmp_dir):
     assert "PATH_NOT_FOUND" in rows[1][3]
 
 
+def test_catalog_is_set_beside_the_contract(spark, tmp_dir):
+    good = spark.sql("SELECT '1995-01' month_dt, 'a' payment_type, 1.00BD gmv, 2L order_cnt")
+    write_table(good, tmp_dir, "payment_type_month")
+    publish(spark, tmp_dir, "payment_dist", lambda p: good.select(
+        "payment_type", F.col("gmv").cast("double").alias("gmv"), "order_cnt", F.lit(1).alias("more")).write.parquet(p))
+    publish(spark, tmp_dir, "own", lambda p: good.select("gmv").write.parquet(p))
+    names = ["payment_type_month", "payment_dist", "own", "gmv_month"]
+    assert {r.tableName for r in register_all(spark, tmp_dir, "mf_report", names).collect()} == set(names[:3])
+    got = {(r.tbl, r["column"]): (r.status, r.type) for r in catalog_report(spark, "mf_report", names).collect()}
+    assert {s for (t, _), (s, _) in got.items() if t == "payment_type_month"} == {"ok"}
+    assert got["payment_dist", "gmv"] == ("type", "double") and got["payment_dist", "payment_type"][0] == "comment"
+    assert got["payment_dist", "more"][0] == "extra" and got["payment_dist", "gmv_pct"] == ("missing", "decimal(5,2)")
+    assert got["own", "gmv"][0] == "free"
+    assert {s for (t, _), (s, _) in got.items() if t == "gmv_month"} == {"missing"}
+
+
 # --- text layer -----------------------------------------------------------------
 
 def test_text_layer_keeps_null_and_empty_apart(spark, tmp_dir):

@@ -358,6 +358,18 @@ BODIES: dict[str, str] = {
 }
 
 
+# Columns of two marts as their contract has them.
+CONTRACT = {
+    "category_topn": [("rank_num", "int", "rank"), ("product_category_name_english", "string", "category label"),
+                      ("sales_amt", "decimal(14,2)", "sales"),
+                      ("order_cnt", "bigint", "orders (sum of product-day counts)"), ("item_qty", "bigint", "items")],
+    "payment_dist": [("payment_type", "string", "payment type label"), ("gmv", "decimal(14,2)", "GMV"),
+                     ("order_cnt", "bigint", "orders"), ("gmv_pct", "decimal(5,2)", "share of total GMV in percent")],
+}
+BODIES["catalog_columns"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS tbl, CAST({i + 1} AS INTEGER) AS position, '{c}' AS \"column\", '{kind}' AS type, "
+    f"'{comment}' AS comment, 'ok' AS status, ({count_of(t)}) AS table_rows"
+    for t, columns in CONTRACT.items() for i, (c, kind, comment) in enumerate(columns))
 BODIES["text_layer_trade_detail"] = BODIES["trade_detail"]
 
 
