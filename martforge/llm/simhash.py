@@ -36,11 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.skew import frequent_keys, salted_join
 from .common import id_text, store, unused
 from .components import components, spread_join
 
 SEED = 42
 SHINGLE_WORDS = 4
+#: Rows of a fingerprint from which on they are dealt over several tasks.
+HOT_ROWS = 1000
 MAX_BITS = 4
 #: Generator polynomial of the binary Golay code (fixed value).
 GOLAY = 0b110001110101
@@ -236,7 +239,8 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS,
     rows = with_fingerprints(id_text(docs), words=words).select(
         "doc_id", F.col("__fingerprint").alias("fp"))
     prints = store(rows, "document-fingerprints")
-    return (prints.join(classes(prints, max_bits), "fp")
+    hot = frequent_keys(prints, ["fp"], min_rows=HOT_ROWS)["fp"]  # texts in very many copies
+    return (salted_join(prints, classes(prints, max_bits), "fp", "inner", hot)
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     "component_id"))
 
