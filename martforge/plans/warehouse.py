@@ -20,6 +20,7 @@ from ..operators import marts as M
 from ..operators import quality as Q
 from ..operators import summaries as S
 from ..operators.detail import payment_rollup, trade_detail_from
+from ..schemas import MART_TABLES
 from ..sources.landing import row_counts
 from ..sources.star import star_raw
 
@@ -129,10 +130,7 @@ class Warehouse:
         return self._mat(M.city_sales(self.city_day), "city_sales")
 
     def marts(self) -> dict[str, DataFrame]:
-        return {n: getattr(self, n) for n in
-                ("gmv_trend", "product_topn", "region_sales_rank", "order_status_day",
-                 "gmv_month", "region_sales_month", "payment_type_month", "payment_dist",
-                 "category_topn", "city_sales")}
+        return {n: getattr(self, n) for n in MART_TABLES}
 
     # quality ---------------------------------------------------------------
     def quality_report(self) -> DataFrame:
