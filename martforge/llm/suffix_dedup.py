@@ -50,7 +50,7 @@ WINDOW = 50
 GRAM = 8
 SHALLOW = 24
 #: Bytes of strings aimed at in a bin, and sorted at once at most.
-BIN_TARGET = 8_000_000
+BIN_TARGET = 2_000_000
 BIN_BYTES = 32_000_000
 #: Bytes of strings per byte of text, about; what a place of a string counts for.
 STRING_BYTES, PLACE_BYTES = 4, 16
@@ -63,7 +63,7 @@ CHUNK_BYTES = 16_000_000
 SLICE_BYTES = 500_000
 POSITION_BITS = 25
 #: Bytes compared at once.
-COMPARED = 4_000_000
+COMPARED = 1_000_000
 #: Rows (texts, blobs) that a task holds at a time.
 BATCH_ROWS = 500
 ROWS = "kind int, bin long, row long, first long, last long, payload binary"
