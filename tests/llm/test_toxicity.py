@@ -143,3 +143,20 @@ def test_odd_documents(spark, fitted):
     empty = tox.fit(odd_docs(spark, []), none)
     assert [r.score for r in tox.score(docs.limit(3), empty).collect()] == [0.0] * 3
     assert tox.accepted(docs, empty).count() == docs.count()
+
+
+def test_scores_equal_a_plain_reading(spark, fitted):
+    d, _, model = fitted
+    texts = {r.doc_id: r.text for r in d.collect()}
+    got = {r.doc_id: r.score for r in tox.score(d, model).collect()}
+    assert got.keys() == texts.keys()
+    odd = {(r[0], r[1]) for r in odd_rows() if r[0] is not None}
+    got_odd = {r.doc_id: r.score for r in tox.score(odd_docs(spark), model).collect()}
+    pairs = [(t, got[i]) for i, t in texts.items()] + [(t, got_odd[i]) for i, t in odd]
+    hits = 0
+    for text, value in pairs:
+        features = next(tox._features([text or ""], Restorer(model.trigrams)))  # nothing kept from other texts
+        total = model.bias + sum(w for f, w in sorted(model.weights.items()) if f in features)
+        assert value == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-9)
+        hits += any(f in model.weights for f in features)
+    assert hits > 20
