@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+#: Bytes of text that a worker handles at once.
+SLICE_BYTES = 2_000_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -37,6 +43,20 @@ def batch_rows(spark: SparkSession, n: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def slices(batches: Iterator[pa.RecordBatch], text_col: str = "text",
+           size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """All rows of ``batches`` in order, in slices whose texts hold about
+    ``size`` bytes (at least one row each): what a worker makes of a slice is
+    freed before the next, so its memory does not grow with the batches."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(text_col)), 0)
+        number = np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64) // size
+        cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a < b:
+                yield batch.slice(a, b - a)
+
+
 def unused(columns: list[str], *wanted: str) -> list[str]:
     """The names ``wanted``, each with as many underscores before it as it
     takes to differ from all of ``columns`` (in any case)."""

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, id_text
+from .common import chunks, id_text, slices
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -207,7 +207,7 @@ def contaminated(docs: DataFrame, items: DataFrame, item_id: str = "item_id",
 
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             held = ItemIndex(index.value)
-            for batch in batches:
+            for batch in slices(batches):
                 ids = batch.column("doc_id").to_pylist()
                 hits = [(ids[d], held.items[i], int(held.sizes[i]), n)
                         for d, i, n in held.matches(batch.column("text").to_pylist())]
@@ -233,7 +233,7 @@ def clean_documents(docs: DataFrame, items: DataFrame, item_text: str = "text",
 
         def keep(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             held = ItemIndex(index.value)
-            for batch in batches:
+            for batch in slices(batches, text_col):
                 texts = [t or "" for t in batch.column(text_col).to_pylist()]
                 stays = np.ones(len(texts), bool)
                 stays[[d for d, _, _ in held.matches(texts)]] = False

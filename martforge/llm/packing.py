@@ -27,11 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_text, store
+from .common import batch_rows, id_text, slices, store
 from .units import encoder
 
-#: Bound of a worker's unit cache; the pieces of a batch need memory beside it.
-CACHE_UNITS = 600_000
+#: Bound of a worker's unit cache; the pieces of a slice need memory beside it.
+CACHE_UNITS = 300_000
+#: Rows handed to a worker at once, and bytes of their texts cut at once.
+BATCH_ROWS = 1500
+SLICE_BYTES = 5_000_000
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, "
           "task int, place long, ids binary")
 PLAN = "length long, first long, last long, used long, bin long, at long"
@@ -50,7 +53,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, spaces: str, end_id: int,
         enc = encoder(tokenizer_path, spaces, limit=CACHE_UNITS)
         seen: dict[int, int] = {}
         end = np.array([end_id], "<u4")
-        for batch in batches:
+        for batch in slices(batches, size=SLICE_BYTES):
             rows: list[tuple] = []
             numbers = batch.column("doc_id").to_pylist()
             for doc, ids in zip(numbers, enc.ids(batch.column("text")), strict=True):
@@ -161,5 +164,6 @@ def sequences(placed: DataFrame, ids: DataFrame) -> DataFrame:
 def pack(docs: DataFrame, tokenizer_path: str, spaces: str, end_id: int,
          capacity: int) -> tuple[DataFrame, DataFrame]:
     """``(placed pieces, pieces with their ids)``."""
-    pieces = store(cut_pieces(docs, tokenizer_path, spaces, end_id, capacity), "pieces")
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        pieces = store(cut_pieces(docs, tokenizer_path, spaces, end_id, capacity), "pieces")
     return place_pieces(pieces.drop("ids"), capacity), pieces

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.skew import frequent_keys, salted_join
-from .common import id_text, store, unused
+from .common import id_text, slices, store, unused
 from .components import components, spread_join
 
 SEED = 42
@@ -85,7 +85,7 @@ def with_fingerprints(docs: DataFrame, text_col: str = "text", words: int = SHIN
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text_col):
             found = [fingerprint(t or "", words) for t in batch.column(text_col).to_pylist()]
             signed = pa.array(np.array(found, np.uint64).view(np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, signed],

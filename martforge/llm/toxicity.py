@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, id_text, store
+from .common import chunks, id_text, slices, store
 from .deobfuscate import SPACED_HINT, SYMBOLS, Restorer, trigram_counts
 
 THRESHOLD = 0.3
@@ -68,7 +68,7 @@ def count_trigrams(texts: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SYMBOLS ** 3, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             total += trigram_counts(batch.column("text").to_pylist())
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"trigram": pa.array(used, pa.int64()),

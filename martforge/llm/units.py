@@ -90,8 +90,9 @@ def _before(texts: pa.Array, mark: str, cut: str = "\x00") -> pa.Array:
 class UnitEncoder:
     """Encodes texts through a bounded per-worker cache ``unit -> ids``.
 
-    ``known`` is an optional first tier that stays resident. At ``limit``
-    units beyond it the cache starts afresh; that costs time, never results.
+    ``known`` is an optional first tier that stays resident. Beyond it at most
+    ``limit`` units are held: once half as many are new, those seen before them
+    and not since are dropped; that costs time, never results.
     With ``counts`` only the number of ids is kept."""
 
     def __init__(self, path: str, spaces: str, counts: bool = False,
@@ -102,6 +103,7 @@ class UnitEncoder:
         self.letters = byte_letters()
         self.known: dict = {}
         self.cache: dict = {}
+        self.older: dict = {}
 
     def encode_unit(self, unit: str):
         m = PLAIN[self.spaces].fullmatch(unit)
@@ -116,13 +118,16 @@ class UnitEncoder:
         return len(ids) if self.counts else array("I", ids).tobytes()
 
     def results(self, units: list[str]) -> list:
-        cache, known = self.cache, self.known
+        cache, older, known = self.cache, self.older, self.known
         out = list(map(cache.get, units))
         for i, (u, found) in enumerate(zip(units, out, strict=True)):
             if found is None:
-                out[i] = found = known[u] if u in known else self.encode_unit(u)
-                if len(cache) >= self.limit:
-                    cache.clear()
+                found = known.get(u)
+                if found is None:
+                    found = older.get(u)
+                out[i] = found = self.encode_unit(u) if found is None else found
+                if len(cache) >= max(1, self.limit // 2):
+                    self.older, self.cache = older, cache = cache, {}
                 cache[u] = found
         return out
 

@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from martforge.llm import packing, token_counts, token_files
+from martforge.llm.common import slices
 from martforge.llm.queries import tokenizer_path
 from martforge.llm.units import UnitEncoder
 
@@ -45,6 +46,44 @@ def test_known_tier_and_slices(kind):
     assert enc.count(pa.array(texts).slice(3)).tolist() == want[3:]
 
 
+def test_full_cache_keeps_units_still_in_use(monkeypatch):
+    enc = UnitEncoder(tokenizer_path(FILES["drop"]), "drop", limit=20)
+    asked, encode = Counter(), enc.encode_unit
+    monkeypatch.setattr(enc, "encode_unit", lambda u: (asked.update([u]), encode(u))[1])
+    for i in range(100):
+        assert [x.tolist() for x in enc.ids(pa.array([f"common rare{i}x"]))] == [
+            library_ids("drop", f"common rare{i}x")]
+        assert len(enc.cache) + len(enc.older) <= 20
+    assert asked["common"] == 1 and len(asked) == 101
+
+
+def test_slices_hold_bounded_texts():
+    texts = ["a" * 30, None, "b" * 500, "", *["c" * 10] * 40]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "n": range(len(texts))})
+    parts = list(slices([batch.slice(0, 0), batch, batch.slice(3)], size=100))
+    assert [x for p in parts for x in p.column("n").to_pylist()] == [*range(44), *range(3, 44)]
+    assert all(p.num_rows == 1 or len("".join(t or "" for t in p.column("text").to_pylist()[1:])) <= 100
+               for p in parts)
+    assert len(parts) > 8
+
+
+@pytest.mark.parametrize("rows", [0, 1, 37])
+def test_packing_cuts_a_batch_in_slices(spark, monkeypatch, rows):
+    docs = spark.createDataFrame([(i, f"word{i} " * 40) for i in range(rows)], "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: seen.append(f))
+    packing.cut_pieces(docs, tokenizer_path(FILES["drop"]), "drop", 0, 16)
+    monkeypatch.setattr("pyspark.TaskContext.get", staticmethod(lambda: type("T", (), {"partitionId": lambda s: 3})()))
+    monkeypatch.setattr(packing, "SLICE_BYTES", 1000)
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(rows), pa.int64()),
+                                        "text": pa.array([f"word{i} " * 40 for i in range(rows)], pa.string())})
+    parts = list(seen[0](iter([batch])))
+    assert len(parts) >= rows // 4 and {x for p in parts for x in p.column("doc_id").to_pylist()} == set(range(rows))
+    places = Counter((n, k) for p in parts for n, k in zip(
+        p.column("length").to_pylist(), p.column("place").to_pylist(), strict=True))
+    assert set(places.values()) <= {1}
+
+
 def test_token_counts(spark):
     got = token_counts.token_counts(odd_docs(spark), tokenizer_path(FILES["drop"]), "drop", 2048)
     want = Counter((r[0], len((r[1] or "").encode()), n := len(library_ids("drop", r[1])), n > 2048)
