@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from martforge.plans import registry
 from martforge.sources import text_layer as TL
 
 
@@ -28,3 +29,12 @@ def test_only_values_that_need_it_are_escaped(spark):
     assert "contains" in plan(TL.parse_lines(spark.createDataFrame([("a",)], "value string"),
                                              numbers.limit(0).select(F.lit("").alias("t")).schema)).lower()
     assert TL._pattern("\t") == "\t" and TL._pattern("|") == "\\|"
+
+
+def test_the_exported_marts_share_one_order_grain(spark, smoke_dir):
+    stored, lazy = registry._wh_stored(spark, smoke_dir), registry._wh(spark, smoke_dir)
+    for name in ("gmv_month", "payment_dist", "region_sales_month"):
+        assert "lineitem" not in plan(getattr(stored, name))
+        assert "lineitem" in plan(getattr(lazy, name))
+        assert Counter(map(tuple, getattr(stored, name).collect())) == Counter(
+            map(tuple, getattr(lazy, name).collect()))
