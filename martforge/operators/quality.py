@@ -59,8 +59,14 @@ def row_count_check(items: DataFrame, detail: DataFrame) -> DataFrame:
 
 
 def duplicate_groups(detail: DataFrame) -> DataFrame:
-    """``HAVING COUNT(*) > 1`` over the detail grain."""
-    return (detail.groupBy("order_id", "order_item_id").agg(F.count(F.lit(1)).alias("cnt"))
+    """``HAVING COUNT(*) > 1`` over the detail grain.
+
+    Nearly every row is a group of its own, so the groups are held in tasks of
+    their own, as many as the session has shuffle partitions, and not beside
+    the sorts of the join that made the detail."""
+    parts = int(detail.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (detail.repartition(parts, "order_id", "order_item_id")
+            .groupBy("order_id", "order_item_id").agg(F.count(F.lit(1)).alias("cnt"))
             .filter(F.col("cnt") > 1))
 
 

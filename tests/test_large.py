@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from martforge.operators import quality as Q
 from martforge.plans import registry
 from martforge.sources import text_layer as TL
 
@@ -13,6 +14,19 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_duplicate_groups_are_held_apart_from_the_joins(spark):
+    rows = [("o1", 1), ("o1", 1), ("o1", 2), (None, 1), (None, 1), ("o2", None), ("o2", None), ("o3", 1)]
+    items = spark.createDataFrame(rows, "order_id string, order_item_id int")
+    orders = items.select("order_id").distinct().union(spark.createDataFrame([(None,)], "order_id string"))
+    found = Q.duplicate_groups(items)
+    assert Counter(map(tuple, found.collect())) == Counter(
+        [(*k, n) for k, n in Counter(rows).items() if n > 1])
+    assert Q.duplicate_check(items).first()[0] == 3
+    # the join's stage ends in a shuffle before anything is grouped
+    joined = plan(Q.duplicate_groups(items.join(orders.hint("merge"), "order_id")))
+    assert "REPARTITION_BY_NUM" in joined[:joined.index("Join")]
+
+
 @pytest.mark.parametrize("sep", ["\t", "|", ".", "\x01", ",", "^"])
 def test_text_lines_survive_any_separator(spark, sep):
     texts = ["", "plain", "a|b", "t\tb\\t", "\\", "\\\\n\n", "\\N", None, "x.y,z\x01\r", "\\s"]
