@@ -58,22 +58,24 @@ def row_count_check(items: DataFrame, detail: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
-def duplicate_groups(detail: DataFrame) -> DataFrame:
+def duplicate_groups(detail: DataFrame, lazy: bool = False) -> DataFrame:
     """``HAVING COUNT(*) > 1`` over the detail grain.
 
-    Nearly every row is a group of its own, so the groups are held in tasks of
-    their own, as many as the session has shuffle partitions, and not beside
-    the sorts of the join that made the detail."""
-    parts = int(detail.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (detail.repartition(parts, "order_id", "order_item_id")
-            .groupBy("order_id", "order_item_id").agg(F.count(F.lit(1)).alias("cnt"))
+    Nearly every row is a group of its own. When the detail is a ``lazy`` plan
+    rather than a written table, the groups are held in tasks of their own, as
+    many as the session has shuffle partitions, and not beside the sorts of the
+    join that makes the detail."""
+    if lazy:
+        parts = int(detail.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        detail = detail.repartition(parts, "order_id", "order_item_id")
+    return (detail.groupBy("order_id", "order_item_id").agg(F.count(F.lit(1)).alias("cnt"))
             .filter(F.col("cnt") > 1))
 
 
-def duplicate_check(detail: DataFrame) -> DataFrame:
+def duplicate_check(detail: DataFrame, lazy: bool = False) -> DataFrame:
     """Q-2: number of ``(order_id, order_item_id)`` groups with more than one
     row; expectation 0."""
-    return duplicate_groups(detail).agg(F.count(F.lit(1)).alias("duplicate_count"))
+    return duplicate_groups(detail, lazy).agg(F.count(F.lit(1)).alias("duplicate_count"))
 
 
 def null_check(detail: DataFrame) -> DataFrame:
@@ -142,7 +144,8 @@ def profile_from_metrics(spark, metrics: dict) -> DataFrame:
 
 
 def quality_report(items: DataFrame, orders: DataFrame, detail: DataFrame,
-                   profile: DataFrame | None = None, hot: Sequence = ()) -> DataFrame:
+                   profile: DataFrame | None = None, hot: Sequence = (),
+                   lazy: bool = False) -> DataFrame:
     """Q-8: Q-1 ... Q-6 as rows ``(check, metric, value, expected, passed)``.
 
     One aggregation pass over the detail - or none, when ``profile`` carries
@@ -155,7 +158,7 @@ def quality_report(items: DataFrame, orders: DataFrame, detail: DataFrame,
     wide = profile.select(
         "*",
         source_items(items).select(F.count(F.lit(1))).scalar().alias("source_rows"),
-        duplicate_check(detail).scalar().alias("duplicate_count"),
+        duplicate_check(detail, lazy).scalar().alias("duplicate_count"),
         orphan_check(items, orders, hot).scalar().alias("items_without_order"),
     ).withColumns({
         "detail_rows": F.col("total_cnt"),

@@ -182,8 +182,8 @@ def build_queries() -> dict[str, QueryFn]:
     q.update({
         "dq_row_counts": lambda s, d: Q.row_count_check(
             _wh(s, d).raw["order_items"], _wh(s, d).detail),
-        "dq_duplicates": _on_detail(Q.duplicate_check),
-        "dq_duplicate_groups": _on_detail(Q.duplicate_groups),
+        "dq_duplicates": _on_detail(lambda det: Q.duplicate_check(det, lazy=True)),
+        "dq_duplicate_groups": _on_detail(lambda det: Q.duplicate_groups(det, lazy=True)),
         "dq_nulls": _on_detail(Q.null_check),
         "dq_negative_amounts": _on_detail(Q.negative_amount_check),
         "dq_orphan_items": _raw_items_orders(Q.orphan_check),

@@ -134,7 +134,8 @@ class Warehouse:
 
     # quality ---------------------------------------------------------------
     def quality_report(self) -> DataFrame:
-        return Q.quality_report(self.raw["order_items"], self.raw["orders"], self.detail)
+        return Q.quality_report(self.raw["order_items"], self.raw["orders"], self.detail,
+                                lazy=self._mat is _lazy)
 
     def raw_row_counts(self) -> DataFrame:
         return row_counts(self.raw)

@@ -14,17 +14,19 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_duplicate_groups_are_held_apart_from_the_joins(spark):
+def test_duplicate_groups_are_held_apart_from_the_joins(spark, smoke_dir):
     rows = [("o1", 1), ("o1", 1), ("o1", 2), (None, 1), (None, 1), ("o2", None), ("o2", None), ("o3", 1)]
     items = spark.createDataFrame(rows, "order_id string, order_item_id int")
     orders = items.select("order_id").distinct().union(spark.createDataFrame([(None,)], "order_id string"))
-    found = Q.duplicate_groups(items)
-    assert Counter(map(tuple, found.collect())) == Counter(
-        [(*k, n) for k, n in Counter(rows).items() if n > 1])
-    assert Q.duplicate_check(items).first()[0] == 3
+    for lazy in (False, True):
+        assert Counter(map(tuple, Q.duplicate_groups(items, lazy).collect())) == Counter(
+            [(*k, n) for k, n in Counter(rows).items() if n > 1])
+        assert Q.duplicate_check(items, lazy).first()[0] == 3
     # the join's stage ends in a shuffle before anything is grouped
-    joined = plan(Q.duplicate_groups(items.join(orders.hint("merge"), "order_id")))
+    joined = plan(Q.duplicate_groups(items.join(orders.hint("merge"), "order_id"), lazy=True))
     assert "REPARTITION_BY_NUM" in joined[:joined.index("Join")]
+    for name in ("dq_duplicate_groups", "dq_duplicates", "dq_report"):
+        assert "REPARTITION_BY_NUM" in plan(registry.build_queries()[name](spark, smoke_dir))
 
 
 @pytest.mark.parametrize("sep", ["\t", "|", ".", "\x01", ",", "^"])
