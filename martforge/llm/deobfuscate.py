@@ -45,6 +45,11 @@ ONE_LETTER_WORDS = "aàeoóuy"
 AMBIGUOUS = re.compile(rf"[{re.escape(''.join(LOOKALIKES))}]|(.)\1|.[{re.escape(SEPARATORS)}].", re.S)
 #: Marks at the ends of a word that stand for no letter.
 PLAIN_EDGE = "".join(c for c in EDGE if c not in LOOKALIKES)
+#: Steps of a lattice: a stretch of characters that stand for themselves only,
+#: or else one character and its repeats.
+STEP = re.compile(rf"((?:([^{re.escape(''.join(LOOKALIKES) + SEPARATORS)}])(?!\2))+)|(.)\3*", re.S)
+#: A character and its repeats.
+RUN = re.compile(r"(.)\1*", re.S)
 #: Words of a reading: letters (with combining marks) or digits.
 WORD = re.compile(r"(?:[^\W\d_]|[\u0300-\u036f])+|\d+")
 #: Stretches of a shown word between marks of any kind.
@@ -57,6 +62,27 @@ def symbol_of(char: str) -> int:
     return 27 if char.isalpha() else 0
 
 
+def _extend(flat: list[float], best: dict[int, tuple[float, tuple]],
+            readings: list[tuple[str, float, list[int]]]) -> dict[int, tuple[float, tuple]]:
+    """The cheapest way to each state after one more step."""
+    if len(best) == len(readings) == 1:  # a single path needs no costs
+        ((state, (so_far, path)), (out, _, symbols)), = zip(best.items(), readings, strict=True)
+        for z in symbols[-2:]:
+            state = state % SYMBOLS * SYMBOLS + z
+        return {state: (so_far, (path, out))}
+    step: dict[int, tuple[float, tuple]] = {}
+    for begin, (so_far, path) in best.items():
+        for out, channel, symbols in readings:
+            state, total = begin, so_far + channel
+            for z in symbols:
+                at = state * SYMBOLS + z
+                total += flat[at]
+                state = at % SYMBOLS ** 2
+            if state not in step or total < step[state][0]:
+                step[state] = (total, (path, out))
+    return step
+
+
 class Restorer:
     """Restores disguised words under trigram counts (``SYMBOLS ** 3``)."""
 
@@ -67,60 +93,72 @@ class Restorer:
         two = (c.sum(0) + 5 * one) / (c.sum((0, 2)) + 5)[:, None]
         three = (c + 5 * two) / (c.sum(2) + 5)[:, :, None]
         self.cost = (-np.log(three)).tolist()
+        self.flat = [c for rows in self.cost for row in rows for c in row]
         self.cache: dict[str, str] = {}
+        self.known: dict[tuple[str, int], list[tuple[str, float, list[int]]]] = {}
+
+    def readings(self, run: str, first: bool, last: bool,
+                 letter_first: bool = False) -> list[tuple[str, float]]:
+        """The readings of a character and its repeats, with their channel
+        costs; ``first`` and ``last`` tell if it starts or ends the text."""
+        char, n = run[0], len(run)
+        if char in SEPARATORS and not first and not last:
+            return [("", JOIN), ("  ", PART)]  # two word ends, as counted
+        letters = LOOKALIKES.get(char, "")
+        shown = KEEP_MARK if letters else 0.0
+        readings: list[tuple[str, float]] = []
+        for letter, cost in [(char, shown), *((x, SWAP) for x in letters)]:
+            readings.append((letter * n, cost + (KEEP_RUN if n > 2 else 0)))
+            if n > 1:
+                readings.append((letter, cost + SHORTEN))
+            if n > 2:
+                readings.append((letter * 2, cost + SHORTEN))
+        if letter_first and first and letters:
+            readings = [(out, cost) for out, cost in readings if out[0] != char]
+        elif letters and not char.isalnum() and (first or last):
+            readings.append(("", DROP))  # punctuation
+        return readings
 
     def options(self, text: str, letter_first: bool = False) -> list[list[tuple[str, float]]]:
         """The lattice: per step the readings and their channel costs;
         with ``letter_first`` a look-alike at the start is a letter."""
-        steps: list[list[tuple[str, float]]] = []
-        at = 0
-        while at < len(text):
-            char, end = text[at], at + 1
-            while end < len(text) and text[end] == char:
-                end += 1
-            n = end - at
-            if char in SEPARATORS and 0 < at and end < len(text):
-                steps.append([("", JOIN), ("  ", PART)])  # two word ends, as counted
-            else:
-                letters = LOOKALIKES.get(char, "")
-                shown = KEEP_MARK if letters else 0.0
-                readings: list[tuple[str, float]] = []
-                for letter, cost in [(char, shown), *((x, SWAP) for x in letters)]:
-                    readings.append((letter * n, cost + (KEEP_RUN if n > 2 else 0)))
-                    if n > 1:
-                        readings.append((letter, cost + SHORTEN))
-                    if n > 2:
-                        readings.append((letter * 2, cost + SHORTEN))
-                if letter_first and at == 0 and letters:
-                    readings = [(out, cost) for out, cost in readings if out[0] != char]
-                elif letters and not char.isalnum() and (at == 0 or end == len(text)):
-                    readings.append(("", DROP))  # punctuation
-                steps.append(readings)
-            at = end
-        return steps
+        return [self.readings(m[0], m.start() == 0, m.end() == len(text), letter_first)
+                for m in RUN.finditer(text)]
+
+    def _step(self, run: str, first: bool, last: bool,
+              letter_first: bool) -> list[tuple[str, float, list[int]]]:
+        """:meth:`readings` with their symbols; those of short ASCII runs are kept."""
+        key = (run, first + 2 * last + 4 * letter_first)
+        found = self.known.get(key)
+        if found is None:
+            found = [(out, cost, [symbol_of(c) for c in out])
+                     for out, cost in self.readings(run, first, last, letter_first)]
+            if len(run) < 4 and run.isascii():
+                self.known[key] = found
+        return found
 
     def decode(self, text: str, letter_first: bool = False) -> str:
         """The most likely reading of a lower-case piece of text."""
-        # (last two symbols) -> (cost, reading)
-        best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
-        for readings in [*self.options(text, letter_first), [(" ", 0.0)]]:
-            if len(best) == len(readings) == 1:  # a single path needs no costs
-                ((x, y), (so_far, path)), out = *best.items(), readings[0][0]
-                for char in out[-2:]:
-                    x, y = y, symbol_of(char)
-                best = {(x, y): (so_far, (path, out))}
+        flat, size = self.flat, len(text)
+        # last two symbols (x * SYMBOLS + y) -> (cost, reading)
+        best: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
+        for m in STEP.finditer(text):
+            stretch = m[1]
+            if stretch is None:
+                best = _extend(flat, best, self._step(m[0], m.start() == 0, m.end() == size,
+                                                      letter_first))
                 continue
-            step: dict[tuple[int, int], tuple[float, tuple]] = {}
-            for (a, b), (so_far, path) in best.items():
-                for out, channel in readings:
-                    x, y, total = a, b, so_far + channel
-                    for char in out:
-                        z = symbol_of(char)
-                        total += self.cost[x][y][z]
-                        x, y = y, z
-                    if (x, y) not in step or total < step[x, y][0]:
-                        step[x, y] = (total, (path, out))
-            best = step
+            at = 0
+            while at < len(stretch) and len(best) > 1:  # at most two: then the states agree
+                best = _extend(flat, best, [(stretch[at], 0.0, [symbol_of(stretch[at])])])
+                at += 1
+            if at < len(stretch):  # a single path needs no costs
+                (state, (so_far, path)), = best.items()
+                for char in stretch[at:][-2:]:
+                    state = state % SYMBOLS * SYMBOLS + symbol_of(char)
+                best = {state: (so_far, (path, stretch[at:]))}
+        if len(best) > 1:
+            best = _extend(flat, best, [("", 0.0, [0])])  # the word ends
         path, parts = min(best.values(), key=lambda v: v[0])[1], []
         while path:
             path, out = path
@@ -166,16 +204,17 @@ class Restorer:
 
 def trigram_counts(texts: list[str]) -> np.ndarray:
     """Counts of symbol trigrams; words are separated by two word ends."""
-    total = np.zeros(SYMBOLS ** 3, np.int64)
-    for text in texts:
-        codes = np.frombuffer(("  " + text.lower() + "  ").encode("utf-32-le"), "<u4")
-        symbol = np.zeros(len(codes), np.int64)
-        ascii_letter = (codes >= 97) & (codes <= 122)
-        symbol[ascii_letter] = codes[ascii_letter] - 96
-        symbol[codes >= 170] = 27  # other letters; marks beyond ASCII are rare
-        # leave a second word end where a word starts, as decode() does
-        ends = np.flatnonzero(symbol == 0)
-        symbol = np.insert(symbol, ends, 0)
-        total += np.bincount(symbol[:-2] * SYMBOLS ** 2 + symbol[1:-1] * SYMBOLS + symbol[2:],
-                             minlength=SYMBOLS ** 3)
+    if not texts:
+        return np.zeros(SYMBOLS ** 3, np.int64)
+    joined = "".join(["  " + text.lower() + "  " for text in texts])
+    codes = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+    symbol = np.zeros(len(codes), np.uint16)
+    ascii_letter = (codes >= 97) & (codes <= 122)
+    symbol[ascii_letter] = codes[ascii_letter] - 96
+    symbol[codes >= 170] = 27  # other letters; marks beyond ASCII are rare
+    # leave a second word end where a word starts, as decode() does
+    symbol = np.repeat(symbol, 1 + (symbol == 0))
+    total = np.bincount(symbol[:-2] * np.uint16(SYMBOLS ** 2) + symbol[1:-1] * np.uint16(SYMBOLS)
+                        + symbol[2:], minlength=SYMBOLS ** 3)
+    total[0] -= 2 * (len(texts) - 1)  # trigrams across two texts: word ends only
     return total

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, id_text, slices, store
-from .deobfuscate import SPACED_HINT, SYMBOLS, Restorer, trigram_counts
+from .deobfuscate import PLAIN_EDGE, SPACED_HINT, SYMBOLS, Restorer, trigram_counts
 
 THRESHOLD = 0.3
 HELD_OUT = 2
@@ -42,6 +42,8 @@ MIN_G = 30.0
 MIN_POSITIVES = 4
 RIDGE = 0.1
 SLICE_ROWS = 1000
+#: Two equal letters in a word of a-z (RE2 has no back-references).
+DOUBLED = "|".join(2 * chr(c) for c in range(97, 123))
 
 _WORKER: dict[str, tuple] = {}
 
@@ -84,7 +86,7 @@ def count_trigrams(texts: DataFrame) -> np.ndarray:
 
 def _features(texts: list[str], restorer: Restorer) -> Iterator[list[str]]:
     for text in texts:
-        words = {w for shown in text.split() for w in restorer.words(shown)}
+        words = {w for shown in set(text.lower().split()) for w in restorer.words(shown)}
         words.update(restorer.restore_spaced(text))
         yield sorted({f for w in words for f in word_features(w)})
 
@@ -157,37 +159,65 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int
 
 
 class Scorer:
-    """Scores texts under a model; keeps the weights of words seen before."""
+    """Scores texts under a model; keeps the weights of words seen before: at
+    most ``limit`` of those that need decoding, the longest unused go first."""
 
     def __init__(self, model: Model, limit: int = 150_000) -> None:
         self.model, self.limit = model, limit
         self.restorer = Restorer(model.trigrams)
         self.cache: dict[str, tuple[str, ...]] = {}
+        self.older: dict[str, tuple[str, ...]] = {}
+        # the weighted words, and their weighted first 4 and 5 letters
+        self.whole = pa.array([f for f in model.weights if " " not in f], pa.string())
+        self.starts = {n: pa.array([f[2:] for f in model.weights if f.startswith(f"{n} ")],
+                                   pa.string()) for n in (4, 5)}
 
     def word(self, word: str) -> tuple[str, ...]:
         """The weighted features of a white-space-delimited word."""
         found = self.cache.get(word)
         if found is None:
-            weights = self.model.weights
-            found = tuple(f for w in self.restorer.words(word) for f in word_features(w)
-                          if f in weights)
-            if len(self.cache) >= self.limit:
-                self.cache.clear()
+            found = self.older.get(word)
+            if found is None:
+                weights = self.model.weights
+                found = tuple(f for w in self.restorer.words(word) for f in word_features(w)
+                              if f in weights)
+            if len(self.cache) >= max(1, self.limit // 2):
+                self.older, self.cache = self.cache, {}
             self.cache[word] = found
         return found
 
+    def words(self, cores: pa.Array) -> tuple[np.ndarray, dict[int, tuple[str, ...]]]:
+        """Of distinct lower-case words without marks at their ends: which have
+        weighted features, and these by place."""
+        single = pc.and_(pc.match_substring_regex(cores, r"\A[a-z]+\z"),
+                         pc.invert(pc.match_substring_regex(cores, DOUBLED)))
+        hit = pc.is_in(cores, self.whole)  # one path in the lattice: the word itself
+        for n, starts in self.starts.items():
+            hit = pc.or_(hit, pc.is_in(pc.utf8_slice_codeunits(cores, 0, n), starts))
+        todo = pc.or_(hit, pc.invert(single)).to_numpy(zero_copy_only=False)
+        features = {}
+        for i, core in zip(np.flatnonzero(todo).tolist(),
+                           cores.filter(pa.array(todo)).to_pylist(), strict=True):
+            found = self.word(core)
+            if found:
+                features[i] = found
+        mask = np.zeros(len(cores), bool)
+        mask[list(features)] = True
+        return mask, features
+
     def scores(self, texts: pa.Array) -> np.ndarray:
         out = np.zeros(len(texts))
         spaced = pc.match_substring_regex(texts, SPACED_HINT).to_pylist()
         plain = texts.to_pylist()
         for a, b in chunks(plain):
-            lists = pa.array([t.split() for t in plain[a:b]], pa.list_(pa.string()))
-            coded = lists.flatten().dictionary_encode()
-            found = [self.word(w) for w in coded.dictionary.to_pylist()]
-            hit = np.fromiter(map(bool, found), bool, len(found))
-            number = coded.indices.to_numpy()
-            owner = np.repeat(np.arange(b - a), np.diff(lists.offsets.to_numpy()))
-            where = np.flatnonzero(hit[number]) if len(found) else []
+            lists = [t.lower().split() for t in plain[a:b]]
+            sizes = np.fromiter(map(len, lists), np.int64, b - a)
+            shown = pa.array([w for words in lists for w in words], pa.string()).dictionary_encode()
+            cores = pc.utf8_trim(shown.dictionary, characters=PLAIN_EDGE).dictionary_encode()
+            hit, found = self.words(cores.dictionary)
+            number = cores.indices.to_numpy()[shown.indices.to_numpy()]
+            owner = np.repeat(np.arange(b - a), sizes)
+            where = np.flatnonzero(hit[number])
             features: list[set] = [set() for _ in range(b - a)]
             for doc, n in zip(owner[where].tolist(), number[where].tolist(), strict=True):
                 features[doc].update(found[n])

@@ -160,3 +160,35 @@ def test_scores_equal_a_plain_reading(spark, fitted):
         assert value == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-9)
         hits += any(f in model.weights for f in features)
     assert hits > 20
+
+
+def test_words_are_decoded_once(fitted, monkeypatch):
+    """Words with one reading need no lattice; case and outer marks make no
+    other word; a full cache keeps the words in use."""
+    model, asked, decode = fitted[2], [], Restorer.words
+    texts = [f'The x{c}ston idiot, "Ering" 1d10t (1D10T). $tup1d{c} on' for c in "abcdefghijklmnop"]
+    want = [next(tox._features([t], Restorer(model.trigrams))) for t in texts]
+    monkeypatch.setattr(Restorer, "words", lambda self, w: asked.append(w) or decode(self, w))
+    scorer = tox.Scorer(model, limit=8)
+    got = np.concatenate([scorer.scores(pa.array([t])) for t in texts])
+    total = [model.bias + sum(model.weights.get(f, 0) for f in features) for features in want]
+    assert got == pytest.approx(1 / (1 + np.exp(-np.array(total))), abs=1e-9)
+    assert sorted(w for w in asked if w != "idiot") == sorted(
+        ["1d10t", "(1d10t", *(f"$tup1d{c}" for c in "abcdefghijklmnop")])
+    assert asked.count("idiot") <= 1  # the only plain word that has weights
+
+
+def test_decode_of_stretches_is_the_cheapest_reading(fitted):
+    r = Restorer(fitted[2].trigrams)
+
+    def cost(reading):
+        seq = [0, 0, *map(symbol_of, reading + " ")]
+        return sum(r.cost[x][y][z] for x, y, z in zip(seq, seq[1:], seq[2:], strict=False))
+
+    for word in ("ththeere", "an-$tingedly", "ooner", "tionss", "rereoo.anst", "éa3éé", "ing''ed0"):
+        readings = [("", 0.0)]
+        for step in r.options(word):
+            readings = [(a + b, p + q) for a, p in readings for b, q in step]
+        best = min(cost(a) + p for a, p in readings)
+        got = r.decode(word)
+        assert min(cost(a) + p for a, p in readings if a.strip() == got) == pytest.approx(best)
