@@ -22,9 +22,14 @@ only and compares a suffix with a single leaf. Suffixes at one leaf are equal;
 those of larger ids than the leaf's smallest are marked.
 
 *Memory.* The number of bins comes from the bytes of all texts, for about
-``BIN_TARGET`` bytes of strings in each. A bin above ``BIN_BYTES`` (an anchor within a very common passage) is
-passed on: its windows are dealt again one by one, by all their bytes, to as
-many bins as they need.
+``BIN_TARGET`` bytes of strings in each. Every chunk of text sends a blob to every
+bin, so bins are as large as a task can hold: small ones would make blobs whose
+number grows with the square of the input. A task parts the strings of its bin once
+more, by anchor, and sorts about ``PART_BYTES`` at once. A part above ``BIN_BYTES``
+(an anchor within a very common passage) is passed on: its windows are dealt again
+one by one, by all their bytes, to as many bins as they need. The spans found, one
+for each repeated string, travel packed by groups of rows; a task merges those of a
+group, so that Spark joins one row of spans to a document.
 
 Cases: NULL text is empty; a row with a NULL id keeps all its bytes and removes
 none; rows with equal ids never remove each other's bytes; texts shorter than a
@@ -37,6 +42,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,9 +55,12 @@ from .common import batch_rows, id_text, store
 WINDOW = 50
 GRAM = 8
 SHALLOW = 24
-#: Bytes of strings aimed at in a bin, and sorted at once at most.
-BIN_TARGET = 2_000_000
+#: Bytes of strings aimed at in a bin, sorted at once, and sorted at once at most.
+BIN_TARGET = 32_000_000
+PART_BYTES = 2_000_000
 BIN_BYTES = 32_000_000
+#: Parts that a bin is dealt into, by anchor, before neighbours are sorted together.
+PARTS = 64
 #: Bytes of strings per byte of text, about; what a place of a string counts for.
 STRING_BYTES, PLACE_BYTES = 4, 16
 #: Suffixes of a group that are sorted directly.
@@ -62,10 +71,14 @@ DIRECT = 4096
 CHUNK_BYTES = 16_000_000
 SLICE_BYTES = 500_000
 POSITION_BITS = 25
+#: Spans that a task packs at once; spans of a group that are merged at once.
+#: Bytes of text of a group.
+SPANS, MERGED = 500_000, 2_000_000
+GROUP_BYTES = 32_000_000
 #: Bytes compared at once.
 COMPARED = 1_000_000
 #: Rows (texts, blobs) that a task holds at a time.
-BATCH_ROWS = 500
+BATCH_ROWS = 100
 ROWS = "kind int, bin long, row long, first long, last long, payload binary"
 BLOB, SPAN, OVERFLOW = 0, 1, 2
 _BASE = 0x9E3779B97F4A7C15
@@ -73,12 +86,20 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _MULTIPLIER = np.uint64(0xBF58476D1CE4E5B9)
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
+@cache
+def _first_powers(base: int) -> np.ndarray:
+    out = np.full(1 << 14, base, np.uint64)
+    out[0] = 1
     return np.multiply.accumulate(out)
 
 
+def powers(base: int, n: int) -> np.ndarray:
+    first = _first_powers(base)
+    leaps = np.full(max(1, -(-n // len(first))), pow(base, len(first), 1 << 64), np.uint64)
+    leaps[0] = 1
+    return (np.multiply.accumulate(leaps)[:, None] * first).ravel()[:n]
+
+
 class SliceHash:
     """Hashes of any slices of a byte array, by polynomial prefix sums."""
 
@@ -141,17 +162,29 @@ def anchored_runs(data: np.ndarray, ends: np.ndarray, window: int = WINDOW):
     return piece, first, last - first, anchor[first], best[first] >> low
 
 
+def thin(x: np.ndarray) -> bytes:
+    low = int(x.min()) if len(x) else 0
+    wide = x.astype(np.int64).view(np.uint64) - np.uint64(low & (1 << 64) - 1)
+    return np.int64(low).tobytes() + np.ascontiguousarray(
+        wide.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def thick(raw: bytes, at: int, sizes: tuple[int, ...]) -> tuple[list[np.ndarray], int]:
+    """Columns of ``sizes`` that :func:`thin` has written from byte ``at`` on, and their end."""
+    columns = []
+    for m in sizes:
+        low = np.frombuffer(raw, np.uint8, 8, at).view(np.int64)[0]
+        wide = np.frombuffer(raw, np.uint8, 8 * m, at + 8).reshape(8, m).T
+        columns.append(np.ascontiguousarray(wide).view("<u8").ravel().view(np.int64) + low)
+        at += 8 + 8 * m
+    return columns, at
+
+
 def pack(strings: np.ndarray, size: np.ndarray, anchor: np.ndarray, doc: np.ndarray,
          count: np.ndarray, row: np.ndarray, pos: np.ndarray) -> bytes:
     """A blob of strings and of their places (``count`` of ``row, pos`` for
     each), compressed by columns: lengths and anchor places in a byte each,
     numbers as differences from the smallest, transposed by byte."""
-    def thin(x: np.ndarray) -> bytes:
-        low = int(x.min()) if len(x) else 0
-        wide = x.astype(np.int64).view(np.uint64) - np.uint64(low & (1 << 64) - 1)
-        return np.int64(low).tobytes() + np.ascontiguousarray(
-            wide.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
-
     head = np.array([len(size), len(row)], np.int64).tobytes()
     return zstandard.ZstdCompressor(level=3).compress(b"".join(
         (head, size.astype(np.uint8).tobytes(), anchor.astype(np.uint8).tobytes(),
@@ -165,13 +198,7 @@ def unpack(blob: bytes):
     at = 16
     size = np.frombuffer(raw, np.uint8, n, at).astype(np.int64)
     anchor = np.frombuffer(raw, np.uint8, n, at + n).astype(np.int64)
-    at += 2 * n
-    columns = []
-    for m in (n, n, places, places):
-        low = np.frombuffer(raw, np.uint8, 8, at).view(np.int64)[0]
-        wide = np.frombuffer(raw, np.uint8, 8 * m, at + 8).reshape(8, m).T
-        columns.append(np.ascontiguousarray(wide).view("<u8").ravel().view(np.int64) + low)
-        at += 8 + 8 * m
+    columns, at = thick(raw, at + 2 * n, (n, n, places, places))
     return np.frombuffer(raw, np.uint8, offset=at), size, anchor, *columns
 
 
@@ -190,7 +217,8 @@ class BlindTrie:
         if leaf == text:
             node[1].append(member)
             return
-        at = next(i for i, (x, y) in enumerate(zip(leaf, text, strict=True)) if x != y)
+        differ = int.from_bytes(leaf) ^ int.from_bytes(text)
+        at = len(text) - (differ.bit_length() + 7) // 8
         node = self.root  # the branch belongs above the first node beyond it
         while len(node) == 3 and node[1] < at:
             node = node[2][text[node[1]]]
@@ -252,10 +280,9 @@ def _split(group: np.ndarray, word: np.ndarray, doc: np.ndarray) -> tuple[np.nda
 
 
 def mark_windows(data: np.ndarray, start: np.ndarray, size: np.ndarray, anchor: np.ndarray,
-                 doc: np.ndarray, window: int = WINDOW) -> np.ndarray:
+                 doc: np.ndarray, hashed: SliceHash, window: int = WINDOW) -> np.ndarray:
     """``(string, window)`` pairs whose bytes also occur in a string of a
-    smaller document; the strings are distinct."""
-    hashed = SliceHash(data)
+    smaller document; the strings are distinct, ``hashed`` hashes ``data``."""
     at, right = start + anchor, size - anchor - GRAM
     half = (window - GRAM) // 2
 
@@ -284,12 +311,20 @@ def mark_windows(data: np.ndarray, start: np.ndarray, size: np.ndarray, anchor:
         order, group = _split(group, words_at(data, suffix[kept] + depth), owner[kept])
         kept = kept[order]
     marked: list[int] = []
-    raw, ids = data.tobytes(), owner[kept].tolist()
-    where = (suffix[kept] + SHALLOW).tolist()
+    raw, owner, where = data.tobytes(), owner[kept], suffix[kept] + SHALLOW
     deep, cut = window - SHALLOW, np.flatnonzero(np.diff(group)) + 1
-    for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(kept)], strict=True):
-        if a == b:
-            continue
+    begin, end = np.concatenate([[0], cut]), np.append(cut, len(kept))
+    # two leaves need no trie: equal ones mark that of the larger id
+    two = begin[end - begin == 2]
+    step = COMPARED // deep
+    for i in range(0, len(two), step):
+        a = two[i:i + step]
+        those, these = (data[where[x][:, None] + np.arange(deep)] for x in (a, a + 1))
+        a = a[(those == these).all(1)]
+        marked += (a + (owner[a + 1] > owner[a])).tolist()
+    ids, where = owner.tolist(), where.tolist()
+    more = end - begin > 2
+    for a, b in zip(begin[more].tolist(), end[more].tolist(), strict=True):
         trie = BlindTrie(raw[where[a]:where[a] + deep])
         for i in range(a + 1, b):
             trie.insert(raw[where[i]:where[i] + deep], i - a)
@@ -301,8 +336,8 @@ def mark_windows(data: np.ndarray, start: np.ndarray, size: np.ndarray, anchor:
     return np.stack([string[chosen], turn[chosen]], 1)
 
 
-def _spans(row: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
-    """Span rows, overlapping and adjacent ones of a row merged."""
+def _merged(row: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Spans in order, overlapping and adjacent ones of a row merged."""
     order = np.lexsort((first, row))
     row, first, last = row[order], first[order], last[order]
     if len(row):
@@ -315,7 +350,75 @@ def _spans(row: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.RecordBat
         at = np.flatnonzero(new)
         stop = np.append(at[1:], len(row)) - 1
         row, first, last = row[at], first[at], end[stop] - group[stop] * width
-    return _batch(SPAN, -1, row, first, last, [None] * len(row))
+    return row, first, last
+
+
+def _spans(row: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
+    """Span rows, overlapping and adjacent ones of a row merged."""
+    row, first, last = _merged(row, first, last)
+    return _batch(SPAN, -1, row, first, last, pa.nulls(len(row), pa.binary()))
+
+
+def pack_spans(batches: Iterator[pa.RecordBatch], n_groups: int) -> Iterator[pa.RecordBatch]:
+    """The rows, spans packed: a blob for each group of rows, whose number is in ``row``."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows or batch.column("kind")[0].as_py() != SPAN:
+            yield batch
+            continue
+        held.append(batch)
+        size += batch.num_rows
+        if size >= SPANS:
+            yield _packed(held, n_groups)
+            held, size = [], 0
+    if held:
+        yield _packed(held, n_groups)
+
+
+def _packed(batches: list[pa.RecordBatch], n_groups: int) -> pa.RecordBatch:
+    row, first, last = _merged(*(np.concatenate([np.asarray(b.column(c)) for b in batches])
+                                 for c in ("row", "first", "last")))
+    mixed = (row.view(np.uint64) * np.uint64(_BASE) ^ row.view(np.uint64) >> np.uint64(31)) * _MULTIPLIER
+    group = (mixed >> np.uint64(33)).astype(np.int64) % n_groups
+    order = np.argsort(group, kind="stable")
+    at = np.flatnonzero(np.concatenate([[True], np.diff(group[order]) != 0]))
+    packer = zstandard.ZstdCompressor(level=3)
+    payload = [packer.compress(b"".join(thin(x[mine]) for x in (row, first, last)))
+               for mine in np.split(order, at[1:])]
+    return _batch(SPAN, -1, group[order[at]], 0, 0, payload)
+
+
+def merge_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each document with spans, in order and merged, from the packed
+    spans, which come ordered by group."""
+    unpacker = zstandard.ZstdDecompressor()
+    current, held, size, bound = None, [], 0, MERGED
+    for batch in batches:
+        for group, blob in zip(*(batch.column(c).to_pylist() for c in ("row", "payload")), strict=True):
+            if group != current:
+                if held:
+                    yield _by_row(held)
+                current, held, size, bound = group, [], 0, MERGED
+            raw = unpacker.decompress(blob)
+            held.append(thick(raw, 0, (len(raw) // 24 - 1,) * 3)[0])
+            size += len(held[-1][0])
+            if size > bound:
+                held = [_merged(*map(np.concatenate, zip(*held, strict=True)))]
+                size = len(held[0][0])
+                bound = 2 * size + MERGED
+    if held:
+        yield _by_row(held)
+
+
+def _by_row(spans: list) -> pa.RecordBatch:
+    row, first, last = _merged(*map(np.concatenate, zip(*spans, strict=True)))
+    at = np.flatnonzero(np.concatenate([[True], np.diff(row) != 0]))
+    raw = np.stack([first, last], 1).tobytes()
+    ends = [*(16 * at).tolist(), len(raw)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(row[at], pa.int64()),
+         pa.array([raw[a:b] for a, b in zip(ends, ends[1:], strict=False)], pa.binary())], ["row", "spans"])
 
 
 def _batch(kind: int, bins, row, first, last, payload) -> pa.RecordBatch:
@@ -426,23 +529,88 @@ def _blobs(bins, data, start, size, anchor, doc, place, count, row, pos) -> Iter
     at = np.flatnonzero(np.concatenate([[True], bins[1:] != bins[:-1]])) if len(bins) else []
     payload, weight = [], []
     for a, b in zip(at, [*at[1:], len(bins)], strict=True):
-        mine = by[a:b]
-        places = ragged(place[mine], count[mine])
-        payload.append(pack(data[ragged(start[mine], size[mine])], size[mine], anchor[mine], doc[mine],
-                            count[mine], row[places], pos[places]))
-        weight.append(int(size[mine].sum()) + PLACE_BYTES * len(places))
+        mine = _taken(by[a:b], data, start, size, anchor, doc, place, count, row, pos)
+        payload.append(pack(*mine))
+        weight.append(len(mine[0]) + PLACE_BYTES * len(mine[-1]))
     yield _batch(BLOB, bins[at] if len(bins) else 0, 0, np.array(weight, np.int64), 0, payload)
 
 
-def _sorted_bin(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-    """Spans found in one bin."""
-    data, size, anchor, doc, count, row, pos = (np.concatenate(x) for x in zip(
-        *map(unpack, blobs), strict=True))
+def _taken(mine, data, start, size, anchor, doc, place, count, row, pos) -> tuple[np.ndarray, ...]:
+    """The strings ``mine`` with their places, as :func:`pack` takes them."""
+    places = ragged(place[mine], count[mine])
+    return (data[ragged(start[mine], size[mine])], size[mine], anchor[mine], doc[mine],
+            count[mine], row[places], pos[places])
+
+
+class Bin:
+    """The strings of several blobs, in ``PARTS`` parts by their anchors."""
+
+    def __init__(self, blobs: list[bytes]) -> None:
+        data, size, anchor, doc, count, row, pos = (np.concatenate(x) for x in zip(
+            *map(unpack, blobs), strict=True))
+        start, place = np.cumsum(size) - size, np.cumsum(count) - count
+        self.columns = data, start, size, anchor, doc, place, count, row, pos
+        word = words_at(data, start + anchor) * np.uint64(_BASE)
+        word = (word ^ word >> np.uint64(29)) * _MULTIPLIER
+        self.part = (word >> np.uint64(32)).astype(np.int64) * PARTS >> 32
+        self.bytes = size + PLACE_BYTES * count
+        self.weight = np.zeros(PARTS, np.int64)
+        np.add.at(self.weight, self.part, self.bytes)
+
+    def taken(self, mine: np.ndarray) -> tuple[np.ndarray, ...]:
+        return _taken(mine, *self.columns)
+
+    def passed_on(self, number: int, parts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Blobs of some ``parts``, each of about ``PART_BYTES``."""
+        mine = np.flatnonzero(parts[self.part])
+        cuts = np.flatnonzero(np.diff(np.cumsum(self.bytes[mine]) // PART_BYTES)) + 1
+        for some in np.split(mine, cuts):
+            if len(some):
+                yield _batch(OVERFLOW, number, 0, int(self.bytes[some].sum()), 0, [pack(*self.taken(some))])
+
+    def pieces(self, parts: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """The strings of ``parts``, neighbouring parts together up to about ``PART_BYTES``."""
+        weight = np.where(parts, self.weight, 0)
+        piece = np.where(parts, (np.cumsum(weight) - weight) // PART_BYTES, -1)[self.part]
+        order = np.argsort(piece, kind="stable")
+        order = order[np.searchsorted(piece[order], 0):]
+        for mine in np.split(order, np.flatnonzero(np.diff(piece[order])) + 1):
+            if len(mine):
+                yield self.taken(mine)
+
+
+def _lightened(number: int, blobs: list[bytes], passed: np.ndarray, limit: int):
+    """Pass the heaviest parts of a bin on, until the others fit into ``limit``;
+    they are added to ``passed``. Returns a blob of the others, and its bytes."""
+    held = Bin(blobs)
+    left = np.where(passed, 0, held.weight)
+    for part in np.argsort(-left).tolist():
+        if left.sum() <= limit:
+            break
+        passed[part], left[part] = True, 0
+    yield from held.passed_on(number, passed)
+    return [pack(*held.taken(np.flatnonzero(~passed[held.part])))], int(left.sum())
+
+
+def _sorted_bin(blobs: list[bytes], number: int = 0, passed: np.ndarray | None = None,
+                limit: int = 1 << 62) -> Iterator[pa.RecordBatch]:
+    """Spans found in one bin; blobs of its parts that were ``passed`` on before
+    and of those above ``limit`` bytes."""
+    held = Bin(blobs)
+    over = held.weight > limit if passed is None else (held.weight > limit) | passed
+    yield from held.passed_on(number, over)
+    for piece in held.pieces(~over):
+        yield _sorted_part(*piece)
+
+
+def _sorted_part(data, size, anchor, doc, count, row, pos) -> pa.RecordBatch:
+    """Spans found in strings that are sorted together."""
     start, place = np.cumsum(size) - size, np.cumsum(count) - count
-    order, group, least = _distinct(SliceHash(data)(start, start + size), doc, data, start, size)
+    hashed = SliceHash(data)
+    order, group, least = _distinct(hashed(start, start + size), doc, data, start, size)
     whole = doc[order] > least[group]
     lead = order[np.concatenate([[True], group[1:] != group[:-1]])]  # one per string
-    marks = mark_windows(data, start[lead], size[lead], anchor[lead], doc[lead])
+    marks = mark_windows(data, start[lead], size[lead], anchor[lead], doc[lead], hashed)
     # windows of a string apply wherever the string stands in its first document
     mine = order[~whole]
     by = group[~whole]
@@ -450,7 +618,7 @@ def _sorted_bin(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
     string = np.concatenate([order[whole], mine[ragged(lo, hi - lo)]])
     turn = np.concatenate([np.zeros(int(whole.sum()), np.int64), np.repeat(marks[:, 1], hi - lo)])
     length = np.concatenate([size[order[whole]], np.full(len(turn) - int(whole.sum()), WINDOW)])
-    yield _placed(string, turn, length, place, count, row, pos)
+    return _placed(string, turn, length, place, count, row, pos)
 
 
 def _placed(string, turn, length, place, count, row, pos) -> pa.RecordBatch:
@@ -462,9 +630,9 @@ def _placed(string, turn, length, place, count, row, pos) -> pa.RecordBatch:
 
 def sort_bins(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
     """Sort each bin of the rows, which come ordered by bin; pass spans and
-    the blobs of bins above ``limit`` bytes through."""
+    blobs of the parts above ``limit`` bytes through."""
     held: list[bytes] = []
-    current, size = None, 0
+    current, size, passed = None, 0, np.zeros(PARTS, bool)
     for batch in batches:
         kinds = np.asarray(batch.column("kind"))
         if (kinds == SPAN).any():
@@ -473,15 +641,14 @@ def sort_bins(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Reco
             number = batch.column("bin")[i].as_py()
             if number != current:
                 if held:
-                    yield from _sorted_bin(held)
-                current, held, size = number, [], 0
+                    yield from _sorted_bin(held, current, passed, limit)
+                current, held, size, passed = number, [], 0, np.zeros(PARTS, bool)
             size += batch.column("first")[i].as_py()
             held.append(batch.column("payload")[i].as_py())
-            if size > limit:
-                yield _batch(OVERFLOW, number, 0, 0, 0, held)
-                held = []
+            if size > 2 * limit:
+                held, size = yield from _lightened(current, held, passed, limit)
     if held:
-        yield from _sorted_bin(held)
+        yield from _sorted_bin(held, current, passed, limit)
 
 
 def deal_windows(batches: Iterator[pa.RecordBatch], n_bins: int) -> Iterator[pa.RecordBatch]:
@@ -512,19 +679,22 @@ def deal_windows(batches: Iterator[pa.RecordBatch], n_bins: int) -> Iterator[pa.
 
 
 def repeated_spans(rows: DataFrame, bin_bytes: int = BIN_BYTES) -> DataFrame:
-    """``row, first, last``: byte ranges of ``rows`` (``row``, ``doc_id``,
-    ``text``) to remove; ranges of a row may overlap."""
+    """``row, spans``: byte ranges of ``rows`` (``row``, ``doc_id``, ``text``) to
+    remove, in order and apart, as pairs of 8-byte numbers; rows without any are left out."""
     spark = rows.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    n_bins = max(partitions, math.ceil(size * STRING_BYTES / BIN_TARGET))
+    # as many bins, and groups, for every task
+    n_bins, n_groups = (partitions * max(1, math.ceil(x / partitions)) for x in (
+        size * STRING_BYTES / BIN_TARGET, size / GROUP_BYTES))
 
-    def solve(dealt: DataFrame, name: str) -> DataFrame:
+    def solve(dealt: DataFrame, name: str, limit: int = bin_bytes) -> DataFrame:
         # spans are spread by row, blobs meet by bin
-        spread = F.when(F.col("kind") == SPAN, F.col("row")).otherwise(F.lit(None))
+        task = F.when(F.col("kind") == SPAN, F.hash("row")).otherwise(F.col("bin"))
         with batch_rows(spark, BATCH_ROWS):
-            return store(dealt.repartition(partitions, "bin", spread).sortWithinPartitions("bin")
-                         .mapInArrow(lambda b: sort_bins(b, bin_bytes), ROWS), name)
+            return store(dealt.repartitionById(partitions, F.pmod(task, F.lit(partitions)).cast("int"))
+                         .sortWithinPartitions("bin")
+                         .mapInArrow(lambda b: pack_spans(sort_bins(b, limit), n_groups), ROWS), name)
 
     found = solve(rows.filter("doc_id IS NOT NULL")
                   .mapInArrow(lambda b: deal_strings(b, n_bins), ROWS), "spans")
@@ -538,19 +708,17 @@ def repeated_spans(rows: DataFrame, bin_bytes: int = BIN_BYTES) -> DataFrame:
         # equal windows gather one copy per blob here, a size set by the number of tasks
         left = again.filter(F.col("kind") == OVERFLOW)
         if not left.isEmpty():
-            again = store(left.drop("kind").withColumn("kind", F.lit(BLOB)).select(*found.columns)
-                          .repartition(partitions, "bin").sortWithinPartitions("bin")
-                          .mapInArrow(lambda b: sort_bins(b, 1 << 62), ROWS), "last-spans") \
-                .unionByName(again)
+            again = solve(left.withColumn("kind", F.lit(BLOB)), "last-spans", 1 << 62).unionByName(again)
         spans = spans.unionByName(again.filter(F.col("kind") == SPAN))
-    return spans.select("row", "first", "last")
+    with batch_rows(spark, BATCH_ROWS):
+        return store(spans.repartitionById(partitions, (F.col("row") % partitions).cast("int"))
+                     .sortWithinPartitions("row").mapInArrow(merge_spans, "row long, spans binary"), "row-spans")
 
 
 def remove_repeats(docs: DataFrame, bin_bytes: int = BIN_BYTES) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary) for every row."""
     rows = id_text(docs).withColumn("row", F.monotonically_increasing_id())
-    spans = (repeated_spans(rows, bin_bytes).groupBy("row")
-             .agg(F.collect_list(F.struct("first", "last")).alias("spans")))
+    spans = repeated_spans(rows, bin_bytes)
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)  # texts cross the network compressed
@@ -566,19 +734,15 @@ def remove_repeats(docs: DataFrame, bin_bytes: int = BIN_BYTES) -> DataFrame:
             out = []
             for doc, packed, spans in zip(*(batch.column(c).to_pylist() for c in (
                     "doc_id", "text", "spans")), strict=True):
-                raw, kept, done, removed, n = unpacker.decompress(packed), [], 0, 0, 0
-                end = -1
-                for s in sorted(spans or (), key=lambda s: s["first"]):
-                    if s["last"] > len(raw):
-                        raise ValueError("rows were numbered differently in the second pass")
-                    if s["first"] > end:
-                        n += 1
-                        kept.append(raw[done:s["first"]])
-                        removed += s["last"] - s["first"]
-                    else:
-                        removed += max(0, s["last"] - end)
-                    end = done = max(end, s["last"])
-                out.append((doc, len(raw), removed, n, b"".join((*kept, raw[done:]))))
+                raw, kept, done, removed = unpacker.decompress(packed), [], 0, 0
+                spans = np.frombuffer(spans or b"", np.int64).reshape(-1, 2).tolist()
+                if spans and spans[-1][1] > len(raw):
+                    raise ValueError("rows were numbered differently in the second pass")
+                for first, last in spans:
+                    kept.append(raw[done:first])
+                    done = last
+                    removed += last - first
+                out.append((doc, len(raw), removed, len(spans), b"".join((*kept, raw[done:]))))
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
             columns = zip(*out, strict=True) if out else [[]] * 5

@@ -163,6 +163,50 @@ def test_memory_of_a_bin_at_its_limit():
     assert peak_mb(lambda: list(sd._sorted_bin([blob]))) < 1200
 
 
+def test_bins_are_sorted_in_parts(monkeypatch):
+    rng = np.random.default_rng(4)
+    words = rng.integers(97, 123, 600_000).astype(np.uint8)
+    n = 60_000
+    start, size, doc = rng.integers(0, len(words) - 90, n), rng.integers(58, 90, n), rng.integers(0, 1000, n)
+    data, anchor = words[sd.ragged(start, size)], np.full(n, 41)
+    sizes, real = [], sd.mark_windows
+    monkeypatch.setattr(sd, "mark_windows", lambda data, *a, **kw: sizes.append(len(data)) or real(data, *a, **kw))
+    third = np.array_split(np.arange(n), 3)
+    at = np.cumsum(size) - size
+    blobs = [sd.pack(data[at[i[0]]:at[i[-1]] + size[i[-1]]], size[i], anchor[i], doc[i], np.ones(len(i), np.int64),
+                     i, i % 7) for i in third]
+    list(sd._sorted_bin(blobs))
+    assert len(sizes) > 1 and max(sizes) < 2 * sd.PART_BYTES
+
+
+def test_spans_travel_packed(spark, tmp_dir, monkeypatch):
+    rng = random.Random(6)
+    text = "".join(rng.choices("abcdefgh", k=60_000))
+    rows = [(i, text[7 * i:]) for i in range(5)]
+    stored, real = {}, sd.store
+    monkeypatch.setattr(sd, "store", lambda df, name: stored.setdefault(name, real(df, name)))
+    assert run(spark, rows, tmp_dir, parts=5) == brute(rows)
+    assert stored["spans"].count() <= 4 * 4  # tasks, groups of rows
+    assert stored["row-spans"].count() == 4
+
+
+def test_spans_of_a_group_are_merged(monkeypatch):
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(sd, "MERGED", 50)
+    monkeypatch.setattr(sd, "SPANS", 30)
+    row, first = rng.integers(0, 9, 2000) << 33, rng.integers(0, 5000, 2000)
+    last = first + rng.integers(50, 70, 2000)
+    spans = [sd._spans(*(x[i:i + 20] for x in (row, first, last))) for i in range(0, 2000, 20)]
+    packed = pa.Table.from_batches(sd.pack_spans(iter(spans), 4)).sort_by("row").to_batches()
+    got = {r["row"]: np.frombuffer(r["spans"], np.int64).reshape(-1, 2).tolist()
+           for b in sd.merge_spans(iter(packed)) for r in b.to_pylist()}
+    assert len(got) == 9
+    for x, found in got.items():
+        covered = {p for a, b in zip(first[row == x], last[row == x], strict=True) for p in range(a, b)}
+        assert {p for a, b in found for p in range(a, b)} == covered
+        assert all(b < c for (_, b), (c, _) in zip(found, found[1:], strict=False))
+
+
 def test_odd_documents(spark, tmp_dir):
     rows = odd_rows()
     assert run(spark, rows, tmp_dir, SCHEMA) == brute([(r[0], r[1]) for r in rows])
